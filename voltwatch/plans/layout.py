@@ -32,6 +32,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltwatch.config import DEFAULT_SCALE, Columns, Scale
 
@@ -203,7 +204,7 @@ def plan_layout(df: DataFrame, cfg: Columns, scale: Scale = DEFAULT_SCALE) -> La
     big_k = max(ks.values())
     fr = [i / big_k for i in range(1, big_k)]
     hot_keys = spark.createDataFrame(
-        [(key, k) for key, k in ks.items()], schema=df.select(e).schema.add("_vw_k", "int")
+        [(key, k) for key, k in ks.items()], schema=df.select(e).schema.add("_vw_k", T.IntegerType())
     )
     # cut positions j*K/k_e for j=1..k_e-1 of a common K-quantile grid
     q = (
@@ -224,7 +225,7 @@ def plan_layout(df: DataFrame, cfg: Columns, scale: Scale = DEFAULT_SCALE) -> La
             ).alias(CUTS),
         )
     ).collect()
-    hot = spark.createDataFrame(q, schema=df.select(e).schema.add(CUTS, f"array<{df.schema[t].dataType.simpleString()}>"))
+    hot = spark.createDataFrame(q, schema=df.select(e).schema.add(CUTS, T.ArrayType(df.schema[t].dataType)))
     n_seg = sum(len(r[CUTS]) + 1 for r in q)
     max_cuts = max(len(r[CUTS]) for r in q)
     return Layout(cfg, scale, n_entities, True, hot=hot, n_segments=n_seg, max_cuts=max_cuts)
@@ -248,3 +249,35 @@ def prepare(df: DataFrame, cfg: Columns, layout: Layout | None, scale: Scale = D
 
 def finish(layout: Layout, df: DataFrame, added: bool) -> DataFrame:
     return layout.strip(df) if added else df
+
+
+def running(df: DataFrame, cfg: Columns, sums: dict[str, Column], layout: Layout | None = None,
+            scale: Scale = DEFAULT_SCALE, row_number: str | None = None) -> DataFrame:
+    """Exact running totals in (entity, time, tie) order, ROWS frame from the
+    first row of the entity to the current one, without putting a hot entity
+    (or, for ``entity=None``, the whole table) into one task.
+
+    Each segment computes its local running sum; a per-segment total table
+    (one row per hot segment) gives the offset of all earlier segments.
+    ``sums`` maps output name -> numeric expression; ``row_number`` adds a
+    1-based position.
+    """
+    lay, d, added = prepare(df, cfg, layout, scale)
+    w = lay.window().rowsBetween(Window.unboundedPreceding, 0)
+    tmp = {f"_vw_x_{n}": e for n, e in sums.items()}
+    if row_number:
+        tmp[f"_vw_x_{row_number}"] = F.lit(1)
+    d = d.withColumns(tmp)
+    local = {n[len("_vw_x_"):]: F.sum(n).over(w) for n in tmp}
+    if not lay.segmented:
+        out = d.withColumns(local).drop(*tmp)
+        return finish(lay, out, added)
+    ent = [cfg.entity] if cfg.entity else []
+    tot = d.where(F.col(NSEG) > 1).groupBy(*ent, SEG).agg(*[F.sum(n).alias(n) for n in tmp])
+    pw = Window.partitionBy(*ent).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select(*ent, SEG, *[F.coalesce(F.sum(n).over(pw), F.lit(0)).alias(f"_vw_o_{n}") for n in tmp])
+    d = d.join(F.broadcast(off), [*ent, SEG], "left")
+    out = d.withColumns({
+        n[len("_vw_x_"):]: F.sum(n).over(w) + F.coalesce(F.col(f"_vw_o_{n}"), F.lit(0)) for n in tmp
+    }).drop(*tmp, *[f"_vw_o_{n}" for n in tmp])
+    return finish(lay, out, added)
