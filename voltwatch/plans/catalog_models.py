@@ -329,3 +329,97 @@ def q_adversarial_auc(spark, sf):
     auc, imps = drift.adversarial(ref, cur, DRIFT_COLS)
     row = auc.first()
     return imps.withColumn("roc_auc", F.lit(row["roc_auc"])).withColumn("pr_auc", F.lit(row["pr_auc"]))
+
+
+# ---------------------------------------------------------------- O4, M15, M16, D6
+BEST_THRESHOLDS = (30.0, 40.0, 50.0, 60.0)
+
+
+def _f1_sql(thr):
+    return f"""SELECT 'thr_{int(thr)}' AS run_id,
+       CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2.0 * tp / (2 * tp + fp + fn) END AS f1_1
+FROM (SELECT count(*) FILTER (WHERE label = 0 AND pred = 1) AS fp, count(*) FILTER (WHERE label = 1 AND pred = 0) AS fn,
+             count(*) FILTER (WHERE label = 1 AND pred = 1) AS tp
+      FROM (SELECT CAST(event_type = 'error' AS INTEGER) AS label, CAST(value >= {thr} AS INTEGER) AS pred
+            FROM events) x) y"""
+
+
+@query("best_run", f"""
+WITH r AS ({' UNION ALL '.join(_f1_sql(t) for t in BEST_THRESHOLDS)})
+SELECT run_id, round(f1_1, 6) AS f1_1 FROM r ORDER BY f1_1 DESC, run_id LIMIT 1""")
+def q_best_run(spark, sf):
+    """The best run of a ledger by a metric (max_by over the ledger)."""
+    led = None
+    for t in BEST_THRESHOLDS:
+        part = ledger_from_metrics(spark, sf, f"thr_{int(t)}", t)
+        led = part if led is None else led.unionByName(part)
+    f1 = led.where(F.col("key") == "f1_1").select("run_id", F.col("value").cast("double").alias("f1_1"))
+    best = f1.agg(F.max_by("run_id", F.struct(F.col("f1_1"), F.lit(0) - F.hash("run_id"))).alias("run_id"),
+                  F.max("f1_1").alias("f1_1"))
+    return rounded(best)
+
+
+def _rank_sql(table, label, id_col, seed=SEED):
+    return f"""SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY {_u_sql(id_col, seed)}, {id_col}) AS rk,
+       count(*) OVER (PARTITION BY {label}) AS nc FROM {table}"""
+
+
+@query("resample_balance", f"""
+WITH r AS ({_rank_sql('labels', 'toxic', 'doc_id')}),
+c AS (SELECT max(nc) FILTER (WHERE toxic = 1) AS n_min, max(nc) FILTER (WHERE toxic <> 1) AS n_maj FROM r),
+o AS (SELECT r.doc_id, r.toxic,
+             CASE WHEN r.toxic = 1 THEN c.n_maj // c.n_min + CASE WHEN r.rk <= c.n_maj % c.n_min THEN 1 ELSE 0 END
+                  ELSE 1 END AS copies FROM r, c)
+SELECT 'over' AS mode, doc_id, CAST(toxic AS BIGINT) AS toxic, CAST(copy AS BIGINT) AS copy
+FROM o, LATERAL (SELECT unnest(range(1, copies + 1)) AS copy) t
+UNION ALL
+SELECT 'under', r.doc_id, CAST(r.toxic AS BIGINT), CAST(1 AS BIGINT) FROM r, c WHERE r.toxic = 1 OR r.rk <= c.n_min""")
+def q_resample_balance(spark, sf):
+    """Random oversampling of the minority and undersampling of the
+    majority (md5 ranks), as one long result."""
+    lab = table_labels(spark, sf)
+    over = ml.oversample(lab, "toxic", "doc_id").select(F.lit("over").alias("mode"), "doc_id", "toxic", "copy")
+    under = ml.undersample(lab, "toxic", "doc_id").select(F.lit("under").alias("mode"), "doc_id", "toxic",
+                                                          F.lit(1).alias("copy"))
+    return rounded(over.unionByName(under))
+
+
+def table_labels(spark, sf):
+    from voltwatch.sources.tables import table
+    return table(spark, sf, "labels")
+
+
+@query("minmax_interactions", f"""
+WITH {EVENTS_SQL}
+SELECT event_id, user_id,
+       round(CASE WHEN max(value) OVER (PARTITION BY user_id) = min(value) OVER (PARTITION BY user_id) THEN 0.0
+             ELSE (value - min(value) OVER (PARTITION BY user_id))
+                  / (max(value) OVER (PARTITION BY user_id) - min(value) OVER (PARTITION BY user_id)) END, 6)
+           AS MinMax_value,
+       round(CASE WHEN max(k) OVER (PARTITION BY user_id) = min(k) OVER (PARTITION BY user_id) THEN 0.0
+             ELSE (k - min(k) OVER (PARTITION BY user_id))
+                  / (max(k) OVER (PARTITION BY user_id) - min(k) OVER (PARTITION BY user_id)) END, 6) AS MinMax_k,
+       round(value * k, 6) AS value_x_k
+FROM tele""")
+def q_minmax_interactions(spark, sf):
+    """Per-entity min-max normalisation and an interaction term."""
+    ev = events_telemetry(spark, sf)
+    out = ml.interactions(ml.minmax(ev, ["value", "k"], by=["user_id"]), [("value", "k")])
+    return rounded(out.select("event_id", "user_id", "MinMax_value", "MinMax_k", "value_x_k"))
+
+
+@query("prediction_drift")
+def q_prediction_drift(spark, sf):
+    """KS and PSI of the model's class-1 probability between the two
+    halves of January, and the shift of the predicted positive share."""
+    ref, cur = _halves(spark, sf, with_nulls=False)
+    model = ml.train(ref, DRIFT_COLS, "label", "rf", {"numTrees": 20})
+    sr = ml.score(ref, model)
+    sc = ml.score(cur, model)
+    ks = drift.drift_ks(sr, sc, ["probability"])
+    psi = drift.drift_psi(sr, sc, ["probability"])
+    share = (sr.agg(F.avg("prediction").alias("ref_pos_share"))
+             .unionByName(sc.agg(F.avg("prediction").alias("cur_pos_share")), allowMissingColumns=True)
+             .agg(F.max("ref_pos_share").alias("ref_pos_share"), F.max("cur_pos_share").alias("cur_pos_share"))
+             .withColumn("feature", F.lit("probability")))
+    return ks.join(psi, "feature").join(share, "feature")

@@ -39,6 +39,10 @@ READING_SCHEMA = T.StructType([T.StructField("Module_ID", T.StringType(), True)]
                               + [T.StructField(c, D, True) for c in FEATURES_30])
 REQUEST_SCHEMA = T.StructType([T.StructField("readings", T.ArrayType(READING_SCHEMA), True)])
 
+# Text form of times in CSV: microseconds kept, fraction optional on read.
+CSV_NTZ_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+CSV_TS_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]XXX"
+
 LEDGER_SCHEMA = T.StructType([
     T.StructField("experiment", T.StringType()), T.StructField("run_id", T.StringType()),
     T.StructField("kind", T.StringType()), T.StructField("key", T.StringType()),
@@ -53,7 +57,8 @@ def read_telemetry(spark: SparkSession, path: str, schema: T.StructType | None =
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
-        df = reader.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path)
+        df = (reader.option("header", True).option("timestampNTZFormat", CSV_NTZ_FORMAT)
+              .option("timestampFormat", CSV_TS_FORMAT).csv(path))
     else:
         df = reader.format(fmt).load(path)
     if time_col in df.columns:
@@ -73,16 +78,18 @@ def write_processed(df: DataFrame, path: str, fmt: str = "parquet", partition_by
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        (w.option("header", True).option("timestampNTZFormat", CSV_NTZ_FORMAT)
+         .option("timestampFormat", CSV_TS_FORMAT).csv(path))
     else:
         w.format(fmt).save(path)
 
 
 def read_requests(spark: SparkSession, path: str, schema: T.StructType = REQUEST_SCHEMA,
-                  array_col: str = "readings", keep=()) -> DataFrame:
-    """Nested JSON requests (one JSON document per file or per line) to
-    one row per reading with ``inline``."""
-    df = spark.read.schema(schema).option("multiLine", True).json(path)
+                  array_col: str = "readings", keep=(), multi_line: bool = True) -> DataFrame:
+    """Nested JSON requests to one row per reading with ``inline``.
+    ``multi_line`` for one (pretty-printed) document per file, False for
+    JSON lines."""
+    df = spark.read.schema(schema).option("multiLine", multi_line).json(path)
     return df.select(*keep, F.inline(F.col(array_col)))
 
 
