@@ -119,7 +119,9 @@ def horizon_label(df: DataFrame, cfg: Columns, events: DataFrame, window_s: int
     lo = ev - F.make_dt_interval(secs=F.lit(window_s + guard_s))
     hi = ev - F.make_dt_interval(secs=F.lit(guard_s))
     if by:
-        j = df.join(events.select(*by, event_col), by, "left")
+        from voltwatch.plans.layout import small_side
+        # one row per entity with an event: broadcast when that is bounded
+        j = df.join(small_side(events.select(*by, event_col), DEFAULT_SCALE.broadcast_rows), by, "left")
     else:
         row = events.first()
         j = df.withColumn(event_col, F.lit(row[event_col] if row else None).cast(df.schema[cfg.time].dataType))

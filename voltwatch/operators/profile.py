@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voltwatch.config import DEFAULT_SCALE
 from voltwatch.functions.columns import numeric_present, present
+from voltwatch.plans.layout import small_side
 
 
 def _long(df_one_row: DataFrame, cols: list[str], fields: list[str]) -> DataFrame:
@@ -76,8 +78,8 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     """A5: count and share per value (partial aggregation, then a window
     over the small result for the total)."""
     g = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    from pyspark.sql import Window
-    return g.withColumn("share", F.col("count") / F.sum("count").over(Window.partitionBy()))
+    total = df.count()  # a scalar; no single-partition window over the groups
+    return g.withColumn("share", F.col("count") / F.lit(total if total else None).cast("double"))
 
 
 def distinct_values(df: DataFrame, cols) -> DataFrame:
@@ -102,7 +104,8 @@ def group_quantiles(df: DataFrame, by, col: str, qs=(0.5,), exact: bool = True)
     return g.select(*by, "mean", *[F.col("_q")[i].alias(f"q{int(round(x * 100)):02d}") for i, x in enumerate(qs)])
 
 
-def box_stats(df: DataFrame, cols, by=None, whisker: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, cols, by=None, whisker: float = 1.5,
+              broadcast_rows: int = DEFAULT_SCALE.broadcast_rows) -> DataFrame:
     """A10: quartiles, IQR, whiskers (most extreme values within
     ``whisker`` IQR of the box) and outlier count per column (and group).
 
@@ -117,7 +120,8 @@ def box_stats(df: DataFrame, cols, by=None, whisker: float = 1.5) -> DataFrame:
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     q = q.withColumn("lo_fence", F.col("q1") - whisker * F.col("iqr")).withColumn(
         "hi_fence", F.col("q3") + whisker * F.col("iqr"))
-    j = m.join(F.broadcast(q) if not by else q, keys)
+    # one row per (group, column): broadcast when the group count is bounded
+    j = m.join(small_side(q, broadcast_rows) if by else F.broadcast(q), keys)
     inside = (F.col("v") >= F.col("lo_fence")) & (F.col("v") <= F.col("hi_fence"))
     s = j.groupBy(*keys, "q1", "median", "q3", "iqr").agg(
         F.min(F.when(inside, F.col("v"))).alias("whisker_lo"),

@@ -281,3 +281,13 @@ def running(df: DataFrame, cfg: Columns, sums: dict[str, Column], layout: Layout
         n[len("_vw_x_"):]: F.sum(n).over(w) + F.coalesce(F.col(f"_vw_o_{n}"), F.lit(0)) for n in tmp
     }).drop(*tmp, *[f"_vw_o_{n}" for n in tmp])
     return finish(lay, out, added)
+
+
+def small_side(df: DataFrame, limit: int) -> DataFrame:
+    """Broadcast ``df`` only when it is proven small: it is persisted (so
+    the count is not recomputed) and counted; above ``limit`` rows the
+    caller's join stays a shuffle join, which AQE splits when skewed."""
+    from pyspark import StorageLevel
+
+    d = df.persist(StorageLevel.MEMORY_AND_DISK)
+    return F.broadcast(d) if d.count() <= limit else d
