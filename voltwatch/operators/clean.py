@@ -54,9 +54,11 @@ def impute(
 
 def _fill_ffill_bfill(df, cfg, cols, layout, scale):
     lay, d, added = prepare(df, cfg, layout, scale)
-    w = lay.window()
-    fwd = w.rowsBetween(Window.unboundedPreceding, 0)
-    bwd = w.rowsBetween(0, Window.unboundedFollowing)
+    fwd = lay.window().rowsBetween(Window.unboundedPreceding, 0)
+    # backward fill = a running "last non-null" in reversed order: Spark
+    # evaluates a current..unbounded-following frame once per row (O(n^2)),
+    # a running frame once per partition (same exchange, one more sort)
+    bwd = lay.window(reverse=True).rowsBetween(Window.unboundedPreceding, 0)
     car = lay.carries(d, cols)
     if car is not None:
         keys = ([cfg.entity] if cfg.entity else []) + [SEG]
@@ -66,7 +68,7 @@ def _fill_ffill_bfill(df, cfg, cols, layout, scale):
         parts = [F.last(c, True).over(fwd)]
         if car is not None:
             parts.append(F.col(f"_vw_prev_{c}"))
-        parts.append(F.first(c, True).over(bwd))
+        parts.append(F.last(c, True).over(bwd))
         if car is not None:
             parts.append(F.col(f"_vw_next_{c}"))
         exprs[c] = F.coalesce(*parts)

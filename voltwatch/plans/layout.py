@@ -60,8 +60,9 @@ class Layout:
             cols.append(SEG)
         return cols
 
-    def window(self) -> Window:
-        return Window.partitionBy(*self.part_cols()).orderBy(*self.cfg.order())
+    def window(self, reverse: bool = False) -> Window:
+        order = [F.col(c).desc() if reverse else F.col(c) for c in self.cfg.order()]
+        return Window.partitionBy(*self.part_cols()).orderBy(*order)
 
     def entity_window(self) -> Window:
         """Whole-entity window, usable only when not segmented."""
@@ -138,13 +139,12 @@ class Layout:
             aggs.append(F.max_by(F.col(c), ordkey).alias(f"_vw_last_{c}"))
             aggs.append(F.min_by(F.col(c), ordkey).alias(f"_vw_first_{c}"))
         summ = hot_rows.groupBy(*ent, SEG).agg(*aggs)
-        w = Window.partitionBy(*ent).orderBy(SEG)
-        before = w.rowsBetween(Window.unboundedPreceding, -1)
-        after = w.rowsBetween(1, Window.unboundedFollowing)
+        before = Window.partitionBy(*ent).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
+        after = Window.partitionBy(*ent).orderBy(F.col(SEG).desc()).rowsBetween(Window.unboundedPreceding, -1)
         sel = [*ent, SEG]
         for c in cols:
             sel.append(F.last(f"_vw_last_{c}", True).over(before).alias(f"_vw_prev_{c}"))
-            sel.append(F.first(f"_vw_first_{c}", True).over(after).alias(f"_vw_next_{c}"))
+            sel.append(F.last(f"_vw_first_{c}", True).over(after).alias(f"_vw_next_{c}"))
         return F.broadcast(summ.select(*sel))
 
 
