@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from voltwatch.config import DEFAULT_SCALE, Columns, Scale
 from voltwatch.functions.columns import nan_to_null, numeric_present, present
+from voltwatch.operators.quantiles import quantiles
 from voltwatch.plans.layout import SEG, Layout, finish, prepare
 
 FILL_METHODS = ("ffill", "mean", "median")
@@ -108,12 +109,34 @@ def group_stats(df: DataFrame, cfg: Columns, aggs: dict[str, Column], lay: Layou
 
 def _fill_stat(df, cfg, cols, method, layout, scale):
     lay, d, added = prepare(df, cfg, layout, scale, need_layout=cfg.entity is not None)
-    d = group_stats(d, cfg, {f"_vw_s_{c}": _stat_expr(c, method) for c in cols}, lay)
+    if method == "median" and (cfg.entity is None or lay.segmented):
+        # large groups: exact median without one task holding the group
+        d = _attach_quantiles(d, cfg, cols, [0.5], lay, scale, "_vw_s_")
+        d = d.withColumns({f"_vw_s_{c}": F.col(f"_vw_s_{c}")[0] for c in cols})
+    else:
+        d = group_stats(d, cfg, {f"_vw_s_{c}": _stat_expr(c, method) for c in cols}, lay)
     out = d.withColumns({c: F.coalesce(F.col(c), F.col(f"_vw_s_{c}")) for c in cols})
     out = out.drop(*[f"_vw_s_{c}" for c in cols])
     return finish(lay, out, added)
 
 
+def _attach_quantiles(d, cfg, cols, qs, lay, scale, prefix):
+    """Per-entity (or global) exact quantile arrays as columns ``prefix+c``."""
+    if cfg.entity is None:
+        row = quantiles(d, [], cols, qs, scale).first()
+        return d.withColumns({
+            f"{prefix}{c}": F.array(*[F.lit(None if row[c] is None else v).cast("double")
+                                      for v in (row[c] or [None] * len(qs))])
+            for c in cols})
+    # segmented means some entity exceeds hot_entity_rows: no size job needed
+    q = quantiles(d, [cfg.entity], cols, qs, scale,
+                  max_group=scale.hot_entity_rows + 1 if lay.segmented else None)
+    q = q.select(cfg.entity, *[F.col(c).alias(f"{prefix}{c}") for c in cols])
+    if lay.n_entities <= lay.scale.broadcast_rows:
+        q = F.broadcast(q)
+    return d.join(q, cfg.entity, "left")
+
+
 def clip_quantiles(
     df: DataFrame,
     cfg: Columns,
@@ -141,12 +164,15 @@ def clip_quantiles(
         return df
     lay, d, added = prepare(df, cfg, layout, scale, need_layout=cfg.entity is not None)
 
-    def q(c):
-        if exact:
-            return F.percentile(F.col(c), F.array(F.lit(lower), F.lit(upper)))
-        return F.percentile_approx(F.col(c), [lower, upper], scale.approx_accuracy).cast("array<double>")
+    if exact and (cfg.entity is None or lay.segmented):
+        d = _attach_quantiles(d, cfg, cols, [lower, upper], lay, scale, "_vw_q_")
+    else:
+        def q(c):
+            if exact:
+                return F.percentile(F.col(c), F.array(F.lit(lower), F.lit(upper)))
+            return F.percentile_approx(F.col(c), [lower, upper], scale.approx_accuracy).cast("array<double>")
 
-    d = group_stats(d, cfg, {f"_vw_q_{c}": q(c) for c in cols}, lay) if cfg.entity else _global_q(d, cols, q)
+        d = group_stats(d, cfg, {f"_vw_q_{c}": q(c) for c in cols}, lay) if cfg.entity else _global_q(d, cols, q)
     exprs = {}
     for c in cols:
         b = F.col(f"_vw_q_{c}")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from voltwatch.config import DEFAULT_SCALE, Columns, Scale
 from voltwatch.operators import metrics
+from voltwatch.operators.quantiles import quantiles
 from voltwatch.plans.layout import running
 
 # Fixed values from the monitoring notes.
@@ -34,11 +35,13 @@ def _melt(df: DataFrame, cols, side: int | None = None) -> DataFrame:
 
 def side_summary(df: DataFrame, cols) -> DataFrame:
     m = _melt(df, cols)
-    return m.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.percentile("v", 0.5).alias("median"),
+    g = m.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"),
         F.min("v").alias("min"), F.max("v").alias("max"), F.stddev_samp("v").alias("std"),
         (F.count_if(F.col("v").isNull()) / F.count(F.lit(1))).alias("null_pct"),
         F.count_distinct("v").cast("long").alias("distinct"))
+    med = quantiles(m, ["feature"], ["v"], [0.5]).select("feature", F.col("v")[0].alias("median"))
+    return g.join(med, "feature", "left")  # one row per feature on both sides
 
 
 def drift_summary(ref: DataFrame, cur: DataFrame, cols, sigmas: float = MEAN_SHIFT_SIGMAS) -> DataFrame:
@@ -83,7 +86,7 @@ def drift_psi(ref: DataFrame, cur: DataFrame, cols, bins: int = 10, eps: float =
     (bin i holds values above i edges); empty shares become ``eps``."""
     qs = [i / bins for i in range(1, bins)]
     mr, mc = _melt(ref, cols, 0), _melt(cur, cols, 1)
-    edges = mr.groupBy("feature").agg(F.percentile("v", F.array(*[F.lit(q) for q in qs])).alias("edges"))
+    edges = quantiles(mr, ["feature"], ["v"], qs).withColumnRenamed("v", "edges")
     m = mr.unionByName(mc).where(F.col("v").isNotNull()).join(F.broadcast(edges), "feature")
     m = m.withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col("v"))))
     g = m.groupBy("feature", "bin").agg(F.count_if(F.col("side") == 0).alias("a"),

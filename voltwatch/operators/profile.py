@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from voltwatch.config import DEFAULT_SCALE
 from voltwatch.functions.columns import numeric_present, present
+from voltwatch.operators.quantiles import quantiles
 from voltwatch.plans.layout import small_side
 
 
@@ -42,27 +43,35 @@ def imputation_report(before: DataFrame, after: DataFrame, cols) -> DataFrame:
     return j.select("column", (F.col("before") - F.col("after")).alias("imputed")).where("imputed > 0")
 
 
-def describe(df: DataFrame, cols=None, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
+def describe(df: DataFrame, cols=None, exact: bool = True, accuracy: int = 10_000,
+             scale=DEFAULT_SCALE) -> DataFrame:
     """A3: count, mean, std (sample), min, 25/50/75 %, max per numeric column.
 
-    ``exact`` percentiles interpolate linearly like pandas; their buffers
-    hold distinct values.  Use ``exact=False`` for high-cardinality columns
-    at scale (bounded sketch)."""
+    Exact percentiles interpolate linearly like pandas and never put a
+    large column into one task (see ``operators.quantiles``); ``exact=False``
+    uses a bounded sketch instead."""
     cols = numeric_present(df, cols or df.columns)
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = (F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-             else F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy))
         aggs += [F.count(x).alias(f"count__{c}"), F.avg(x).alias(f"mean__{c}"),
-                 F.stddev_samp(x).alias(f"std__{c}"), F.min(x).alias(f"min__{c}"),
-                 q.alias(f"q__{c}"), F.max(x).alias(f"max__{c}")]
+                 F.stddev_samp(x).alias(f"std__{c}"), F.min(x).alias(f"min__{c}"), F.max(x).alias(f"max__{c}")]
+    if exact:
+        qrow = quantiles(df, [], cols, [0.25, 0.5, 0.75], scale).first()
+        qv = {c: (qrow[c] if qrow is not None and qrow[c] is not None else [None] * 3) for c in cols}
+    else:
+        aggs += [F.percentile_approx(F.col(c).cast("double"), [0.25, 0.5, 0.75], accuracy).alias(f"q__{c}")
+                 for c in cols]
     one = df.agg(*aggs)
-    one = one.select(*[col for c in cols for col in (
-        F.col(f"count__{c}"), F.col(f"mean__{c}"), F.col(f"std__{c}"), F.col(f"min__{c}"),
-        F.col(f"q__{c}")[0].alias(f"p25__{c}"), F.col(f"q__{c}")[1].alias(f"p50__{c}"),
-        F.col(f"q__{c}")[2].alias(f"p75__{c}"), F.col(f"max__{c}"))])
-    return _long(one, cols, ["count", "mean", "std", "min", "p25", "p50", "p75", "max"])
+    sel = []
+    for c in cols:
+        if exact:
+            qs = [F.lit(v).cast("double") for v in qv[c]]
+        else:
+            qs = [F.col(f"q__{c}")[i] for i in range(3)]
+        sel += [F.col(f"count__{c}"), F.col(f"mean__{c}"), F.col(f"std__{c}"), F.col(f"min__{c}"),
+                qs[0].alias(f"p25__{c}"), qs[1].alias(f"p50__{c}"), qs[2].alias(f"p75__{c}"), F.col(f"max__{c}")]
+    return _long(one.select(*sel), cols, ["count", "mean", "std", "min", "p25", "p50", "p75", "max"])
 
 
 def schema_profile(df: DataFrame, cols=None) -> DataFrame:
@@ -95,12 +104,15 @@ def distinct_counts(df: DataFrame, cols=None, approx: bool = False) -> DataFrame
     return _long(agg, cols, ["distinct"])
 
 
-def group_quantiles(df: DataFrame, by, col: str, qs=(0.5,), exact: bool = True) -> DataFrame:
+def group_quantiles(df: DataFrame, by, col: str, qs=(0.5,), exact: bool = True, scale=DEFAULT_SCALE) -> DataFrame:
     """Per-group mean, median and quantiles (NULLs skipped, linear
     interpolation)."""
-    q = (F.percentile(F.col(col), F.array(*[F.lit(x) for x in qs])) if exact
-         else F.percentile_approx(col, list(qs), 10_000))
-    g = df.groupBy(*by).agg(F.avg(col).alias("mean"), q.alias("_q"))
+    g = df.groupBy(*by).agg(F.avg(col).alias("mean"))
+    if exact:
+        q = quantiles(df, by, [col], qs, scale).withColumnRenamed(col, "_q")
+    else:
+        q = df.groupBy(*by).agg(F.percentile_approx(col, list(qs), 10_000).alias("_q"))
+    g = g.join(q, list(by))  # both one row per group
     return g.select(*by, "mean", *[F.col("_q")[i].alias(f"q{int(round(x * 100)):02d}") for i, x in enumerate(qs)])
 
 
@@ -115,7 +127,7 @@ def box_stats(df: DataFrame, cols, by=None, whisker: float = 1.5,
     m = df.select(*by, F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])))
     keys = by + ["column"]
-    q = m.groupBy(*keys).agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
+    q = quantiles(m, keys, ["v"], [0.25, 0.5, 0.75]).withColumnRenamed("v", "_q")
     q = q.select(*keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     q = q.withColumn("lo_fence", F.col("q1") - whisker * F.col("iqr")).withColumn(
