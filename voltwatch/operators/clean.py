@@ -64,16 +64,19 @@ def _fill_ffill_bfill(df, cfg, cols, layout, scale):
     if car is not None:
         keys = ([cfg.entity] if cfg.entity else []) + [SEG]
         d = d.join(car, keys, "left")
+    # reversed-order window first, so the ascending order that follows is
+    # kept by every later window of the chain (2 sorts in all, not 3)
+    d = d.withColumns({f"_vw_bf_{c}": F.last(c, True).over(bwd) for c in cols})
     exprs = {}
     for c in cols:
         parts = [F.last(c, True).over(fwd)]
         if car is not None:
             parts.append(F.col(f"_vw_prev_{c}"))
-        parts.append(F.last(c, True).over(bwd))
+        parts.append(F.col(f"_vw_bf_{c}"))
         if car is not None:
             parts.append(F.col(f"_vw_next_{c}"))
         exprs[c] = F.coalesce(*parts)
-    out = d.withColumns(exprs)
+    out = d.withColumns(exprs).drop(*[f"_vw_bf_{c}" for c in cols])
     if car is not None:
         out = out.drop(*[f"_vw_{k}_{c}" for c in cols for k in ("prev", "next")])
     return finish(lay, out, added)
