@@ -17,6 +17,7 @@ import io
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,40 +120,50 @@ def feature_stream(sdf: DataFrame, cfg: Columns, cols, windows=(6, 30, 60), stat
             raise ValueError(f"Unsupported rolling statistic: {s}")
     cols = list(cols)
     h = max(max(windows) - 1, k)
+    tcol, tie = cfg.time, cfg.tie
     order = cfg.order()
     new_cols = [delta_name(k, c) for c in cols] + [rolling_name(s, n, c) for c in cols for n in windows for s in stats]
     out_schema = T.StructType(sdf.schema.fields + [T.StructField(c, T.DoubleType()) for c in new_cols])
-    state_schema = T.StructType([T.StructField("tail", T.StringType())])
-    in_cols = sdf.columns
+    # state: the last h rows as typed arrays (time in microseconds, tie, values)
+    state_schema = T.StructType([
+        T.StructField("t", T.ArrayType(T.LongType())),
+        T.StructField("i", T.ArrayType(T.LongType())),
+        T.StructField("v", T.ArrayType(T.ArrayType(T.DoubleType()))),
+    ])
+    out_names = [f.name for f in out_schema.fields]
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(pdfs), ignore_index=True)
-        tail = pd.DataFrame(columns=in_cols)
+        parts = list(pdfs)
+        new = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        new = new.sort_values(order, kind="mergesort").reset_index(drop=True)
+        t_new = new[tcol].to_numpy("datetime64[us]").astype("int64")
+        i_new = new[tie].to_numpy("int64") if tie else np.zeros(len(new), "int64")
         if state.exists:
-            tail = pd.read_json(io.StringIO(state.get[0]), orient="split", convert_dates=False)
-            tail[cfg.time] = pd.to_datetime(tail[cfg.time])
-        new = new.sort_values(order, kind="mergesort")
-        if len(tail):
-            last = tuple(tail.iloc[-1][order])
-            keep = [tuple(r) > last for r in new[order].itertuples(index=False)]
-            new = new[keep]
+            t_old, i_old, v_old = state.get
+            t_old, i_old = np.asarray(t_old, "int64"), np.asarray(i_old, "int64")
+            lt, li = t_old[-1], i_old[-1]
+            keep = (t_new > lt) | ((t_new == lt) & (i_new > li))  # older rows are late: dropped
+            if not keep.all():
+                new, t_new, i_new = new[keep].reset_index(drop=True), t_new[keep], i_new[keep]
+        else:
+            t_old = i_old = np.zeros(0, "int64")
+            v_old = [[] for _ in cols]
         if len(new) == 0:
             return
-        allrows = pd.concat([tail[in_cols], new[in_cols]], ignore_index=True) if len(tail) else new[in_cols]
-        allrows = allrows.reset_index(drop=True)
-        res = {}
-        for c in cols:
-            x = allrows[c].astype("float64")
-            res[delta_name(k, c)] = (x - x.shift(k)).fillna(0.0)
+        m = len(new)
+        tails = []
+        for j, c in enumerate(cols):
+            x = np.concatenate([np.asarray(v_old[j], "float64"), new[c].to_numpy("float64", na_value=np.nan)])
+            sx = pd.Series(x)
+            new[delta_name(k, c)] = (sx - sx.shift(k)).fillna(0.0).to_numpy()[-m:]
             for n in windows:
-                r = x.rolling(window=n, min_periods=1)
-                for s in stats:
-                    res[rolling_name(s, n, c)] = r.agg(s).fillna(0.0)
-        feats = pd.DataFrame(res)
-        emitted = pd.concat([allrows, feats], axis=1).iloc[len(allrows) - len(new):]
-        keep_tail = allrows.iloc[-h:].copy()
-        state.update((keep_tail.to_json(orient="split", date_unit="us", date_format="iso"),))
-        yield emitted[[f.name for f in out_schema.fields]]
+                r = sx.rolling(window=n, min_periods=1)
+                for st in stats:
+                    new[rolling_name(st, n, c)] = r.agg(st).fillna(0.0).to_numpy()[-m:]
+            tails.append(x[-h:].tolist())
+        state.update((np.concatenate([t_old, t_new])[-h:].tolist(),
+                      np.concatenate([i_old, i_new])[-h:].tolist(), tails))
+        yield new[out_names]
 
     res = sdf.groupBy(cfg.entity).applyInPandasWithState(fn, out_schema, state_schema, "append",
                                                          GroupStateTimeout.NoTimeout)
