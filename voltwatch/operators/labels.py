@@ -86,8 +86,8 @@ def rate_per_second(df: DataFrame, cfg: Columns, col: str, out: str | None = Non
     out = out or f"Rate_{col}"
     lay, d, added = prepare(df, cfg, layout, scale)
     w = lay.window()
-    t = F.col(cfg.time).cast("timestamp")
-    dt = F.unix_micros(t) - F.unix_micros(F.lag(t, 1).over(w))
+    t = F.col(cfg.time)
+    dt = F.timestamp_diff("MICROSECOND", F.lag(t, 1).over(w), t)  # zone-free for timestamp_ntz
     e = {out: F.coalesce(F.when(dt > 0, (F.col(col) - F.lag(col, 1).over(w)) / (dt / 1e6)), F.lit(0.0))}
     res = with_frames(d, cfg, e, 1, lay, scale)
     return finish(lay, res, added)
