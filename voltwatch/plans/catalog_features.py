@@ -224,3 +224,24 @@ FROM tele""")
 def q_label_onsets(spark, sf):
     d = features.onsets(events_telemetry(spark, sf), EVENTS)
     return rounded(d.select("event_id", "user_id", "ts", "label", "is_onset"))
+
+
+MORE_STATS = ("var", "count", "median")
+
+
+def _roll_more_sql(stat, n, c):
+    fn = {"var": "var_samp", "count": "count", "median": "median"}[stat]
+    return (f"round(coalesce(CAST({fn}({c}) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN {n - 1} "
+            f"PRECEDING AND CURRENT ROW) AS DOUBLE), 0), 6) AS Rolling_{stat}_{n}_{c}")
+
+
+@query("rolling_more_stats", f"""
+WITH {EVENTS_SQL}
+SELECT event_id, user_id, ts, {', '.join(_roll_more_sql(s, 6, 'value') for s in MORE_STATS)}
+FROM tele""")
+def q_rolling_more_stats(spark, sf):
+    """The other registered statistics (variance, count of non-null
+    readings, median of the frame) on the NULL-injected readings."""
+    d = features.rolling(events_telemetry(spark, sf), EVENTS, ["value"], (6,), MORE_STATS)
+    names = [features.rolling_name(s, 6, "value") for s in MORE_STATS]
+    return rounded(d.select("event_id", "user_id", "ts", *names))
