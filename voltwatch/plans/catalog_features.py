@@ -5,6 +5,7 @@ from __future__ import annotations
 from voltwatch.config import Columns
 from voltwatch.operators import clean, features
 from voltwatch.plans.featureset import FeatureSpec, feature_pipeline
+from voltwatch.plans.layout import plan_layout
 from voltwatch.plans.registry import query, rounded
 from voltwatch.sources.tables import EVENTS, EVENTS_SQL, events_telemetry, table
 
@@ -147,9 +148,7 @@ SELECT event_id, user_id, ts,
        {_delta_sql('value', 3)} AS Delta_3_value, {_delta_sql('k', 3)} AS Delta_3_k
 FROM tele""")
 def q_delta_k(spark, sf):
-    d = events_telemetry(spark, sf)
-    d = features.delta(d, EVENTS, ["value", "k"], 1)
-    d = features.delta(d, EVENTS, ["value", "k"], 3)
+    d = features.delta(events_telemetry(spark, sf), EVENTS, ["value", "k"], (1, 3))
     return rounded(d.select("event_id", "user_id", "ts", "Delta_1_value", "Delta_1_k",
                             "Delta_3_value", "Delta_3_k"))
 
@@ -183,8 +182,9 @@ SELECT event_id, user_id, ts, {_roll_sql('mean', 6, 'k', None)}, {_roll_sql('std
 FROM tele""")
 def q_rolling_global(spark, sf):
     d = events_telemetry(spark, sf)
-    d = features.rolling(d, GLOBAL, ["k"], (6,), ("mean", "std"))
-    d = features.delta(d, GLOBAL, ["k"], 1)
+    lay = plan_layout(d, GLOBAL)  # one layout decision for both operators
+    d = features.rolling(d, GLOBAL, ["k"], (6,), ("mean", "std"), layout=lay)
+    d = features.delta(d, GLOBAL, ["k"], 1, layout=lay)
     return rounded(d.select("event_id", "user_id", "ts", "Rolling_mean_6_k", "Rolling_std_6_k", "Delta_1_k"))
 
 
