@@ -72,6 +72,7 @@ def q_stream_daily_stats(spark, sf):
 
 
 STREAM_WINDOWS = (6, 30)
+STATE_TTL_S = 30 * 86400  # an entity silent for 30 days of event time loses its tail
 
 
 def _roll(stat, n, c):
@@ -93,7 +94,8 @@ def q_stream_features(spark, sf):
     sdf = _events_stream(spark, sf).select("event_id", "ts", "user_id", "value", "k")
     out = scratch_path(spark, "features")
     S.feature_stream(sdf, EVENTS, ["value", "k"], STREAM_WINDOWS, ("mean", "std"), 1,
-                     out=f"{out}/out", checkpoint=f"{out}/chk", name=f"features_{out[-12:]}")
+                     out=f"{out}/out", checkpoint=f"{out}/chk", name=f"features_{out[-12:]}",
+                     state_ttl_s=STATE_TTL_S)
     res = spark.read.parquet(f"{out}/out").drop("epoch")
     return rounded(res.drop("value", "k"))
 

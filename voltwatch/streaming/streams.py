@@ -104,7 +104,8 @@ def score_stream(sdf: DataFrame, model: ml.ScoringModel, rules: dict[str, Column
 
 # ---------------------------------------------------------------- T2 online delta and rolling
 def feature_stream(sdf: DataFrame, cfg: Columns, cols, windows=(6, 30, 60), stats=("mean", "std"), k: int = 1,
-                   out: str | None = None, checkpoint: str | None = None, name: str = "feature_stream"):
+                   out: str | None = None, checkpoint: str | None = None, name: str = "feature_stream",
+                   state_ttl_s: int | None = None, watermark: str = WATERMARK):
     """Per-entity delta and rolling features on a stream, equal to the
     batch operators.  State per entity = the last max(window)-1 rows (a
     bounded JSON record); each micro-batch sorts the entity's new rows by
@@ -112,6 +113,10 @@ def feature_stream(sdf: DataFrame, cfg: Columns, cols, windows=(6, 30, 60), stat
     the new rows and keeps the tail.  Rows older than the state are ignored
     (dropped), as late data.
 
+    ``state_ttl_s`` bounds the state: an entity whose newest reading is
+    that much older than the event-time watermark loses its tail (an
+    event-time timeout, so it also fires in ``availableNow`` runs).
+
     Returns the streaming DataFrame when ``out`` is None, else runs it to
     the end into ``out``.
     """
@@ -133,11 +138,20 @@ def feature_stream(sdf: DataFrame, cfg: Columns, cols, windows=(6, 30, 60), stat
     out_names = [f.name for f in out_schema.fields]
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         parts = list(pdfs)
         new = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
         new = new.sort_values(order, kind="mergesort").reset_index(drop=True)
         t_new = new[tcol].to_numpy("datetime64[us]").astype("int64")
         i_new = new[tie].to_numpy("int64") if tie else np.zeros(len(new), "int64")
+        if state.exists and state_ttl_s:
+            # a group with new data gets its old state even when the timeout
+            # has passed; apply the TTL against the watermark here as well
+            last_ms = int(state.get[0][-1]) // 1000
+            if last_ms + state_ttl_s * 1000 < state.getCurrentWatermarkMs():
+                state.remove()
         if state.exists:
             t_old, i_old, v_old = state.get
             t_old, i_old = np.asarray(t_old, "int64"), np.asarray(i_old, "int64")
@@ -161,12 +175,19 @@ def feature_stream(sdf: DataFrame, cfg: Columns, cols, windows=(6, 30, 60), stat
                 for st in stats:
                     new[rolling_name(st, n, c)] = r.agg(st).fillna(0.0).to_numpy()[-m:]
             tails.append(x[-h:].tolist())
-        state.update((np.concatenate([t_old, t_new])[-h:].tolist(),
-                      np.concatenate([i_old, i_new])[-h:].tolist(), tails))
+        t_all = np.concatenate([t_old, t_new])
+        state.update((t_all[-h:].tolist(), np.concatenate([i_old, i_new])[-h:].tolist(), tails))
+        if state_ttl_s:
+            # wall-clock micros read as UTC, the same mapping as the watermark column
+            state.setTimeoutTimestamp(int(t_all[-1] // 1000) + state_ttl_s * 1000)
         yield new[out_names]
 
-    res = sdf.groupBy(cfg.entity).applyInPandasWithState(fn, out_schema, state_schema, "append",
-                                                         GroupStateTimeout.NoTimeout)
+    timeout = GroupStateTimeout.NoTimeout
+    src = sdf
+    if state_ttl_s:
+        timeout = GroupStateTimeout.EventTimeTimeout
+        src = sdf.withColumn("_vw_et", ntz_to_instant(F.col(tcol))).withWatermark("_vw_et", watermark)
+    res = src.groupBy(cfg.entity).applyInPandasWithState(fn, out_schema, state_schema, "append", timeout)
     if out is None:
         return res
     run_to_end(res, append_epoch(out), name, checkpoint)
