@@ -34,3 +34,28 @@ def test_state_ttl_expires_idle_entity(spark):
     # B reported within the TTL each time: its frames continue
     assert res[("B", 101)]["Delta_1_x"] == 1.0
     assert res[("A", 4)]["Rolling_mean_3_x"] == 3.0
+
+
+def test_late_rows_are_dropped_in_append_mode(spark):
+    minute = dt.timedelta(minutes=1)
+    chunks = [
+        [("A", T0 + i * minute, i, 1.0) for i in range(60)],          # up to 00:59
+        [("A", T0 + 61 * minute, 101, 1.0)],                           # windows up to 00:49 close
+        [("A", T0 + 2 * minute, 100, 1.0), ("A", T0 + 62 * minute, 102, 1.0)],  # 00:02 arrives late
+    ]
+    schema = "e string, t timestamp_ntz, i long, x double"
+    folder = scratch_path(spark, "late-in")
+    for rows in chunks:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    sdf = S.read_stream(spark, folder, spark.createDataFrame([], schema).schema, max_files=1)
+    sdf = sdf.withColumn("y", F.lit(1))
+    out = scratch_path(spark, "late-out")
+    dropped = S.run_aggregate(S.outcome_rate(sdf, "t", "y"), f"{out}/o", f"{out}/c", "late_test", mode="append")
+    assert dropped >= 0
+    res = spark.read.parquet(f"{out}/o")
+    # the window [00:00, 00:05) closed before the late 00:02 reading arrived: it keeps 5 events
+    first = res.where(F.col("window_start") == F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).collect()
+    assert [r["events"] for r in first] == [5]
+    # no window holds the late row twice over: total events of closed windows come from on-time rows
+    assert res.where(F.col("window_end") <= F.lit("2024-01-01 00:07:00").cast("timestamp_ntz")) \
+        .agg(F.max("events")).first()[0] == 5

@@ -54,9 +54,11 @@ def read_stream(spark: SparkSession, folder: str, schema: T.StructType, fmt: str
     return r.load(folder)
 
 
-def run_to_end(sdf: DataFrame, batch_fn, name: str, checkpoint: str, mode: str = "append") -> None:
+def run_to_end(sdf: DataFrame, batch_fn, name: str, checkpoint: str, mode: str = "append") -> int:
     """Run ``sdf`` with ``foreachBatch(batch_fn)`` until the available input
-    is processed (``availableNow``), then stop."""
+    is processed (``availableNow``), then stop.  Returns the number of rows
+    the stateful operators dropped as later than the watermark (from the
+    query progress)."""
     q = (sdf.writeStream.outputMode(mode).foreachBatch(batch_fn).queryName(name)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     try:
@@ -65,6 +67,13 @@ def run_to_end(sdf: DataFrame, batch_fn, name: str, checkpoint: str, mode: str =
         q.stop()
     if q.exception():
         raise q.exception()
+    return late_rows(q)
+
+
+def late_rows(q) -> int:
+    """Rows dropped by the watermark over the query's recent progress."""
+    return int(sum(op.get("numRowsDroppedByWatermark", 0) or 0
+                   for p in q.recentProgress for op in (p.get("stateOperators") or [])))
 
 
 def append_epoch(path: str):
@@ -255,10 +264,19 @@ def _minutes(length: str) -> float:
                        "hours": 60, "day": 1440, "days": 1440}[unit]
 
 
-def run_aggregate(sdf_agg: DataFrame, out: str, checkpoint: str, name: str) -> str:
-    """Run a windowed aggregate to the end in complete mode into ``out``."""
-    run_to_end(sdf_agg, overwrite_all(out), name, checkpoint, mode="complete")
-    return out
+def run_aggregate(sdf_agg: DataFrame, out: str, checkpoint: str, name: str, mode: str = "complete") -> int:
+    """Run a windowed aggregate to the end into ``out``.
+
+    complete  every epoch rewrites the whole result (all windows, late rows
+              included: complete mode keeps all state);
+    append    closed windows are appended per epoch; rows later than the
+              watermark are dropped.
+    Returns Spark's ``numRowsDroppedByWatermark`` summed over the run; for
+    window aggregates Spark may drop late rows before the state store and
+    report 0, so treat it as a lower bound.
+    """
+    writer = overwrite_all(out) if mode == "complete" else append_epoch(out)
+    return run_to_end(sdf_agg, writer, name, checkpoint, mode=mode)
 
 
 def stream_folder(spark: SparkSession, df: DataFrame, time: str, chunks: int) -> str:
