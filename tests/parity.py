@@ -15,6 +15,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 
 
+SPARK_TO_DUCK = {"double": "DOUBLE", "bigint": "BIGINT", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
@@ -48,15 +51,19 @@ def compare(spark, name: str, sf_dir: str, con=None, verbose=False):
     q = E.queries()[name]
     sql = E.oracle_sql().get(name)
     t0 = time.time()
-    sp = q(spark, sf_dir).toPandas()
+    sdf = q(spark, sf_dir)
+    sp_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    sp = sdf.toPandas()
     t1 = time.time()
     if sql is None:
         return {"name": name, "rows": len(sp), "oracle": None, "spark_s": round(t1 - t0, 2)}
     con = con or duck(sf_dir)
     dk = con.sql(sql).df()
+    dk_types = {c[0]: c[1] for c in con.execute(f"DESCRIBE {sql}").fetchall()}
+    types_ok = all(SPARK_TO_DUCK.get(t, t) == dk_types.get(c) for c, t in sp_types.items())
     a, b = digest(sp), digest(dk)
     res = {"name": name, "rows": (a[0], b[0]), "cols": a[1] == b[1], "hash": a[2] == b[2],
-           "spark_s": round(t1 - t0, 2)}
+           "types": types_ok, "spark_s": round(t1 - t0, 2)}
     if verbose and not (a[1] == b[1] and a[2] == b[2]):
         res["spark_cols"], res["duck_cols"] = a[1], b[1]
         if a[1] == b[1]:

@@ -25,6 +25,6 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_oracle(spark, con, name):
     r = compare(spark, name, SF01, con)
-    assert r["rows"][0] == r["rows"][1] and r["cols"]
+    assert r["rows"][0] == r["rows"][1] and r["cols"] and r["types"], r
     if name not in ROUNDING_TIES:
         assert r["hash"], r

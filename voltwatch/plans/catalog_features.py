@@ -110,7 +110,8 @@ LINE = Columns(entity="l_suppkey", time="l_shipdate", tie="l_orderkey")
 WITH q AS (SELECT l_suppkey, quantile_cont(l_extendedprice, 0.01) AS lo,
                   quantile_cont(l_extendedprice, 0.99) AS hi
            FROM lineitem GROUP BY l_suppkey)
-SELECT l_orderkey, l_linenumber, l_suppkey, {_clip_sql('l_extendedprice', 'lo', 'hi')} AS l_extendedprice
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_suppkey,
+       {_clip_sql('l_extendedprice', 'lo', 'hi')} AS l_extendedprice
 FROM lineitem JOIN q USING (l_suppkey)""")
 def q_clip_by_supplier(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey",
@@ -124,7 +125,7 @@ WITH q AS (SELECT quantile_cont(l_quantity, 0.01) AS lo_q, quantile_cont(l_quant
                   quantile_cont(l_extendedprice, 0.01) AS lo_p, quantile_cont(l_extendedprice, 0.99) AS hi_p,
                   quantile_cont(l_discount, 0.01) AS lo_d, quantile_cont(l_discount, 0.99) AS hi_d
            FROM lineitem)
-SELECT l_orderkey, l_linenumber,
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
        {_clip_sql('l_quantity', 'lo_q', 'hi_q')} AS l_quantity,
        {_clip_sql('l_extendedprice', 'lo_p', 'hi_p')} AS l_extendedprice,
        {_clip_sql('l_discount', 'lo_d', 'hi_d')} AS l_discount
@@ -203,7 +204,7 @@ def _features_sql():
     rolls = ", ".join(_roll_sql(s, n, c) for c in ("value", "k") for n in (6, 30) for s in ("mean", "std"))
     return f"""
 WITH {EVENTS_SQL}, {filled}, {q}, {clipped}
-SELECT event_id, user_id, ts, label, round(value, 6) AS value, round(k, 6) AS k,
+SELECT event_id, user_id, ts, CAST(label AS BIGINT) AS label, round(value, 6) AS value, round(k, 6) AS k,
        {_delta_sql('value', 1)} AS Delta_1_value, {_delta_sql('k', 1)} AS Delta_1_k,
        {rolls}
 FROM clipped"""

@@ -145,7 +145,7 @@ def q_change_probe(spark, sf):
 
 # ---------------------------------------------------------------- A11-A17
 @query("class_weights", """
-SELECT toxic, CAST(count(*) AS BIGINT) AS n,
+SELECT CAST(toxic AS BIGINT) AS toxic, CAST(count(*) AS BIGINT) AS n,
        round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight
 FROM labels GROUP BY toxic""")
 def q_class_weights(spark, sf):
@@ -227,7 +227,8 @@ def q_ranking_metrics(spark, sf):
 
 # ---------------------------------------------------------------- R1, R3, R4
 @query("melt_features", _union([
-    f"SELECT l_orderkey, l_linenumber, '{c}' AS Feature, round(CAST({c} AS DOUBLE), 6) AS Value FROM lineitem"
+    f"SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, '{c}' AS Feature, "
+    f"round(CAST({c} AS DOUBLE), 6) AS Value FROM lineitem"
     for c in LINE_NUM]))
 def q_melt_features(spark, sf):
     li = table(spark, sf, "lineitem")
@@ -250,7 +251,8 @@ HOT_VALUE = 300.0
 
 def _daily(spark, sf):
     ev = table(spark, sf, "events")
-    d = ev.groupBy("user_id", F.date_trunc("day", "ts").alias("day")).agg(F.max("value").alias("max_value"))
+    day = reshape.bucket_start(F.col("ts"), 86400, ev.schema["ts"].dataType)  # stays timestamp_ntz
+    d = ev.groupBy("user_id", day.alias("day")).agg(F.max("value").alias("max_value"))
     return d.select((F.col("user_id") / 8).cast("long").alias("rack"), (F.col("user_id") % 8).alias("ordinal"),
                     "day", "user_id", "max_value", (F.col("max_value") > HOT_VALUE).alias("hot"))
 
@@ -260,7 +262,7 @@ WITH d AS (SELECT user_id // 8 AS rack, user_id % 8 AS ordinal, date_trunc('day'
                   max(value) AS max_value FROM events GROUP BY user_id, date_trunc('day', ts)),
 h AS (SELECT *, max_value > {HOT_VALUE} AS hot FROM d)
 SELECT a.rack, a.ordinal, a.day, a.user_id, round(a.max_value, 6) AS max_value, CAST(a.hot AS BIGINT) AS hot,
-       round(200.0 * count(b.user_id), 6) AS exposure
+       round(CAST(200 * count(b.user_id) AS DOUBLE), 6) AS exposure
 FROM h a LEFT JOIN h b ON a.rack = b.rack AND a.day = b.day AND abs(a.ordinal - b.ordinal) = 1 AND b.hot
 GROUP BY a.rack, a.ordinal, a.day, a.user_id, a.max_value, a.hot""")
 def q_neighbour_exposure(spark, sf):
@@ -270,7 +272,7 @@ def q_neighbour_exposure(spark, sf):
 # ---------------------------------------------------------------- C8-C10, C14
 @query("parent_key", """
 SELECT c_custkey, split_part(c_name, '#', 1) AS parent,
-       TRY_CAST(nullif(regexp_extract(c_name, '#(\\d+)$', 1), '') AS INTEGER) AS ordinal
+       CAST(TRY_CAST(nullif(regexp_extract(c_name, '#(\\d+)$', 1), '') AS INTEGER) AS BIGINT) AS ordinal
 FROM customer""")
 def q_parent_key(spark, sf):
     c = table(spark, sf, "customer")
@@ -280,7 +282,7 @@ def q_parent_key(spark, sf):
 
 @query("ordinal_key", """
 SELECT p_partkey, split_part(p_brand, '#', 1) AS parent,
-       TRY_CAST(nullif(regexp_extract(p_brand, '#(\\d+)$', 1), '') AS INTEGER) AS ordinal,
+       CAST(TRY_CAST(nullif(regexp_extract(p_brand, '#(\\d+)$', 1), '') AS INTEGER) AS BIGINT) AS ordinal,
        format('{}_Module{:02d}', split_part(p_brand, '#', 1),
               TRY_CAST(nullif(regexp_extract(p_brand, '#(\\d+)$', 1), '') AS INTEGER)) AS rebuilt
 FROM part""")
