@@ -87,8 +87,8 @@ def test_knn_exact_blocks_agree(spark):
     pts = [(i, [float(x) for x in rng.normal(size=3)]) for i in range(60)]
     df = spark.createDataFrame(pts, "id long, v array<double>")
     one = ml.knn_exact(df, "id", "v", 5, 1000).orderBy("id", "_vw_rank").collect()
-    many = ml.knn_exact(df, "id", "v", 5, 7).orderBy("id", "_vw_rank").collect()
-    assert one == many
+    many = ml.knn_exact(df, "id", "v", 5, 7, chunk=4).orderBy("id", "_vw_rank").collect()
+    assert one == many and len(one) == 60 * 5
     arr = np.array([p[1] for p in pts])
     d = ((arr[:, None, :] - arr[None, :, :]) ** 2).sum(-1)
     np.fill_diagonal(d, np.inf)
