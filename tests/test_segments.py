@@ -2,6 +2,7 @@
 and compare with the plain per-entity window."""
 
 import pandas as pd
+from pyspark.sql import functions as F
 import pytest
 
 from conftest import SF001
@@ -78,3 +79,27 @@ def test_feature_pipeline_hot(ev):
 def test_frame_too_long_rejected(ev):
     with pytest.raises(ValueError):
         features.rolling(ev, EVENTS, ["k"], (60,), ("mean",), scale=HOT).count()
+
+
+def test_running_based_operators_hot(ev):
+    from voltwatch.operators import labels
+    v = F.col("value")
+    tiers = [("PreRunaway", v > 300), ("Degrading", v > 150)]
+    same(labels.severity(ev, EVENTS, ("Runaway", v >= 400), tiers),
+         labels.severity(ev, EVENTS, ("Runaway", v >= 400), tiers, scale=HOT))
+    same(labels.inject_ramp(ev, EVENTS, 7, 3, 12, {"value": (10.0, 60.0, 2, None, None)}),
+         labels.inject_ramp(ev, EVENTS, 7, 3, 12, {"value": (10.0, 60.0, 2, None, None)}, scale=HOT))
+    same(labels.rate_per_second(ev, EVENTS, "k"), labels.rate_per_second(ev, EVENTS, "k", scale=HOT))
+
+
+def test_curve_and_ks_segmented(spark, ev):
+    from voltwatch.operators import drift, metrics
+    tiny = Scale(hot_entity_rows=40)
+    d = ev.where(F.col("value").isNotNull())
+    a = metrics.ranking_metrics(d, "value", "label").first()
+    b = metrics.ranking_metrics(d, "value", "label", tiny).first()
+    assert a["roc_auc"] == pytest.approx(b["roc_auc"], abs=1e-12) and a["pr_auc"] == pytest.approx(b["pr_auc"], abs=1e-12)
+    half = F.col("event_id") < 500
+    x = {r["feature"]: r["ks_stat"] for r in drift.drift_ks(d.where(half), d.where(~half), ["value", "k"]).collect()}
+    y = {r["feature"]: r["ks_stat"] for r in drift.drift_ks(d.where(half), d.where(~half), ["value", "k"], tiny).collect()}
+    assert x == pytest.approx(y)
