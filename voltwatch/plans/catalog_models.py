@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from voltwatch.functions.columns import label_text, prediction_typing
 from voltwatch.operators import drift, metrics, ml
 from voltwatch.plans.catalog_features import FEATURE_SPEC
 from voltwatch.plans.featureset import feature_pipeline
@@ -288,8 +289,8 @@ def q_batch_score(spark, sf):
     d, feats = _features(spark, sf)
     m = ml.train(d.where("is_test = 0"), feats, "label", "gbt")
     sc = ml.score(d, m, keep=["event_id", "user_id"])
-    return sc.select("event_id", F.col("user_id").cast("string").alias("entity_id"), "prediction", "probability",
-                     F.when(F.col("prediction") == 1, "Hazardous").otherwise("Normal").alias("outcome"))
+    typed = prediction_typing(F.col("prediction"), F.col("probability"), F.col("user_id").cast("string"))
+    return sc.select("event_id", *typed, label_text("prediction").alias("outcome"))
 
 
 @query("smote_balance")

@@ -14,7 +14,6 @@ session time zone.
 from __future__ import annotations
 
 import io
-import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -297,6 +296,3 @@ def stream_folder(spark: SparkSession, df: DataFrame, time: str, chunks: int) ->
         part.coalesce(1).write.mode("append").parquet(path)
     return path
 
-
-def json_dumps(x) -> str:
-    return json.dumps(x)
