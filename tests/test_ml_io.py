@@ -95,3 +95,16 @@ def test_knn_exact_blocks_agree(spark):
     want = np.argsort(d, axis=1, kind="stable")[:, :5]
     got = np.array([r["_vw_nn"] for r in one]).reshape(60, 5)
     assert (np.sort(got, 1) == np.sort(want, 1)).all()
+
+
+def test_entity_and_time_splits(ev):
+    s = ml.entity_split(ev, "user_id")
+    per = s.groupBy("user_id").agg(F.countDistinct("is_test").alias("n"), F.max("is_test").alias("t")).collect()
+    assert all(r["n"] == 1 for r in per)  # an entity is never split
+    assert sum(r["t"] for r in per) == int(len(per) * 0.2 + 0.5)
+    t = ml.time_split(ev, "ts")
+    lo = t.where("is_test = 1").agg(F.min("ts")).first()[0]
+    hi = t.where("is_test = 0").agg(F.max("ts")).first()[0]
+    assert hi < lo
+    share = t.where("is_test = 1").count() / t.count()
+    assert abs(share - 0.2) < 0.01

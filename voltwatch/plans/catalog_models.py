@@ -424,3 +424,24 @@ def q_prediction_drift(spark, sf):
              .agg(F.max("ref_pos_share").alias("ref_pos_share"), F.max("cur_pos_share").alias("cur_pos_share"))
              .withColumn("feature", F.lit("probability")))
     return ks.join(psi, "feature").join(share, "feature")
+
+
+# ---------------------------------------------------------------- H7 leakage-safe splits
+@query("split_by_entity", f"""
+WITH u AS (SELECT DISTINCT user_id FROM events),
+r AS (SELECT user_id, row_number() OVER (ORDER BY {_u_sql('user_id')}, user_id) AS rk, count(*) OVER () AS n FROM u)
+SELECT e.event_id, e.user_id, CAST(r.rk <= floor(r.n * 0.2 + 0.5) AS BIGINT) AS is_test
+FROM events e JOIN r USING (user_id)""")
+def q_split_by_entity(spark, sf):
+    """H7: whole entities to test, so rolling windows do not leak."""
+    ev = events_telemetry(spark, sf)
+    return rounded(ml.entity_split(ev, "user_id").select("event_id", "user_id", "is_test"))
+
+
+@query("split_by_time", """
+WITH c AS (SELECT quantile_cont(CAST(epoch_us(ts) AS DOUBLE), 0.8) AS cut FROM events)
+SELECT event_id, CAST(CAST(epoch_us(ts) AS DOUBLE) >= cut AS BIGINT) AS is_test FROM events, c""")
+def q_split_by_time(spark, sf):
+    """H7: the latest 20 % of time to test."""
+    ev = events_telemetry(spark, sf)
+    return rounded(ml.time_split(ev, "ts").select("event_id", "is_test"))
