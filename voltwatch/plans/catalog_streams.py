@@ -58,8 +58,10 @@ SELECT ws AS window_start, ws + INTERVAL 5 MINUTE AS window_end, round(p95, 6) A
        CAST(events AS BIGINT) AS events, CAST(over AS BIGINT) AS over, CAST(over AND prev_ok AS BIGINT) AS alert
 FROM l""")
 def q_stream_p95_alert(spark, sf):
-    res = _run_agg(spark, S.value_quantile(_events_stream(spark, sf), "ts", "value", 0.95), "p95")
-    return rounded(S.alerts(res, "p95", P95_THRESHOLD, ALERT_SPAN))
+    out = scratch_path(spark, "p95")
+    S.alert_stream(S.value_quantile(_events_stream(spark, sf), "ts", "value", 0.95), "p95", P95_THRESHOLD,
+                   ALERT_SPAN, f"{out}/out", f"{out}/chk", f"p95_{out[-12:]}")
+    return rounded(spark.read.parquet(f"{out}/out"))
 
 
 @query("stream_daily_stats", """

@@ -250,6 +250,16 @@ def alerts(windows: DataFrame, metric: str, threshold: float, span: int, slide_s
     return d.withColumn("alert", ok)
 
 
+def alert_stream(sdf_windows: DataFrame, metric: str, threshold: float, span: int, out: str, checkpoint: str,
+                 name: str = "alert_stream", slide_s: int = 60) -> int:
+    """T5 inside ``foreachBatch``: every epoch receives the complete window
+    table, flags the alerts on it and rewrites ``out`` (windows + over +
+    alert).  Returns rows dropped by the watermark, as ``run_to_end``."""
+    def write(batch: DataFrame, epoch: int):
+        alerts(batch, metric, threshold, span, slide_s).write.mode("overwrite").parquet(out)
+    return run_to_end(sdf_windows, write, name, checkpoint, mode="complete")
+
+
 def daily_stats(sdf: DataFrame, time: str, value: str, length="1 day") -> DataFrame:
     """Tumbling-window statistics of a value."""
     return windowed(sdf, time, length, None, [
