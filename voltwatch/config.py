@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -45,7 +45,6 @@ class Scale:
     hot_entity_rows: int = 4_000_000
     broadcast_rows: int = 2_000_000
     approx_accuracy: int = 10_000
-    extra: dict = field(default_factory=dict)
 
 
 DEFAULT_SCALE = Scale()
