@@ -291,3 +291,16 @@ def small_side(df: DataFrame, limit: int) -> DataFrame:
 
     d = df.persist(StorageLevel.MEMORY_AND_DISK)
     return F.broadcast(d) if d.count() <= limit else d
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage between stages that re-read their input several times
+    (carries, quantile bands, halo tails): a reliable checkpoint into the
+    session's shared checkpoint folder (never ``localCheckpoint``), so a
+    lost executor re-reads the files instead of recomputing the stages.
+    The partitioning is kept, so the next window by (entity, SEG) does not
+    shuffle again."""
+    from voltwatch.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
