@@ -1,11 +1,13 @@
 """Operator 3: byte-level BPE encoding and decoding with a rank queue.
 
 Merges of one pre-token are drawn from a hierarchical bitmap: bit r of the
-lowest level says that some pair of rank r waits, each higher level says
-which word below is not empty, and find-first-set walks down three words to
-the lowest waiting rank.  The bucket of a rank is a heap of positions in a
+lower level says that some pair of rank r waits, the upper level says which
+words below are not empty, and find-first-set on both gives the lowest
+waiting rank.  The bucket of a rank is a heap of positions in a
 doubly linked list of parts, so equal ranks merge from the left; an entry is
 stale, and skipped, if the pair at its position no longer has that rank.
+Only pairs that rank before both their neighbours wait in the queue: the
+others cannot merge before a neighbour does, which replaces them.
 The cost is O(n log n) in the pre-token's length, so a megabyte without a
 break costs no more per byte than a word.
 
@@ -22,9 +24,9 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-import heapq
 import re
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import pyarrow as pa
 import regex
@@ -34,60 +36,16 @@ from pyspark.sql import functions as F
 from voltwatch.llm.common import text_of
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-WORD = 64
-#: The table of encoded pre-tokens: entries at most, characters per entry at most.
-TABLE, TABLE_CHARS = 1 << 19, 64
+#: log2 of the bits in a word of the lower level.
+SHIFT = 8
+#: The two tables of encoded pre-tokens: entries of each at most, characters per entry at most.
+TABLE, TABLE_CHARS = 1 << 18, 64
+#: The rank of a pair that no token joins.
+NONE = 1 << 40
 #: Texts of these characters only mean the same to the standard library's \\w and \\s.
 PLAIN = re.compile(r"[\x00-\x1b\x20-\x7fÀ-ɏ]*")
 
 
-class RankQueue:
-    """Positions by rank; pop() gives the lowest rank's leftmost position."""
-
-    def __init__(self, ranks: int):
-        self.levels = []
-        size = ranks
-        while True:
-            size = -(-size // WORD)
-            self.levels.append([0] * size)
-            if size == 1:
-                break
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [position]
-            for level in self.levels:
-                word, bit = divmod(rank, WORD)
-                was = level[word]
-                level[word] = was | (1 << bit)
-                if was:
-                    break
-                rank = word
-        else:
-            heapq.heappush(bucket, position)
-
-    def pop(self) -> tuple[int, int] | None:
-        rank = 0
-        for level in reversed(self.levels):
-            word = level[rank]
-            if not word:
-                return None
-            rank = rank * WORD + (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            at = rank
-            for level in self.levels:
-                at, bit = divmod(at, WORD)
-                level[at] &= ~(1 << bit)
-                if level[at]:
-                    break
-        return rank, position
-
-
 def quick_pattern(pattern: str) -> re.Pattern:
     """The pattern for the standard library; right for PLAIN texts."""
     plain = pattern.replace(r"[^\s\p{L}\p{N}]", r"(?:[^\s\w]|_)").replace(r"\p{L}", r"[^\W\d_]").replace(r"\p{N}", r"\d")
@@ -102,47 +60,80 @@ class ByteBpe:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.vocabulary = {i: token for token, i in self.ranks.items()}
         self.size = max(self.vocabulary) + 1
-        self.queue = RankQueue(self.size)  # empty between calls
+        # The queue, empty between calls: lower words of the bitmap, positions by rank.
+        self.low = [0] * ((self.size >> SHIFT) + 1)
+        self.buckets: dict[int, list[int]] = {}
         self.exact = regex.compile(pattern)
         self.quick = quick_pattern(pattern)
         self.table: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}  # the table before; what is found there moves up
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
-        ranks, queue, n = self.ranks, self.queue, len(piece)
+        ranks, low, buckets = self.ranks, self.low, self.buckets
         if piece in ranks:
             return [ranks[piece]]
-        after, before, end = list(range(1, n + 1)), list(range(-1, n - 1)), n
-        pair = [-1] * n
-        for i in range(n - 1):
-            rank = ranks.get(piece[i : i + 2], -1)
-            if rank >= 0:
-                pair[i] = rank
-                queue.push(rank, i)
-        while (item := queue.pop()) is not None:
-            rank, i = item
+        end, top, mask, known = len(piece), 0, (1 << SHIFT) - 1, ranks.get
+        after, before = list(range(1, end + 1)), list(range(-1, end - 1))
+        pair = [known(piece[i : i + 2], NONE) for i in range(end)]
+        pair[-1] = NONE
+        pair.append(NONE)  # also what before[0] = -1 looks at
+        waiting = [i for i in range(end - 1) if pair[i - 1] > pair[i] <= pair[i + 1]]
+        while True:
+            for i in waiting:
+                rank = pair[i]
+                if rank in buckets:
+                    heappush(buckets[rank], i)
+                else:
+                    buckets[rank] = [i]
+                    word = rank >> SHIFT
+                    if not low[word]:
+                        top |= 1 << word
+                    low[word] |= 1 << (rank & mask)
+            if not top:
+                break
+            word = (top & -top).bit_length() - 1
+            bits = low[word]
+            rank = (word << SHIFT) + (bits & -bits).bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                low[word] = bits = bits & (bits - 1)
+                if not bits:
+                    top &= top - 1
+            waiting = ()
             if pair[i] != rank:
                 continue
             j = after[i]
-            k = after[j]
-            after[i] = k
-            pair[j] = -1
+            k = after[i] = after[j]
+            pair[j] = NONE
+            h = before[i]
+            here = there = NONE
             if k < end:
                 before[k] = i
-                pair[i] = ranks.get(piece[i : after[k]], -1)
-                if pair[i] >= 0:
-                    queue.push(pair[i], i)
-            else:
-                pair[i] = -1
-            h = before[i]
+                here = known(piece[i : after[k]], NONE)
+            pair[i] = here
+            if h >= 0:
+                pair[h] = there = known(piece[h:k], NONE)
+            waiting = []
+            if here < NONE and there > here <= pair[k]:
+                waiting.append(i)
             if h >= 0:
-                pair[h] = ranks.get(piece[h:k], -1)
-                if pair[h] >= 0:
-                    queue.push(pair[h], h)
+                g = before[h]
+                if there < NONE and pair[g] > there <= here:
+                    waiting.append(h)
+                if g >= 0 and (last := pair[g]) < NONE and pair[before[g]] > last <= there:
+                    waiting.append(g)
+            if k < end and (last := pair[k]) < NONE and here > last <= pair[after[k]]:
+                waiting.append(k)
         ids, i = [], 0
         while i < end:
-            ids.append(ranks[piece[i : after[i]]])
-            i = after[i]
+            k = after[i]
+            ids.append(ranks[piece[i:k]])
+            i = k
         return ids
 
     def encode(self, text: str) -> list[int]:
@@ -151,10 +142,11 @@ class ByteBpe:
         for piece in pattern.findall(text):
             got = table.get(piece)
             if got is None:
-                got = self.merge(piece.encode())
+                got = self.older.get(piece) or self.merge(piece.encode())
                 if len(piece) <= TABLE_CHARS:
                     if len(table) >= TABLE:
-                        table.clear()
+                        self.older, self.table = table, {}
+                        table = self.table
                     table[piece] = got
             ids += got
         return ids

@@ -30,12 +30,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltwatch.llm.byte_bpe import PLAIN, TABLE, TABLE_CHARS, quick_pattern
 from voltwatch.llm.common import text_of
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -46,10 +44,9 @@ WINDOW, END, GROUP, CUT = 2048, 1, 1024, 512
 def fast_encoder(path: str, pattern: str):
     """text -> numpy ids, equal to the tokenizer file's without special tokens added.
 
-    The file's vocabulary and merge order are run by the rank encoder, and the
-    ids of short pre-tokens are kept in a table of bounded size, together
-    several times as fast as the file's own library; added tokens inside a
-    text are recognised as that library does.
+    The file's vocabulary and merge order are run by the rank encoder, several
+    times as fast as the file's own library; added tokens inside a text are
+    recognised as that library does.
     """
     import tiktoken
 
@@ -62,23 +59,10 @@ def fast_encoder(path: str, pattern: str):
     ranks = {bytes(byte_of[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in added}
     own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
 
-    exact, quick = regex.compile(pattern), quick_pattern(pattern)
-    table: dict[str, bytes] = {}
-    end = np.array([END], "<u4").tobytes()
-
-    def ids_of(piece: str) -> bytes:
-        got = np.array(own.encode_ordinary(piece), "<u4").tobytes()
-        if len(piece) <= TABLE_CHARS:
-            if len(table) >= TABLE:
-                table.clear()
-            table[piece] = got
-        return got
+    end = np.array([END], "<u4")
 
     def encode(text: str) -> np.ndarray:
-        if any(t in text for t in added):
-            return np.array([*own.encode(text, allowed_special="all"), END], "<u4")
-        pieces = (quick if PLAIN.fullmatch(text) else exact).findall(text)
-        return np.frombuffer(b"".join([table.get(x) or ids_of(x) for x in pieces]) + end, "<u4")
+        return np.append(own.encode_to_numpy(text, allowed_special="all"), end).astype("<u4", copy=False)
 
     return encode
 
