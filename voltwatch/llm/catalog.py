@@ -5,6 +5,7 @@ from __future__ import annotations
 from voltwatch.llm.byte_bpe import op3_byte_bpe
 from voltwatch.llm.host_rules import op9_host_rules
 from voltwatch.llm.license_scan import op6_license_scan
+from voltwatch.llm.minmax_dedup import op2_minmax_dedup
 from voltwatch.llm.packing import op5_packing
 from voltwatch.llm.relative_lz import op4_relative_lz
 from voltwatch.llm.secret_scan import op7_secret_scan
@@ -14,6 +15,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_substring_index,
+        op2_minmax_dedup,
         op3_byte_bpe,
         op4_relative_lz,
         op5_packing,
