@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from voltwatch.llm.byte_bpe import op3_byte_bpe
 from voltwatch.llm.host_rules import op9_host_rules
 from voltwatch.llm.license_scan import op6_license_scan
@@ -10,6 +11,7 @@ from voltwatch.llm.packing import op5_packing
 from voltwatch.llm.relative_lz import op4_relative_lz
 from voltwatch.llm.secret_scan import op7_secret_scan
 from voltwatch.llm.substring_index import op1_substring_index
+from voltwatch.llm.weak_labels import op10_quality_classifier
 
 QUERIES = {
     f.__name__: f
@@ -22,6 +24,10 @@ QUERIES = {
         op6_license_scan,
         op7_secret_scan,
         op9_host_rules,
+        op10_quality_classifier,
     )
 }
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES: dict[str, str] = {}
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
