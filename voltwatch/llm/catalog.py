@@ -11,6 +11,7 @@ from voltwatch.llm.packing import op5_packing
 from voltwatch.llm.relative_lz import op4_relative_lz
 from voltwatch.llm.secret_scan import op7_secret_scan
 from voltwatch.llm.substring_index import op1_substring_index
+from voltwatch.llm.topk_search import op8_topk_search
 from voltwatch.llm.weak_labels import op10_quality_classifier
 
 QUERIES = {
@@ -23,6 +24,7 @@ QUERIES = {
         op5_packing,
         op6_license_scan,
         op7_secret_scan,
+        op8_topk_search,
         op9_host_rules,
         op10_quality_classifier,
     )

@@ -8,12 +8,11 @@ confirmed on the full shingle sets.
 
 Documents with equal shingle sets are one class, so copies cost one row.
 In each bucket the class that shares most buckets overall is the pivot and
-is compared with every other member; linked classes are contracted.  While
-a bucket still holds several components, members outside its largest one
-are compared with the other components' members: first again pivot by
-pivot (a used pivot leaves its bucket), and, once few comparisons are left
-or after ROUNDS pivots, all that are left.  No pair whose
-classes already hang together is ever made.
+is compared with every other member; linked classes are contracted and the
+pivot leaves.  Classes of buckets that then still hold several components go through an
+exact prefix-filter join on their rarest shingles, across components only.
+So a bucket never yields all its pairs, and texts that share no more than a
+common passage yield none.
 
 Defined cases: null or empty text has no shingles, links with nothing and
 is its own component; fewer words than a shingle make one shingle; rows
@@ -39,10 +38,8 @@ from voltwatch.llm.hashing import mix, word_hashes
 BANDS = 24
 #: Bytes of text whose words are hashed at once.
 CHUNK = 1 << 19
-#: Comparisons per bucket row up to which what is left is compared at once.
-FEW = 8
-#: Pivot rounds before what is left is compared in any case.
-ROUNDS = 12
+#: Pivot rounds before the prefix filter takes what is left.
+ROUNDS = 1
 
 _RNG = np.random.default_rng(77)
 TURN = _RNG.integers(0, 2**64, 2 * BANDS, dtype=np.uint64)
@@ -158,10 +155,17 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
     reps = written(_texts(docs, classes.join(fame.select("cls"), "cls", "left_semi")), "texts")
     tested, comp = None, None
     for turn in range(ROUNDS + 1):
-        pairs, pivots = _left_to_compare(shared, comp, percent, last=turn == ROUNDS)
-        if pairs is None:
+        state = _open_buckets(shared, comp)
+        if state is None:
             break
-        pairs = pairs.distinct()
+        last = turn == ROUNDS
+        if last:
+            pairs = _prefix_pairs(state.select("cls", "comp").distinct(), reps, words, percent)
+        else:
+            who = state if comp is None else state.where("comp != largest")
+            best = who.groupBy("key").agg(F.max(F.struct("fame", "cls", "comp")).alias("p"))
+            pivots = written(best.select("key", F.col("p.cls").alias("x"), F.col("p.comp").alias("cx")), "pivots")
+            pairs = state.join(pivots, "key").where("comp != cx").select(F.least("cls", "x").alias("a"), F.greatest("cls", "x").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
@@ -171,40 +175,59 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
         tested = done if tested is None else written(tested.unionByName(done), "tested")
         if not done.where("ok").isEmpty():
             comp = components(tested.where("ok"))
-        if pivots is None:
-            break
-        shared = written(shared.join(pivots, ["key", "cls"], "left_anti"), "shared")
+        if not last:
+            shared = written(shared.join(pivots.select("key", F.col("x").alias("cls")), ["key", "cls"], "left_anti"), "shared")
     return _labelled(sets, classes, comp)
 
 
-def _left_to_compare(shared: DataFrame, comp: DataFrame | None, percent: int, last: bool) -> tuple[DataFrame | None, DataFrame | None]:
-    """(pairs a < b to compare next, the (key, cls) that are then compared with their whole bucket).
-
-    No pairs: every bucket is one component.  No pivots: these pairs are all that is left.
-    """
+def _open_buckets(shared: DataFrame, comp: DataFrame | None) -> DataFrame | None:
+    """Members of the buckets that hold several components, with comp and the bucket's largest; None if there are none."""
     if comp is None:
         state = shared.withColumn("comp", F.col("cls"))
     else:
         state = shared.join(comp.withColumnRenamed("v", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     state = written(state, "state")
     parts = state.groupBy("key", "comp").agg(F.count("*").alias("m"))
-    open_keys = parts.groupBy("key").agg(F.sum("m").alias("all"), F.max(F.struct("m", "comp")).alias("big")).where("big.m < all")
-    open_keys = written(open_keys.select("key", "all", F.col("big.m").alias("most"), F.col("big.comp").alias("largest")), "open")
-    rows, left = open_keys.agg(F.sum("all"), F.sum((F.col("all") - F.col("most")) * F.col("all"))).first()
-    if rows is None:
-        return None, None
-    state = written(state.join(open_keys.select("key", "largest"), "key"), "state")
-    every = last or (comp is not None and left <= FEW * rows)
-    if every:  # what is outside the largest component against all other components
-        one = state.where("comp != largest").select("key", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-    else:
-        who = state if comp is None else state.where("comp != largest")
-        best = who.groupBy("key").agg(F.max(F.struct("fame", "cls", "n", "comp")).alias("p"))
-        one = written(best.select("key", F.col("p.cls").alias("x"), F.col("p.n").alias("nx"), F.col("p.comp").alias("cx")), "pivots")
-    pairs = state.join(one, "key").where("comp != cx")
-    pairs = pairs.where((100 * F.least("n", "nx") >= percent * F.greatest("n", "nx")) if every else F.lit(True))
-    pairs = pairs.select(F.least("cls", "x").alias("a"), F.greatest("cls", "x").alias("b"))
-    return pairs, None if every else one.select("key", F.col("x").alias("cls"))
+    keys = parts.groupBy("key").agg(F.sum("m").alias("all"), F.max(F.struct("m", "comp")).alias("big")).where("big.m < all")
+    keys = written(keys.select("key", F.col("big.comp").alias("largest")), "open")
+    return None if keys.isEmpty() else written(state.join(keys, "key"), "state")
+
+
+def _prefix_pairs(members: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs of different components that may still be linked; loses none.
+
+    Shingles are ordered by how many members hold them, rarest first.  Sets
+    of similarity t share one of their first n - ceil(t n) + 1 shingles, and
+    after the first one shared (at places i, j) enough must be left for the
+    overlap wanted: min(n - i, m - j) >= t / (1 + t) (n + m).  A text that
+    shares only a common passage has more shingles of its own than that, and
+    drops out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [t.encode("utf-8", "surrogatepass") for t in b.column("text").to_pylist()]
+            parts = [shingle_sets(texts[lo:hi], words) for lo, hi in chunked(texts)]
+            values, counts = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in (0, 1))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(values.view(np.int64), pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column("cls"), b.column("comp"), lists], names=["cls", "comp", "hs"])
+
+    texts = reps.join(members, "cls").select("cls", "comp", "text")
+    sets = written(texts.mapInArrow(run, "cls binary, comp binary, hs array<long>"), "member-sets")
+    rows = sets.select("cls", F.explode("hs").alias("h"))
+    often = written(rows.groupBy("h").agg(F.count("*").alias("m")).where("m > 1"), "shingles")
+    held = rows.join(often, "h").groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("m", "h"))).alias("s"))
+    held = held.join(sets.select("cls", "comp", F.size("hs").alias("n")), "cls")
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    taken = (prefix - (F.col("n") - F.size("s"))).cast("int")  # shingles that only one member holds come first
+    held = held.withColumn("take", taken).where("take > 0")
+    alone = F.col("n") - F.size("s")  # they have the first places of the order
+    first = held.select("cls", "comp", "n", alone.alias("u"), F.posexplode(F.slice("s", F.lit(1), F.col("take"))).alias("i", "x"))
+    first = written(first.select("cls", "comp", "n", F.col("x.h").alias("h"), (F.col("u") + F.col("i")).alias("i")), "prefixes")
+    other = first.select("h", F.col("cls").alias("b"), F.col("comp").alias("other"), F.col("n").alias("nb"), F.col("i").alias("ib"))
+    enough = (100 + percent) * F.least(F.col("n") - F.col("i"), F.col("nb") - F.col("ib")) >= percent * (F.col("n") + F.col("nb"))
+    near = (F.col("comp") != F.col("other")) & (F.col("cls") < F.col("b")) & (100 * F.least("n", "nb") >= percent * F.greatest("n", "nb"))
+    return first.join(other, "h").where(near & enough).select(F.col("cls").alias("a"), "b").distinct()
 
 
 def _texts(docs: DataFrame, classes: DataFrame) -> DataFrame:
