@@ -139,7 +139,7 @@ def confirmer(words: int, percent: int):
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataFrame:
-    """doc_id, kd, kt, n_shingles, component_id, kept per row of docs."""
+    """doc_id, kd, kt, n_shingles, component_id, kept, group (one value per component; null without shingles) per row of docs."""
     sets = written(signed_sets(docs, words), "sets")
     classes = written(
         sets.where("cls is not null").groupBy("cls").agg(
@@ -242,17 +242,20 @@ def _labelled(sets: DataFrame, classes: DataFrame, comp: DataFrame | None) -> Da
     if comp is not None:
         grouped = own.join(comp.withColumnRenamed("v", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
         least = grouped.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-        own = grouped.join(least, "comp").select("cls", "component_id")
+        own = grouped.join(least, "comp").select("cls", "component_id", F.col("comp").alias("group"))
     else:
-        own = own.withColumnRenamed("doc_id", "component_id")
+        own = own.select("cls", F.col("doc_id").alias("component_id"), F.col("cls").alias("group"))
     out = sets.drop("keys").join(written(own, "component-ids"), "cls", "left")
     label = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "kd", "kt", "n_shingles", label.alias("component_id"), F.col("doc_id").eqNullSafe(label).alias("kept"))
+    return out.select("doc_id", "kd", "kt", "n_shingles", label.alias("component_id"), F.col("doc_id").eqNullSafe(label).alias("kept"), "group")
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one document of each component; copies of one row are reduced to one too."""
-    kept = near_duplicates(docs, words, percent).where("kept").select("kd", "kt").distinct()
+    """docs with one document of each component, that of the least doc_id (null last); copies of one row are reduced to one too."""
+    found = near_duplicates(docs, words, percent)
+    least = F.min(F.struct(F.col("doc_id").isNull(), "kd", "kt")).alias("x")
+    alone = found.where("group is null").select("kd", "kt").distinct()
+    kept = found.where("group is not null").groupBy("group").agg(least).select("x.kd", "x.kt").unionByName(alone)
     rows = docs.select(F.struct("*").alias("row"), *doc_key()).join(kept, ["kd", "kt"], "left_semi")
     return rows.dropDuplicates(["kd", "kt"]).select("row.*")
 

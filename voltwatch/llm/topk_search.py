@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltwatch.llm.common import doc_key, text_of, written
+from voltwatch.llm.common import NO_ID, doc_key, text_of, written
 from voltwatch.llm.hashing import word_hashes
 
 K, EVERY = 10, 50
@@ -142,18 +142,19 @@ def search(docs: DataFrame, k: int = K) -> DataFrame:
 
     def run(q: pa.Table, d: pa.Table) -> pa.Table:
         texts = d.column("text").to_pylist()
-        ids = np.array([x if x is not None else -1 for x in d.column("doc_id").to_pylist()], np.int64)
+        names = d.column("doc_id").to_pylist()
+        ids = np.array([NO_ID if x is None else x for x in names], np.int64)
         index = ShardIndex(texts, mean)
         out = []
         for name, terms in zip(q.column("q").to_pylist(), q.column("terms"), strict=True):
             t = pa.array(terms.values) if hasattr(terms, "values") else terms
             h = np.asarray(t.field("h")).view(np.uint64)
-            out += [(name, int(ids[i]), s) for i, s in index.top(h, np.asarray(t.field("w")), ids, k)]
+            out += [(name, names[i], s) for i, s in index.top(h, np.asarray(t.field("w")), ids, k)]
         cols = list(zip(*out, strict=True)) or [()] * 3
         return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())], names=["q", "doc_id", "score"])
 
     found = left.groupBy("shard", "part").cogroup(right.groupBy("shard", "part")).applyInArrow(run, "q long, doc_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "doc_id"))  # shards * k rows per query
+    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), F.asc_nulls_first("doc_id")))  # shards * k rows per query
     ranked = found.withColumn("rank", rank).where(F.col("rank") <= k)
     return ranked.select(F.col("q").alias("query_id"), F.col("rank").cast("long").alias("rank"), "doc_id", "score")
 
