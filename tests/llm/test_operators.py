@@ -273,21 +273,28 @@ def test_host_bad_host(spark):
 
 
 def test_classifier(spark):
-    """Held-out: the labels table is never read by the operator."""
+    """Held-out: the labels table is never read by the operator; its insults are English words."""
     sf = "/root/testdata/sf0.01"
     got = QUERIES["op10_quality_classifier"](spark, sf)
-    truth = spark.read.parquet(f"{sf}/labels.parquet")
-    r = got.join(truth, "doc_id").agg(F.avg((F.col("kept") & (F.col("toxic") == 1)).cast("int")), F.avg((~F.col("kept") & (F.col("toxic") == 0) & (F.col("quality") == 1)).cast("int"))).first()
-    assert r[0] < 0.02 and r[1] < 0.02
-
-
-def test_em_recovers_labellers():
+    truth = spark.read.parquet(f"{sf}/labels.parquet").join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    rows = got.join(truth, "doc_id").collect()
+    toxic = [r.kept for r in rows if r.toxic and r.lang == "en"]
+    poor = [r.kept for r in rows if not r.quality]
+    clean = [r.kept for r in rows if r.quality and not r.toxic]
+    assert toxic and sum(toxic) <= 0.1 * len(toxic)
+    assert sum(poor) <= 0.1 * len(poor)
+    assert sum(clean) >= 0.95 * len(clean)
+
+
+def test_em_recovers_labellers(monkeypatch):
+    """Without its prior the estimate is that of the votes alone."""
+    monkeypatch.setattr(weak_labels, "STRENGTH", 0.0)
     rng = np.random.default_rng(3)
     bad = rng.random(20_000) < 0.3
     votes = np.stack([np.where(rng.random(20_000) < 0.2, 2, np.where(bad, rng.random(20_000) < a, rng.random(20_000) < 0.02)) for a in (0.9, 0.6, 0.4)], 1)
     patterns, inverse, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
     post, table, share = weak_labels.expectation_maximisation(patterns, counts.astype(float))
-    assert abs(share - 0.3) < 0.1 and list(np.argsort(-table[:, 1])) == [0, 1, 2]
+    assert abs(share - 0.3) < 0.05 and np.allclose(table[:, 1], (0.9, 0.6, 0.4), atol=0.05)
     assert ((post[inverse.reshape(-1)] > 0.5) == bad).mean() > 0.85
 
 
