@@ -37,3 +37,15 @@ def test_mean_shift_flag_and_triggers(spark):
     trig = drift.triggers(drift.drift_summary(ref, cur, ["x"]), drift.drift_psi(ref, cur, ["x"]),
                           drift.drift_ks(ref, cur, ["x"]), perf).first()
     assert trig["retrain"] and "mean_shift" in trig["reasons"] and "recall" in trig["reasons"]
+
+
+def test_side_without_values(spark):
+    """A dead sensor gives NULL statistics; NULL is a category of its own."""
+    from voltwatch.operators import drift
+    ref = spark.createDataFrame([(float(i), "a" if i % 2 else None) for i in range(20)], "x double, c string")
+    cur = spark.createDataFrame([(None, "a"), (None, None), (None, "b")], "x double, c string")
+    ks = drift.drift_ks(ref, cur, ["x"]).first()
+    assert ks.ks_stat is None and ks.ks_p is None and (ks.n_ref, ks.n_cur) == (20, 0)
+    assert drift.drift_psi(ref, cur, ["x"]).first().psi is None
+    chi = drift.drift_chi2(ref, cur, ["c"]).first()
+    assert chi.dof == 2 and chi.chi2 > 0

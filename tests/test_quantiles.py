@@ -31,3 +31,16 @@ def test_auto_switch_and_nulls(spark):
     big = {r["g"]: r["x"] for r in quantiles(df, ["g"], ["x"], [0.5], Scale(hot_entity_rows=1)).collect()}
     assert small[1] == [3.0] and big[1] == [3.0]
     assert small[2] is None and big.get(2) is None
+
+
+def test_half_of_the_rows_share_one_value(spark):
+    from voltwatch.operators.quantiles import exact_quantiles
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("g"),
+        F.when(F.col("id") % 2 == 0, 7.0).otherwise(F.col("id") / 10).alias("v"))
+    qs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    want = {r.g: r.a for r in df.groupBy("g").agg(F.percentile("v", F.array(*map(F.lit, qs))).alias("a")).collect()}
+    for accuracy in (10, 1_000_000):
+        got = {r.g: r.v for r in exact_quantiles(df, ["g"], ["v"], qs, accuracy).collect()}
+        assert got.keys() == want.keys() and None in got
+        assert all(abs(x - y) < 1e-9 for g in want for x, y in zip(got[g], want[g]))

@@ -76,9 +76,31 @@ def test_feature_pipeline_hot(ev):
     same(feature_pipeline(ev, EVENTS, spec), feature_pipeline(ev, EVENTS, spec, scale=HOT))
 
 
-def test_frame_too_long_rejected(ev):
-    with pytest.raises(ValueError):
-        features.rolling(ev, EVENTS, ["k"], (60,), ("mean",), scale=HOT).count()
+def test_frame_longer_than_a_segment(ev):
+    same(features.rolling(ev, EVENTS, ["k"], (60,), ("mean",)),
+         features.rolling(ev, EVENTS, ["k"], (60,), ("mean",), scale=HOT))
+
+
+def test_tied_times_and_null_entity(ev):
+    """Few distinct times (short and long segments) and a hot NULL entity."""
+    odd = ev.withColumns({
+        "user_id": F.when(F.col("user_id") % 3 > 0, F.col("user_id") % 2),
+        "ts": F.date_trunc("day", F.col("ts")).cast("timestamp_ntz"),
+    })
+    for scale in (Scale(hot_entity_rows=40), Scale(hot_entity_rows=7)):
+        same(features.rolling(odd, EVENTS, ["k"], (60, 5), ("sum",)),
+             features.rolling(odd, EVENTS, ["k"], (60, 5), ("sum",), scale=scale))
+        same(clean.impute(odd, EVENTS, ["value"], "mean"), clean.impute(odd, EVENTS, ["value"], "mean", scale=scale))
+        same(clean.impute(odd, EVENTS, ["value"], "ffill"),
+             clean.impute(odd, EVENTS, ["value"], "ffill", scale=scale))
+        same(clean.clip_quantiles(odd, EVENTS, ["value"]), clean.clip_quantiles(odd, EVENTS, ["value"], scale=scale))
+
+
+def test_many_cuts_are_planned(spark):
+    from voltwatch.plans.layout import _bisect
+    cuts = F.array(*[F.lit(i) for i in range(2000)])
+    got = spark.range(-1, 2002).select("id", _bisect(cuts, F.col("id"), 2000).alias("n"))
+    assert got.where(F.least(F.greatest(F.col("id") + 1, F.lit(0)), F.lit(2000)) != F.col("n")).count() == 0
 
 
 def test_running_based_operators_hot(ev):

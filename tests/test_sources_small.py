@@ -60,3 +60,12 @@ def test_empty_input_gives_empty_output(spark):
     spec = FeatureSpec(fill=("x",), clip=("x",), delta=("x",), rolling=("x",), windows=(3,))
     out = empty_guard(df, feature_pipeline, CFG, spec)
     assert out.count() == 0 and "Rolling_std_3_x" in out.columns
+
+
+def test_csv_by_name(spark, tmp_path):
+    from pyspark.sql import types as T
+    from voltwatch.sources import io
+    (tmp_path / "x.csv").write_text("b,extra,a\n2.0,z,1.0\n")
+    schema = T.StructType([T.StructField(c, T.DoubleType()) for c in "abc"])
+    row = io.read_telemetry(spark, str(tmp_path / "x.csv"), schema, "csv").first()
+    assert row.asDict() == {"a": 1.0, "b": 2.0, "c": None}

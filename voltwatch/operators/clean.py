@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from voltwatch.config import DEFAULT_SCALE, Columns, Scale
 from voltwatch.functions.columns import nan_to_null, numeric_present, present
 from voltwatch.operators.quantiles import quantiles
-from voltwatch.plans.layout import SEG, Layout, finish, prepare
+from voltwatch.plans.layout import SEG, Layout, finish, null_safe, prepare
 
 FILL_METHODS = ("ffill", "mean", "median")
 
@@ -63,7 +63,7 @@ def _fill_ffill_bfill(df, cfg, cols, layout, scale):
     car = lay.carries(d, cols)
     if car is not None:
         keys = ([cfg.entity] if cfg.entity else []) + [SEG]
-        d = d.join(car, keys, "left")
+        d = null_safe(d, car, keys)
     # reversed-order window first, so the ascending order that follows is
     # kept by every later window of the chain (2 sorts in all, not 3)
     d = d.withColumns({f"_vw_bf_{c}": F.last(c, True).over(bwd) for c in cols})
@@ -107,7 +107,7 @@ def group_stats(df: DataFrame, cfg: Columns, aggs: dict[str, Column], lay: Layou
     stats = df.groupBy(cfg.entity).agg(*[a.alias(n) for n, a in aggs.items()])
     if lay.n_entities <= lay.scale.broadcast_rows:
         stats = F.broadcast(stats)
-    return df.join(stats, cfg.entity, "left")
+    return null_safe(df, stats, [cfg.entity])
 
 
 def _fill_stat(df, cfg, cols, method, layout, scale):
@@ -137,7 +137,7 @@ def _attach_quantiles(d, cfg, cols, qs, lay, scale, prefix):
     q = q.select(cfg.entity, *[F.col(c).alias(f"{prefix}{c}") for c in cols])
     if lay.n_entities <= lay.scale.broadcast_rows:
         q = F.broadcast(q)
-    return d.join(q, cfg.entity, "left")
+    return null_safe(d, q, [cfg.entity])
 
 
 def clip_quantiles(

@@ -58,24 +58,24 @@ def drift_summary(ref: DataFrame, cur: DataFrame, cols, sigmas: float = MEAN_SHI
 def ks_pvalue(d: Column, n: Column, m: Column, terms: int = KS_TERMS) -> Column:
     """Asymptotic two-sample KS p-value (Kolmogorov series, Stephens'
     small-sample correction), clamped to [0, 1]."""
-    ne = n * m / (n + m)
+    ne = F.nullif((n * m / (n + m)).cast("double"), F.lit(0.0))
     lam = (F.sqrt(ne) + 0.12 + 0.11 / F.sqrt(ne)) * d
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
         lambda acc, j: acc + 2.0 * F.pow(F.lit(-1.0), j - 1) * F.exp(-2.0 * j * j * lam * lam))
-    return F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0))
+    return F.when(lam.isNotNull(), F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
 
 
 def drift_ks(ref: DataFrame, cur: DataFrame, cols, scale: Scale = DEFAULT_SCALE) -> DataFrame:
     """Two-sample KS statistic (max CDF gap) and asymptotic p-value per
-    feature; NULLs are ignored."""
+    feature; NULLs are ignored, and a side without values gives NULLs."""
     m = _melt(ref, cols, 0).unionByName(_melt(cur, cols, 1)).where(F.col("v").isNotNull())
     g = m.groupBy("feature", "v").agg(F.count_if(F.col("side") == 0).alias("a"),
                                       F.count_if(F.col("side") == 1).alias("b"))
     tot = g.groupBy("feature").agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))
     cum = running(g, Columns(entity="feature", time="v"), {"ca": F.col("a"), "cb": F.col("b")}, scale=scale)
     cum = cum.join(F.broadcast(tot), "feature")  # one row per feature
-    gap = F.abs(F.col("ca") / F.col("na") - F.col("cb") / F.col("nb"))
+    gap = F.abs(F.try_divide("ca", "na") - F.try_divide("cb", "nb"))  # NULL when a side has no value
     d = cum.groupBy("feature", "na", "nb").agg(F.max(gap).alias("ks_stat"))
     return d.select("feature", F.col("na").cast("long").alias("n_ref"), F.col("nb").cast("long").alias("n_cur"),
                     "ks_stat", ks_pvalue(F.col("ks_stat"), F.col("na"), F.col("nb")).alias("ks_p"))
@@ -92,9 +92,11 @@ def drift_psi(ref: DataFrame, cur: DataFrame, cols, bins: int = 10, eps: float =
     g = m.groupBy("feature", "bin").agg(F.count_if(F.col("side") == 0).alias("a"),
                                         F.count_if(F.col("side") == 1).alias("b"))
     w = Window.partitionBy("feature")
-    p = F.greatest(F.col("a") / F.sum("a").over(w), F.lit(eps))
-    q = F.greatest(F.col("b") / F.sum("b").over(w), F.lit(eps))
-    g = g.withColumn("term", (q - p) * F.log(q / p))
+    na, nb = F.sum("a").over(w), F.sum("b").over(w)
+    p = F.greatest(F.try_divide(F.col("a"), na), F.lit(eps))
+    q = F.greatest(F.try_divide(F.col("b"), nb), F.lit(eps))
+    # a side without values has no shares: the index is NULL
+    g = g.withColumn("term", F.when((na > 0) & (nb > 0), (q - p) * F.log(q / p)))
     out = g.groupBy("feature").agg(F.sum("term").alias("psi"))
     lo, hi = PSI_BANDS
     return out.withColumn("band", F.when(F.col("psi") < lo, "stable").when(F.col("psi") <= hi, "moderate")
@@ -103,9 +105,9 @@ def drift_psi(ref: DataFrame, cur: DataFrame, cols, bins: int = 10, eps: float =
 
 def drift_chi2(ref: DataFrame, cur: DataFrame, cols) -> DataFrame:
     """Chi-square statistic and degrees of freedom of the category x
-    side contingency table, per categorical column."""
+    side contingency table, per categorical column; NULL is a category."""
     def melt_s(df, side):
-        arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("cat")) for c in cols])
+        arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")).alias("cat")) for c in cols])
         return df.select(F.inline(arr)).withColumn("side", F.lit(side))
 
     m = melt_s(ref, 0).unionByName(melt_s(cur, 1))

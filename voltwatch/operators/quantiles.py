@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltwatch.config import DEFAULT_SCALE
+from voltwatch.plans.layout import null_safe
 
 ACCURACY = 1_000_000
 
@@ -39,6 +40,8 @@ def exact_quantiles(df: DataFrame, by, cols, qs, accuracy: int = ACCURACY,
         F.struct(F.lit(c).alias("_vw_f"), F.col(c).cast("double").alias("_vw_v")) for c in cols])))
     m = m.where(F.col("_vw_v").isNotNull())
     keys = by + ["_vw_f"]
+    # a value that many rows share is one weighted row from here on
+    values = m.groupBy(*keys, "_vw_v").agg(F.count(F.lit(1)).alias("_vw_w"))
     margin = 3.0 / accuracy
     fr = sorted({min(1.0, max(0.0, q + s * margin)) for q in qs for s in (-1, 1)})
     sk = m.groupBy(*keys).agg(F.count(F.lit(1)).alias("_vw_n"),
@@ -57,29 +60,30 @@ def exact_quantiles(df: DataFrame, by, cols, qs, accuracy: int = ACCURACY,
     bj = F.broadcast(bands) if n_bands <= broadcast_rows else bands
 
     def pick(bands_df, full: bool):
-        j = m.join(bj if not full else bands_df, keys)
+        j = null_safe(values, bj if not full else bands_df, keys, "inner")
         inside = (F.col("_vw_v") >= F.col("_vw_a")) & (F.col("_vw_v") <= F.col("_vw_b"))
         if full:
             inside = F.lit(True)
         below = j.where(~inside & (F.col("_vw_v") < F.col("_vw_a"))).groupBy(*keys, "_vw_q").agg(
-            F.count(F.lit(1)).alias("_vw_below"))
-        band = j.where(inside)
-        w = Window.partitionBy(*keys, "_vw_q").orderBy("_vw_v")
-        band = band.withColumn("_vw_rk", F.row_number().over(w) - 1)
-        band = band.join(below, keys + ["_vw_q"], "left").withColumn(
-            "_vw_rk", F.col("_vw_rk") + F.coalesce("_vw_below", F.lit(0)))
-        got = band.where((F.col("_vw_rk") == F.col("_vw_lo")) | (F.col("_vw_rk") == F.col("_vw_hi")))
+            F.sum("_vw_w").alias("_vw_below"))
+        w = Window.partitionBy(*keys, "_vw_q").orderBy("_vw_v").rowsBetween(Window.unboundedPreceding, 0)
+        band = j.where(inside).withColumn("_vw_end", F.sum("_vw_w").over(w))
+        band = null_safe(band, below, keys + ["_vw_q"])
+        band = band.withColumn("_vw_end", F.col("_vw_end") + F.coalesce("_vw_below", F.lit(0)) - 1)  # last rank
+        first = F.col("_vw_end") - F.col("_vw_w") + 1
+        holds = lambda r: (F.col(r) >= first) & (F.col(r) <= F.col("_vw_end"))
+        got = band.where(holds("_vw_lo") | holds("_vw_hi"))
         agg = got.groupBy(*keys, "_vw_q", "_vw_qv", "_vw_n", "_vw_lo", "_vw_hi").agg(
-            F.max(F.when(F.col("_vw_rk") == F.col("_vw_lo"), F.col("_vw_v"))).alias("_vw_vlo"),
-            F.max(F.when(F.col("_vw_rk") == F.col("_vw_hi"), F.col("_vw_v"))).alias("_vw_vhi"))
+            F.max(F.when(holds("_vw_lo"), F.col("_vw_v"))).alias("_vw_vlo"),
+            F.max(F.when(holds("_vw_hi"), F.col("_vw_v"))).alias("_vw_vhi"))
         frac = F.col("_vw_qv") * (F.col("_vw_n") - 1) - F.col("_vw_lo")
         return agg.withColumn("_vw_val", F.col("_vw_vlo") + (F.col("_vw_vhi") - F.col("_vw_vlo")) * frac)
 
     res = pick(bands, full=False).persist()
     # a band that missed its rank (no value found) is redone with the full range
     missed = res.where(F.col("_vw_vlo").isNull() | F.col("_vw_vhi").isNull()).select(*keys, "_vw_q")
-    nb = bands.join(res.select(*keys, "_vw_q"), keys + ["_vw_q"], "left_anti").unionByName(
-        bands.join(missed, keys + ["_vw_q"], "left_semi"))
+    nb = null_safe(bands, res.select(*keys, "_vw_q"), keys + ["_vw_q"], "left_anti").unionByName(
+        null_safe(bands, missed, keys + ["_vw_q"], "left_semi"))
     if not nb.isEmpty():
         good = res.where(F.col("_vw_vlo").isNotNull() & F.col("_vw_vhi").isNotNull())
         res = good.unionByName(pick(F.broadcast(nb) if nb.count() <= broadcast_rows else nb, full=True))

@@ -349,15 +349,13 @@ FROM (SELECT count(*) FILTER (WHERE label = 0 AND pred = 1) AS fp, count(*) FILT
 WITH r AS ({' UNION ALL '.join(_f1_sql(t) for t in BEST_THRESHOLDS)})
 SELECT run_id, round(f1_1, 6) AS f1_1 FROM r ORDER BY f1_1 DESC, run_id LIMIT 1""")
 def q_best_run(spark, sf):
-    """The best run of a ledger by a metric (max_by over the ledger)."""
+    """The best run of a ledger by a metric (top-1 over the ledger)."""
     led = None
     for t in BEST_THRESHOLDS:
         part = ledger_from_metrics(spark, sf, f"thr_{int(t)}", t)
         led = part if led is None else led.unionByName(part)
     f1 = led.where(F.col("key") == "f1_1").select("run_id", F.col("value").cast("double").alias("f1_1"))
-    best = f1.agg(F.max_by("run_id", F.struct(F.col("f1_1"), F.lit(0) - F.hash("run_id"))).alias("run_id"),
-                  F.max("f1_1").alias("f1_1"))
-    return rounded(best)
+    return rounded(f1.orderBy(F.desc("f1_1"), "run_id").limit(1))  # a top-1, ties by name
 
 
 def _rank_sql(table, label, id_col, seed=SEED):

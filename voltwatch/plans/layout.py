@@ -13,13 +13,12 @@ Exactness across cuts is restored in two ways:
 * carries for unbounded frames (forward/backward fill): a per-segment
   summary, one row per hot segment, gives the last/first non-null value
   before/after each segment;
-* halos for bounded frames (lag k, rolling n): the last ``h`` rows of each
-  hot segment are copied into the next segment, flagged, used as frame
-  context, then dropped.
+* halos for bounded frames (lag k, rolling n): the ``h`` rows before each
+  hot segment are copied into it, flagged, used as frame context, then
+  dropped.  Tied times can make a segment short, and a frame may be longer
+  than a segment, so a halo is taken from as many segments as it needs.
 
-Segments are at least about ``hot_entity_rows / 2`` rows (quantile cuts
-with rank error far below that), so a halo from the previous segment is
-always enough; frames longer than a quarter segment are rejected.
+Joins on the entity treat NULL as a key of its own, as the windows do.
 
 The global variant (``entity=None``) is the same with one implicit entity.
 """
@@ -79,7 +78,7 @@ class Layout:
             cuts = F.array(*[typed_lit(v, dtype) for v in self.global_cuts])
             out = df.withColumn(CUTS, cuts)
         else:
-            out = df.join(F.broadcast(self.hot), self.cfg.entity, "left")
+            out = null_safe(df, F.broadcast(self.hot), [self.cfg.entity])
         out = out.withColumn(SEG, _bisect(F.col(CUTS), t, self._max_cuts()))
         out = out.withColumn(
             NSEG, F.when(F.col(CUTS).isNull(), F.lit(1)).otherwise(F.size(CUTS) + 1)
@@ -96,25 +95,38 @@ class Layout:
 
     # -- halo for bounded frames ----------------------------------------
     def with_halo(self, df: DataFrame, h: int) -> DataFrame:
-        """Union ``df`` (HALO false) with the last ``h`` rows of every hot
-        segment relabelled into the following segment (HALO true)."""
+        """Union ``df`` (HALO false) with the ``h`` rows before every hot
+        segment (HALO true); they come from as many segments as it takes."""
         if not self.segmented or h <= 0:
             return df.withColumn(HALO, F.lit(False))
-        if h > self.scale.hot_entity_rows // 4:
-            raise ValueError(
-                f"frame of {h} rows is too long for segments of about "
-                f"{self.scale.hot_entity_rows} rows; raise Scale.hot_entity_rows"
-            )
         cfg = self.cfg
+        ent = [cfg.entity] if cfg.entity else []
         desc = Window.partitionBy(*self.part_cols()).orderBy(
             *[F.col(c).desc() for c in cfg.order()]
         )
-        tails = (
+        # which segments need how many of a segment's last rows: all that
+        # start less than h rows after its end (one row per hot segment)
+        sizes = df.where(F.col(NSEG) > 1).groupBy(*ent, SEG).agg(F.count(F.lit(1)).alias("_vw_n"))
+        place = Window.partitionBy(*ent).orderBy(SEG)
+        begins = sizes.withColumn("_vw_at", F.sum("_vw_n").over(place) - F.col("_vw_n"))
+        after = Window.partitionBy(*ent).orderBy("_vw_at")
+        near = F.collect_list(F.struct(F.col(SEG).alias("seg"), F.col("_vw_at").alias("at")))
+        goes = begins.select(
+            *ent, F.lag(SEG).over(after).alias(SEG), F.col("_vw_at").alias("_vw_from"),
+            near.over(after.rangeBetween(0, h - 1)).alias("_vw_near"))
+        goes = goes.where(F.col(SEG).isNotNull()).select(*ent, SEG, "_vw_from", F.explode("_vw_near").alias("_vw_near"))
+        goes = goes.select(*ent, SEG, F.col("_vw_near.seg").alias("_vw_to"),
+                           (h - (F.col("_vw_near.at") - F.col("_vw_from"))).alias("_vw_take"))
+        ends = (
             df.where(F.col(SEG) < F.col(NSEG) - 1)
             .withColumn("_vw_rrn", F.row_number().over(desc))
             .where(F.col("_vw_rrn") <= h)
-            .drop("_vw_rrn")
-            .withColumn(SEG, F.col(SEG) + 1)
+        )
+        tails = (
+            null_safe(ends, goes, [*ent, SEG], "inner")
+            .where(F.col("_vw_rrn") <= F.col("_vw_take"))
+            .withColumn(SEG, F.col("_vw_to"))
+            .drop("_vw_rrn", "_vw_to", "_vw_take")
             .withColumn(HALO, F.lit(True))
         )
         return df.withColumn(HALO, F.lit(False)).unionByName(tails)
@@ -157,16 +169,25 @@ def typed_lit(v, dtype) -> Column:
 
 
 def _bisect(cuts: Column, t: Column, max_len: int) -> Column:
-    """Number of cut points <= t in a sorted array, by binary search
-    (log2 steps of codegen'd expressions instead of a scan of the array)."""
-    idx = F.lit(0)
-    n = F.size(cuts)
-    step = 1 << max(0, math.ceil(math.log2(max_len + 1)))
-    while step >= 1:
-        cand = idx + step
-        idx = F.when((cand <= n) & (F.element_at(cuts, cand) <= t), cand).otherwise(idx)
-        step //= 2
-    return F.when(cuts.isNull(), F.lit(0)).otherwise(idx)
+    """Number of cut points <= t in a sorted array, by binary search.
+
+    The steps are folded by a lambda, whose variable is one reference, so the
+    expression has the same size for any number of cuts."""
+    steps = [1 << j for j in range(max_len.bit_length(), -1, -1)]
+    found = F.aggregate(
+        F.array(*[F.lit(x) for x in steps]), F.lit(0),
+        lambda idx, x: F.when(F.get(cuts, idx + x - 1) <= t, idx + x).otherwise(idx))
+    return F.when(cuts.isNull(), F.lit(0)).otherwise(found)
+
+
+def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join on equal keys where NULL equals NULL (an entity may be NULL);
+    the result has the key columns of ``left``."""
+    right = right.select(*[F.col(c).alias(f"_vw_k_{c}" if c in keys else c) for c in right.columns])
+    on = F.lit(True)
+    for c in keys:
+        on = on & F.col(c).eqNullSafe(F.col(f"_vw_k_{c}"))
+    return left.join(right, on, how).drop(*[f"_vw_k_{c}" for c in keys])
 
 
 def plan_layout(df: DataFrame, cfg: Columns, scale: Scale = DEFAULT_SCALE) -> Layout:
@@ -177,13 +198,13 @@ def plan_layout(df: DataFrame, cfg: Columns, scale: Scale = DEFAULT_SCALE) -> La
     """
     hot_rows = scale.hot_entity_rows
     acc = scale.approx_accuracy
-    kmax = max(2, acc // 4)
     t = cfg.time
     if cfg.entity is None:
         n = df.count()
         if n <= hot_rows:
             return Layout(cfg, scale, 1, False)
-        k = min(math.ceil(n / hot_rows), kmax)
+        k = math.ceil(n / hot_rows)
+        acc = max(acc, 4 * k)  # a cut is off by a quarter segment at most
         fr = [i / k for i in range(1, k)]
         cuts = df.agg(F.percentile_approx(t, fr, acc)).first()[0]
         cuts = sorted(set(c for c in cuts if c is not None))
@@ -200,15 +221,16 @@ def plan_layout(df: DataFrame, cfg: Columns, scale: Scale = DEFAULT_SCALE) -> La
     if not hot_list:
         return Layout(cfg, scale, n_entities, False)
     spark = df.sparkSession
-    ks = {r[e]: min(math.ceil(r["_vw_n"] / hot_rows), kmax) for r in hot_list}
+    ks = {r[e]: math.ceil(r["_vw_n"] / hot_rows) for r in hot_list}
     big_k = max(ks.values())
+    acc = max(acc, 4 * big_k)  # a cut is off by a quarter segment at most
     fr = [i / big_k for i in range(1, big_k)]
     hot_keys = spark.createDataFrame(
         [(key, k) for key, k in ks.items()], schema=df.select(e).schema.add("_vw_k", T.IntegerType())
     )
     # cut positions j*K/k_e for j=1..k_e-1 of a common K-quantile grid
     q = (
-        df.join(F.broadcast(hot_keys), e)
+        null_safe(df, F.broadcast(hot_keys), [e], "inner")
         .groupBy(e, "_vw_k")
         .agg(F.percentile_approx(t, fr, acc).alias("_vw_all"))
         .select(
@@ -276,7 +298,7 @@ def running(df: DataFrame, cfg: Columns, sums: dict[str, Column], layout: Layout
     tot = d.where(F.col(NSEG) > 1).groupBy(*ent, SEG).agg(*[F.sum(n).alias(n) for n in tmp])
     pw = Window.partitionBy(*ent).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(*ent, SEG, *[F.coalesce(F.sum(n).over(pw), F.lit(0)).alias(f"_vw_o_{n}") for n in tmp])
-    d = d.join(F.broadcast(off), [*ent, SEG], "left")
+    d = null_safe(d, F.broadcast(off), [*ent, SEG])
     out = d.withColumns({
         n[len("_vw_x_"):]: F.sum(n).over(w) + F.coalesce(F.col(f"_vw_o_{n}"), F.lit(0)) for n in tmp
     }).drop(*tmp, *[f"_vw_o_{n}" for n in tmp])

@@ -51,14 +51,25 @@ LEDGER_SCHEMA = T.StructType([
 
 def read_telemetry(spark: SparkSession, path: str, schema: T.StructType | None = TELEMETRY_SCHEMA,
                    fmt: str = "parquet", time_col: str = "Timestamp") -> DataFrame:
-    """S1 + C1: read with an explicit schema (CSV with header), make the
-    time column a timestamp, and turn NaN into NULL in double columns."""
+    """S1 + C1: read with an explicit schema, make the time column a
+    timestamp, and turn NaN into NULL in double columns.  CSV columns are
+    found by the names in the header, in any order; a declared column that the
+    file lacks is NULL, one that is not declared is left out, and files whose
+    headers differ are an error."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
+        if schema is not None:
+            declared = {f.name: f for f in schema.fields}
+            names = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+            reader = spark.read.option("enforceSchema", False).schema(
+                T.StructType([declared.get(n, T.StructField(n, T.StringType())) for n in names]))
         df = (reader.option("header", True).option("timestampNTZFormat", CSV_NTZ_FORMAT)
               .option("timestampFormat", CSV_TS_FORMAT).csv(path))
+        if schema is not None:
+            df = df.select(*[F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast(f.dataType).alias(f.name)
+                             for f in schema.fields])
     else:
         df = reader.format(fmt).load(path)
     if time_col in df.columns:
