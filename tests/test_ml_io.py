@@ -108,3 +108,19 @@ def test_entity_and_time_splits(ev):
     assert hi < lo
     share = t.where("is_test = 1").count() / t.count()
     assert abs(share - 0.2) < 0.01
+
+
+def test_null_labels_and_predictions_are_kept(spark):
+    rows = [(i, None if i % 10 == 0 else i % 2, None if i % 7 == 0 else i % 2) for i in range(100)]
+    d = spark.createDataFrame(rows, "id long, y int, p int")
+    s = ml.stratified_split(d, "y", "id")
+    got = {(r["y"], r["is_test"]): r["count"] for r in s.groupBy("y", "is_test").count().collect()}
+    assert sum(got.values()) == 100 and got[(None, 1)] == 2 and got[(None, 0)] == 8
+    from voltwatch.operators import metrics
+    lost = sum(1 for _, y, p in rows if y is not None and p is None)
+    cm = metrics.confusion(d, "y", "p").first()
+    assert cm["not_scored"] == lost and cm["fp"] == cm["fn"] == 0
+    assert drift.error_rows(d, "y", "p").where("error = 'not_scored'").count() == lost
+    w = metrics.with_weights(d, "y").groupBy("y").agg(F.max("weight").alias("w")).collect()
+    n = {y: sum(1 for r in rows if r[1] == y) for y in (None, 0, 1)}
+    assert {r["y"]: round(r["w"], 9) for r in w} == {y: round(100 / (3 * c), 9) for y, c in n.items()}

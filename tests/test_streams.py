@@ -59,3 +59,20 @@ def test_late_rows_are_dropped_in_append_mode(spark):
     # no window holds the late row twice over: total events of closed windows come from on-time rows
     assert res.where(F.col("window_end") <= F.lit("2024-01-01 00:07:00").cast("timestamp_ntz")) \
         .agg(F.max("events")).first()[0] == 5
+
+
+def test_replay_keeps_rows_without_time_and_uses_many_files(spark):
+    rows = [("A", None if j % 9 == 0 else T0 + dt.timedelta(seconds=j), j, float(j)) for j in range(200)]
+    d = spark.createDataFrame(rows, "e string, t timestamp_ntz, i long, x double")
+    folder = S.stream_folder(spark, d, "t", 3, "i", 4)
+    back = spark.read.parquet(folder)
+    assert back.count() == 200 and back.where("t is null").count() == 23
+    assert len(back.inputFiles()) == 12
+
+
+def test_alerts_need_a_whole_span(spark):
+    starts = [0, 1, 2, 3, 5, 6, 7]  # minute 4 has no window
+    rows = [(T0 + dt.timedelta(minutes=m), None if m == 7 else 9.0 if m else 1.0) for m in starts]
+    w = spark.createDataFrame(rows, "window_start timestamp_ntz, p double")
+    got = {r["window_start"].minute: r["alert"] for r in S.alerts(w, "p", 5.0, 3).collect()}
+    assert [m for m in starts if got[m]] == [3]

@@ -156,7 +156,7 @@ def chi2_pvalue(x: float, dof: int) -> float:
     return math.exp(-z + s * math.log(z) - math.lgamma(s)) * h
 
 
-def adversarial(ref: DataFrame, cur: DataFrame, cols, trees: int = 50, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def adversarial(ref: DataFrame, cur: DataFrame, cols, trees: int = 100, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Classify reference (0) vs current (1) with a random forest on a
     stratified holdout; returns (metrics row with roc_auc/pr_auc, feature
     importances)."""
@@ -177,21 +177,23 @@ def adversarial(ref: DataFrame, cur: DataFrame, cols, trees: int = 50, seed: int
 
 def performance_by_period(df: DataFrame, time: str, label: str, pred: str, period: str = "1 day",
                           recall_floor: float = RECALL_FLOOR) -> DataFrame:
-    """Confusion counts, precision and recall (class 1) per tumbling
-    period; ``recall_alarm`` when recall < floor."""
+    """Confusion counts, rows not scored, precision, recall and F1 (class
+    1) per tumbling period; ``recall_alarm`` when recall < floor."""
     from voltwatch.operators.reshape import _seconds, bucket_start
     start = bucket_start(F.col(time), _seconds(period), df.schema[time].dataType)
     cm = metrics.confusion(df.withColumn("period_start", start), label, pred, by=["period_start"])
     p = metrics._div(F.col("tp"), F.col("tp") + F.col("fp"))
     r = metrics._div(F.col("tp"), F.col("tp") + F.col("fn"))
-    return cm.select("period_start", "tn", "fp", "fn", "tp",
-                     p.alias("precision"), r.alias("recall"), (r < recall_floor).alias("recall_alarm"))
+    return cm.select("period_start", "tn", "fp", "fn", "tp", "not_scored", p.alias("precision"), r.alias("recall"),
+                     metrics._div(2 * p * r, p + r).alias("f1"), (r < recall_floor).alias("recall_alarm"))
 
 
 def error_rows(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """False positives and false negatives, tagged."""
+    """False positives, false negatives and labelled rows without a
+    prediction, tagged."""
     y, p = F.col(label), F.col(pred)
-    return df.where(y != p).withColumn("error", F.when(p == 1, "false_positive").otherwise("false_negative"))
+    kind = F.when(p.isNull(), "not_scored").when(p == 1, "false_positive").otherwise("false_negative")
+    return df.where(y.isNotNull() & ~y.eqNullSafe(p)).withColumn("error", kind)
 
 
 def triggers(summary: DataFrame, psi: DataFrame, ks: DataFrame, perf: DataFrame, model_age_days: float | None = None,

@@ -11,9 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltwatch.config import DEFAULT_SCALE, Columns, Scale
-from voltwatch.plans.layout import running
-
-MAX_CLASSES = 10_000
+from voltwatch.plans.layout import running, small_side
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
@@ -39,15 +37,13 @@ def with_weights(df: DataFrame, label: str, mode: str = "balanced", out: str = "
 
     balanced  n / (k * n_c) (class_weight='balanced')
     positive  neg/pos for the positive class, 1 otherwise (scale_pos_weight)
-    The class table has one row per label value (bounded) and is applied as
-    a literal map, so the rows are not shuffled.
+    The class table has one row per label value (NULL is one) and is joined,
+    broadcast if its counted size allows, so the rows are then not shuffled.
     """
     if mode == "balanced":
-        rows = class_weight_table(df, label).limit(MAX_CLASSES + 1).collect()
-        if len(rows) > MAX_CLASSES:
-            raise ValueError("too many classes for class weights")
-        m = F.create_map(*[x for r in rows for x in (F.lit(r[label]), F.lit(float(r["weight"])))])
-        return df.withColumn(out, m[F.col(label)])
+        w = class_weight_table(df, label).select(F.col(label).alias("_vw_lab"), F.col("weight").alias(out))
+        w = small_side(w, DEFAULT_SCALE.broadcast_rows)
+        return df.join(w, F.col(label).eqNullSafe(F.col("_vw_lab")), "left").drop("_vw_lab")
     if mode == "positive":
         r = class_counts(df, label).first()
         return df.withColumn(out, F.when(F.col(label) == 1, F.lit(float(r["positive_weight"]))).otherwise(1.0))
@@ -55,12 +51,14 @@ def with_weights(df: DataFrame, label: str, mode: str = "balanced", out: str = "
 
 
 def confusion(df: DataFrame, label: str, pred: str, by=()) -> DataFrame:
-    """Tn, fp, fn, tp (binary, label and prediction in {0, 1})."""
+    """Tn, fp, fn, tp (binary, label and prediction in {0, 1}) and the
+    labelled rows without a prediction."""
     y, p = F.col(label), F.col(pred)
     aggs = [F.count_if((y == 0) & (p == 0)).cast("long").alias("tn"),
             F.count_if((y == 0) & (p == 1)).cast("long").alias("fp"),
             F.count_if((y == 1) & (p == 0)).cast("long").alias("fn"),
-            F.count_if((y == 1) & (p == 1)).cast("long").alias("tp")]
+            F.count_if((y == 1) & (p == 1)).cast("long").alias("tp"),
+            F.count_if(y.isNotNull() & p.isNull()).cast("long").alias("not_scored")]
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
@@ -133,13 +131,16 @@ def ranking_metrics(df: DataFrame, score: str, label: str, scale: Scale = DEFAUL
 def evaluate(df: DataFrame, label: str, pred: str, score: str | None = None,
              scale: Scale = DEFAULT_SCALE) -> DataFrame:
     """The evaluation suite in long form (metric, value): confusion
-    counts, accuracy, class-1 precision/recall/F1, ROC-AUC and PR-AUC.
+    counts, accuracy, class-1 and macro precision/recall/F1, ROC-AUC and PR-AUC.
     Long form unions the single-row aggregates instead of joining them."""
     cm = confusion(df, label, pred)
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
     p1, r1 = _div(tp, tp + fp), _div(tp, tp + fn)
+    p0, r0 = _div(tn, tn + fn), _div(tn, tn + fp)
+    f1, f0 = _div(2 * p1 * r1, p1 + r1), _div(2 * p0 * r0, p0 + r0)
     vals = {"tn": tn, "fp": fp, "fn": fn, "tp": tp, "accuracy": _div(tp + tn, tn + fp + fn + tp),
-            "precision_1": p1, "recall_1": r1, "f1_1": _div(2 * p1 * r1, p1 + r1)}
+            "precision_1": p1, "recall_1": r1, "f1_1": f1, "not_scored": F.col("not_scored"),
+            "precision_macro": (p0 + p1) / 2, "recall_macro": (r0 + r1) / 2, "f1_macro": (f0 + f1) / 2}
     out = cm.select(F.inline(F.array(*[
         F.struct(F.lit(k).alias("metric"), v.cast("double").alias("value")) for k, v in vals.items()])))
     if score is not None:

@@ -83,12 +83,12 @@ def schema_profile(df: DataFrame, cols=None) -> DataFrame:
     return _long(agg, cols, ["type", "non_null"])
 
 
-def value_counts(df: DataFrame, col: str) -> DataFrame:
-    """A5: count and share per value (partial aggregation, then a window
-    over the small result for the total)."""
+def value_counts(df: DataFrame, col: str, by_label: bool = False) -> DataFrame:
+    """A5: count and share per value; ``by_label`` sorts by the value."""
     g = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     total = df.count()  # a scalar; no single-partition window over the groups
-    return g.withColumn("share", F.col("count") / F.lit(total if total else None).cast("double"))
+    out = g.withColumn("share", F.col("count") / F.lit(total if total else None).cast("double"))
+    return out.orderBy(col) if by_label else out
 
 
 def distinct_values(df: DataFrame, cols) -> DataFrame:

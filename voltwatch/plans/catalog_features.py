@@ -162,7 +162,7 @@ def _roll_sql(stat, n, c, part="user_id"):
 
 
 ROLL_STATS = ("mean", "std", "min", "max", "sum")
-ROLL_WINDOWS = (6, 30)
+ROLL_WINDOWS = (6, 30, 60)
 
 
 @query("rolling_stats", f"""
@@ -190,7 +190,7 @@ def q_rolling_global(spark, sf):
 
 
 FEATURE_SPEC = FeatureSpec(fill=("value", "k"), clip=("value", "k"), delta=("value", "k"),
-                           rolling=("value", "k"), windows=(6, 30), stats=("mean", "std"))
+                           rolling=("value", "k"), windows=ROLL_WINDOWS, stats=("mean", "std"))
 
 
 def _features_sql():
@@ -201,7 +201,7 @@ def _features_sql():
     clipped = """clipped AS (
   SELECT event_id, user_id, ts, label, least(greatest(value, lo_v), hi_v) AS value,
          least(greatest(k, lo_k), hi_k) AS k FROM filled JOIN q USING (user_id))"""
-    rolls = ", ".join(_roll_sql(s, n, c) for c in ("value", "k") for n in (6, 30) for s in ("mean", "std"))
+    rolls = ", ".join(_roll_sql(s, n, c) for c in ("value", "k") for n in ROLL_WINDOWS for s in ("mean", "std"))
     return f"""
 WITH {EVENTS_SQL}, {filled}, {q}, {clipped}
 SELECT event_id, user_id, ts, CAST(label AS BIGINT) AS label, round(value, 6) AS value, round(k, 6) AS k,

@@ -170,7 +170,8 @@ def _pred(spark, sf, thr=THRESH_PROD):
 _PERF_SQL = f"""pf AS (
   SELECT date_trunc('day', ts) AS period_start,
          count(*) FILTER (WHERE label = 0 AND pred = 0) AS tn, count(*) FILTER (WHERE label = 0 AND pred = 1) AS fp,
-         count(*) FILTER (WHERE label = 1 AND pred = 0) AS fn, count(*) FILTER (WHERE label = 1 AND pred = 1) AS tp
+         count(*) FILTER (WHERE label = 1 AND pred = 0) AS fn, count(*) FILTER (WHERE label = 1 AND pred = 1) AS tp,
+         count(*) FILTER (WHERE label IS NOT NULL AND pred IS NULL) AS not_scored
   FROM (SELECT ts, CAST(event_type = 'error' AS INTEGER) AS label,
                CAST(value >= {THRESH_PROD} AS INTEGER) AS pred FROM events) x GROUP BY 1),
 perf AS (SELECT *, CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS precision,
@@ -181,7 +182,9 @@ perf AS (SELECT *, CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS pre
 WITH {_PERF_SQL}
 SELECT CAST(period_start AS TIMESTAMP) AS period_start, CAST(tn AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp,
        CAST(fn AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp, round(precision, 6) AS precision,
-       round(recall, 6) AS recall, CAST(recall < 0.85 AS BIGINT) AS recall_alarm
+       CAST(not_scored AS BIGINT) AS not_scored, round(recall, 6) AS recall,
+       round(CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END, 6) AS f1,
+       CAST(recall < 0.85 AS BIGINT) AS recall_alarm
 FROM perf""")
 def q_performance_by_day(spark, sf):
     return rounded(drift.performance_by_period(_pred(spark, sf), "ts", "label", "pred", "1 day"))
@@ -412,7 +415,7 @@ def q_prediction_drift(spark, sf):
     """KS and PSI of the model's class-1 probability between the two
     halves of January, and the shift of the predicted positive share."""
     ref, cur = _halves(spark, sf, with_nulls=False)
-    model = ml.train(ref, DRIFT_COLS, "label", "rf", {"numTrees": 20})
+    model = ml.train(ref, DRIFT_COLS, "label", "rf")
     sr = ml.score(ref, model)
     sc = ml.score(cur, model)
     ks = drift.drift_ks(sr, sc, ["probability"])

@@ -81,7 +81,7 @@ SELECT o_orderpriority, CAST(count(*) AS BIGINT) AS count,
        round(count(*) / sum(count(*)) OVER (), 6) AS share
 FROM orders GROUP BY o_orderpriority""")
 def q_value_counts(spark, sf):
-    return rounded(profile.value_counts(table(spark, sf, "orders"), "o_orderpriority"))
+    return rounded(profile.value_counts(table(spark, sf, "orders"), "o_orderpriority", by_label=True))
 
 
 @query("outcome_counts", """
@@ -172,7 +172,8 @@ def _scored(spark, sf):
 
 _CM = f"""cm AS (
   SELECT count(*) FILTER (WHERE label = 0 AND pred = 0) AS tn, count(*) FILTER (WHERE label = 0 AND pred = 1) AS fp,
-         count(*) FILTER (WHERE label = 1 AND pred = 0) AS fn, count(*) FILTER (WHERE label = 1 AND pred = 1) AS tp
+         count(*) FILTER (WHERE label = 1 AND pred = 0) AS fn, count(*) FILTER (WHERE label = 1 AND pred = 1) AS tp,
+         count(*) FILTER (WHERE label IS NOT NULL AND pred IS NULL) AS not_scored
   FROM (SELECT CAST(event_type = 'error' AS INTEGER) AS label,
                CAST(value >= {PRED_THRESHOLD} AS INTEGER) AS pred FROM events) s)"""
 
@@ -201,7 +202,8 @@ def q_confusion_report(spark, sf):
 
 
 @query("confusion_matrix", f"WITH {_CM} SELECT CAST(tn AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp, "
-                           "CAST(fn AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp FROM cm")
+                           "CAST(fn AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp, "
+                           "CAST(not_scored AS BIGINT) AS not_scored FROM cm")
 def q_confusion_matrix(spark, sf):
     return metrics.confusion(_scored(spark, sf), "label", "pred")
 

@@ -11,13 +11,13 @@ from voltwatch.sources.io import scratch_path
 from voltwatch.sources.tables import EVENTS, table
 from voltwatch.streaming import streams as S
 
-CHUNKS = 6
+CHUNKS, FILES = 6, 8  # micro-batches of the replay, files of each
 
 
 def _events_stream(spark, sf):
     ev = table(spark, sf, "events")
-    folder = S.stream_folder(spark, ev, "ts", CHUNKS)
-    sdf = S.read_stream(spark, folder, ev.schema, max_files=1)
+    folder = S.stream_folder(spark, ev, "ts", CHUNKS, "event_id", FILES)
+    sdf = S.read_stream(spark, folder, ev.schema, max_files=FILES)
     return sdf.withColumn("label", (F.col("event_type") == "error").cast("int")).withColumn(
         "k", F.get_json_object("props", "$.k").cast("double"))
 
@@ -73,7 +73,7 @@ def q_stream_daily_stats(spark, sf):
     return rounded(_run_agg(spark, S.daily_stats(_events_stream(spark, sf), "ts", "value"), "daily"))
 
 
-STREAM_WINDOWS = (6, 30)
+STREAM_WINDOWS = (6, 30, 60)
 STATE_TTL_S = 30 * 86400  # an entity silent for 30 days of event time loses its tail
 
 
@@ -109,7 +109,7 @@ def q_stream_score(spark, sf):
     ev = table(spark, sf, "events").withColumn("label", (F.col("event_type") == "error").cast("int")).withColumn(
         "k", F.get_json_object("props", "$.k").cast("double"))
     feats = ["value", "k"]
-    model = ml.train(ev, feats, "label", "rf", {"numTrees": 20})
+    model = ml.train(ev, feats, "label", "rf")
     rules = validate.required_doubles(feats, {"k": (0, 95)})
     out = scratch_path(spark, "score")
     scored, quar = S.score_stream(_events_stream(spark, sf), model, rules, f"{out}/out", f"{out}/chk",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -43,7 +44,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at shared storage "
             "(a machine-local folder does not survive executor loss)"

@@ -145,13 +145,17 @@ def feature_stream(sdf: DataFrame, cfg: Columns, cols, windows=(6, 30, 60), stat
     ])
     out_names = [f.name for f in out_schema.fields]
 
+    def keep_until(state, last_us) -> None:
+        # wall-clock micros read as UTC, the same mapping as the watermark column
+        state.setTimeoutTimestamp(max(int(last_us) // 1000 + state_ttl_s * 1000, state.getCurrentWatermarkMs() + 1))
+
     def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         parts = list(pdfs)
         new = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        new = new.sort_values(order, kind="mergesort").reset_index(drop=True)
+        new = new.sort_values(order, kind="mergesort", na_position="first").reset_index(drop=True)
         t_new = new[tcol].to_numpy("datetime64[us]").astype("int64")
         i_new = new[tie].to_numpy("int64") if tie else np.zeros(len(new), "int64")
         if state.exists and state_ttl_s:
@@ -171,6 +175,8 @@ def feature_stream(sdf: DataFrame, cfg: Columns, cols, windows=(6, 30, 60), stat
             t_old = i_old = np.zeros(0, "int64")
             v_old = [[] for _ in cols]
         if len(new) == 0:
+            if state_ttl_s and state.exists:  # a call without a timeout would lose the old one
+                keep_until(state, t_old[-1])
             return
         m = len(new)
         tails = []
@@ -186,8 +192,7 @@ def feature_stream(sdf: DataFrame, cfg: Columns, cols, windows=(6, 30, 60), stat
         t_all = np.concatenate([t_old, t_new])
         state.update((t_all[-h:].tolist(), np.concatenate([i_old, i_new])[-h:].tolist(), tails))
         if state_ttl_s:
-            # wall-clock micros read as UTC, the same mapping as the watermark column
-            state.setTimeoutTimestamp(int(t_all[-1] // 1000) + state_ttl_s * 1000)
+            keep_until(state, t_all[-1])
         yield new[out_names]
 
     timeout = GroupStateTimeout.NoTimeout
@@ -236,18 +241,15 @@ def value_quantile(sdf: DataFrame, time: str, value: str, q: float = 0.95, lengt
 def alerts(windows: DataFrame, metric: str, threshold: float, span: int, slide_s: int = 60) -> DataFrame:
     """T5: a window alerts when the metric is over the threshold in it and
     in the ``span - 1`` windows before it (consecutive slides), i.e. over
-    the threshold for the whole span.  Runs on the (small) windowed result,
-    e.g. inside ``foreachBatch``."""
-    from pyspark.sql import Window
-    w = Window.orderBy("window_start")
-    over = (F.col(metric) > threshold)
-    d = windows.withColumn("over", over)
-    ok = F.col("over")
-    for i in range(1, span):
-        prev_ok = F.lag("over", i).over(w)
-        gap = F.timestamp_diff("SECOND", F.lag("window_start", i).over(w), F.col("window_start"))
-        ok = ok & F.coalesce(prev_ok, F.lit(False)) & (gap == i * slide_s)
-    return d.withColumn("alert", ok)
+    the threshold for the whole span.  ``windows`` has one row per window;
+    each window over the threshold counts for itself and the ``span - 1`` next
+    starts, so there is no window over all rows in one task."""
+    d = windows.withColumn("over", F.col(metric) > threshold)
+    later = F.array(*[F.timestamp_add("SECOND", F.lit(i * slide_s), F.col("window_start")) for i in range(span)])
+    runs = d.where("over").select(F.explode(later).alias("window_start")).groupBy("window_start").agg(
+        F.count(F.lit(1)).alias("_vw_n"))
+    full = F.coalesce(F.col("_vw_n"), F.lit(0)) == span
+    return d.join(runs, "window_start", "left").withColumn("alert", F.col("over") & full).drop("_vw_n")
 
 
 def alert_stream(sdf_windows: DataFrame, metric: str, threshold: float, span: int, out: str, checkpoint: str,
@@ -256,7 +258,11 @@ def alert_stream(sdf_windows: DataFrame, metric: str, threshold: float, span: in
     table, flags the alerts on it and rewrites ``out`` (windows + over +
     alert).  Returns rows dropped by the watermark, as ``run_to_end``."""
     def write(batch: DataFrame, epoch: int):
-        alerts(batch, metric, threshold, span, slide_s).write.mode("overwrite").parquet(out)
+        batch = batch.persist()
+        try:
+            alerts(batch, metric, threshold, span, slide_s).write.mode("overwrite").parquet(out)
+        finally:
+            batch.unpersist()
     return run_to_end(sdf_windows, write, name, checkpoint, mode="complete")
 
 
@@ -288,21 +294,20 @@ def run_aggregate(sdf_agg: DataFrame, out: str, checkpoint: str, name: str, mode
     return run_to_end(sdf_agg, writer, name, checkpoint, mode=mode)
 
 
-def stream_folder(spark: SparkSession, df: DataFrame, time: str, chunks: int) -> str:
-    """Write ``df`` as ``chunks`` files in time order (one append each) so a
-    file stream replays it in several micro-batches."""
+def stream_folder(spark: SparkSession, df: DataFrame, time: str, chunks: int, key: str, files: int = 8) -> str:
+    """Write ``df`` in time order, one append of ``files`` files per chunk, so
+    that a stream of ``files`` files per trigger replays a chunk per
+    micro-batch.  Rows are dealt to the files by the hash of ``key`` (unique, so
+    that a hot entity is dealt too); rows without a time come first."""
     path = scratch_path(spark, "stream-in")
     lo, hi = df.agg(F.min(time), F.max(time)).first()
     if lo is None:
-        df.limit(0).write.parquet(path)
+        df.write.parquet(path)
         return path
     span = (hi - lo) / chunks
+    at = [F.lit((lo + span * i).isoformat(sep=" ")).cast(df.schema[time].dataType) for i in range(chunks)]
     for i in range(chunks):
-        a = lo + span * i
-        part = df.where(F.col(time) >= F.lit(a.isoformat(sep=" ")).cast(df.schema[time].dataType))
-        if i < chunks - 1:
-            b = lo + span * (i + 1)
-            part = part.where(F.col(time) < F.lit(b.isoformat(sep=" ")).cast(df.schema[time].dataType))
-        part.coalesce(1).write.mode("append").parquet(path)
+        part = (F.col(time) < at[i + 1]) if i < chunks - 1 else F.lit(True)
+        part = part & (F.col(time) >= at[i]) if i else F.col(time).isNull() | part
+        df.where(part).repartition(files, key).write.mode("append").parquet(path)
     return path
-
