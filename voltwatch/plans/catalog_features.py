@@ -6,7 +6,7 @@ from voltwatch.config import Columns
 from voltwatch.operators import clean, features
 from voltwatch.plans.featureset import FeatureSpec, feature_pipeline
 from voltwatch.plans.layout import plan_layout
-from voltwatch.plans.registry import query, rounded
+from voltwatch.plans.registry import query, rolling_digits, rounded
 from voltwatch.sources.tables import EVENTS, EVENTS_SQL, events_telemetry, table
 
 
@@ -158,7 +158,7 @@ def _roll_sql(stat, n, c, part="user_id"):
     fn = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max", "sum": "sum"}[stat]
     p = f"PARTITION BY {part} " if part else ""
     return (f"round(coalesce({fn}({c}) OVER ({p}ORDER BY ts, event_id ROWS BETWEEN {n - 1} PRECEDING "
-            f"AND CURRENT ROW), 0), 6) AS Rolling_{stat}_{n}_{c}")
+            f"AND CURRENT ROW), 0), {rolling_digits(stat)}) AS Rolling_{stat}_{n}_{c}")
 
 
 ROLL_STATS = ("mean", "std", "min", "max", "sum")

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voltwatch.operators import ml, validate
-from voltwatch.plans.registry import query, rounded
+from voltwatch.plans.registry import query, rolling_digits, rounded
 from voltwatch.sources.io import scratch_path
 from voltwatch.sources.tables import EVENTS, table
 from voltwatch.streaming import streams as S
@@ -80,7 +80,7 @@ STATE_TTL_S = 30 * 86400  # an entity silent for 30 days of event time loses its
 def _roll(stat, n, c):
     fn = {"mean": "avg", "std": "stddev_samp"}[stat]
     return (f"round(coalesce({fn}({c}) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN {n - 1} "
-            f"PRECEDING AND CURRENT ROW), 0), 6) AS Rolling_{stat}_{n}_{c}")
+            f"PRECEDING AND CURRENT ROW), 0), {rolling_digits(stat)}) AS Rolling_{stat}_{n}_{c}")
 
 
 def _delta(c):

@@ -2,8 +2,8 @@
 
 Each entry is ``name -> (spark, sf_dir) -> DataFrame`` and, where the
 operator is expressible in SQL, an independent DuckDB oracle in
-``ORACLES``.  Doubles are rounded to 6 digits on both sides, counts are
-bigint; column names match one to one.
+``ORACLES``.  Doubles are rounded to 6 digits on both sides (rolling means to
+9), counts are bigint; column names match one to one.
 """
 
 from __future__ import annotations
@@ -27,12 +27,23 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+def rolling_digits(stat: str) -> int:
+    """Digits a rolling statistic is rounded to.
+
+    Readings have 2 decimals and interpolated clip bounds 4, so the mean of up
+    to 60 of them ends within 9 decimals or never ends: at 9 digits no exact
+    tie is left that two summation orders could round to different sides.
+    """
+    return 9 if stat == "mean" else 6
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round doubles for comparison; cast integral and boolean to bigint."""
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            out.append(F.round(F.col(f.name).cast("double"), digits).alias(f.name))
+            n = rolling_digits("mean") if f.name.startswith("Rolling_mean_") else digits
+            out.append(F.round(F.col(f.name).cast("double"), n).alias(f.name))
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType, T.BooleanType)):
             out.append(F.col(f.name).cast("long").alias(f.name))
         else:
