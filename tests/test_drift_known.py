@@ -49,3 +49,19 @@ def test_side_without_values(spark):
     assert drift.drift_psi(ref, cur, ["x"]).first().psi is None
     chi = drift.drift_chi2(ref, cur, ["c"]).first()
     assert chi.dof == 2 and chi.chi2 > 0
+
+
+def test_dead_reference_side_at_any_size(spark):
+    """The report keeps a feature whose reference is all NULL or empty, whichever way its quantiles are computed."""
+    from voltwatch.config import Scale
+    from voltwatch.operators.quantiles import exact_quantiles
+    ref = spark.createDataFrame([(None, float(i)) for i in range(20)], "x double, y double")
+    cur = spark.createDataFrame([(float(i), float(i)) for i in range(20)], "x double, y double")
+    for scale in (Scale(), Scale(hot_entity_rows=1)):
+        got = {r.feature: r.psi for r in drift.drift_psi(ref, cur, ["x", "y"], scale=scale).collect()}
+        assert got.keys() == {"x", "y"} and got["x"] is None and got["y"] == pytest.approx(0.0)
+        assert {r.psi for r in drift.drift_psi(ref.limit(0), cur, ["x", "y"], scale=scale).collect()} == {None}
+    rows = {r.g: (r.x, r.y) for r in exact_quantiles(ref.selectExpr("int(y) % 2 AS g", "x", "y"), ["g"], ["x", "y"], [0.5]).collect()}
+    assert rows == {0: (None, [9.0]), 1: (None, [10.0])}
+    dead = exact_quantiles(ref.selectExpr("IF(y < 5, NULL, 1) AS g", "x"), ["g"], ["x"], [0.5]).collect()
+    assert sorted(map(str, dead)) == ["Row(g=1, x=None)", "Row(g=None, x=None)"]

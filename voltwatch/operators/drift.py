@@ -81,13 +81,15 @@ def drift_ks(ref: DataFrame, cur: DataFrame, cols, scale: Scale = DEFAULT_SCALE)
                     "ks_stat", ks_pvalue(F.col("ks_stat"), F.col("na"), F.col("nb")).alias("ks_p"))
 
 
-def drift_psi(ref: DataFrame, cur: DataFrame, cols, bins: int = 10, eps: float = PSI_EPS) -> DataFrame:
+def drift_psi(ref: DataFrame, cur: DataFrame, cols, bins: int = 10, eps: float = PSI_EPS,
+              scale: Scale = DEFAULT_SCALE) -> DataFrame:
     """D3: population stability index on the reference's quantile bins
-    (bin i holds values above i edges); empty shares become ``eps``."""
+    (bin i holds values above i edges); empty shares become ``eps``, and a
+    feature without values on one side has the index NULL."""
     qs = [i / bins for i in range(1, bins)]
     mr, mc = _melt(ref, cols, 0), _melt(cur, cols, 1)
-    edges = quantiles(mr, ["feature"], ["v"], qs).withColumnRenamed("v", "edges")
-    m = mr.unionByName(mc).where(F.col("v").isNotNull()).join(F.broadcast(edges), "feature")
+    edges = quantiles(mr, ["feature"], ["v"], qs, scale).withColumnRenamed("v", "edges")
+    m = mr.unionByName(mc).where(F.col("v").isNotNull()).join(F.broadcast(edges), "feature", "left")
     m = m.withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col("v"))))
     g = m.groupBy("feature", "bin").agg(F.count_if(F.col("side") == 0).alias("a"),
                                         F.count_if(F.col("side") == 1).alias("b"))

@@ -91,10 +91,10 @@ def exact_quantiles(df: DataFrame, by, cols, qs, accuracy: int = ACCURACY,
         F.sort_array(F.collect_list(F.struct("_vw_q", "_vw_val"))).alias("a"))
     sel = [F.col(c) for c in by]
     for c in cols:
-        sel.append(F.transform(F.col(c), lambda s: s["_vw_val"]).alias(c))
+        sel.append(F.when(F.size(c) > 0, F.transform(F.col(c), lambda s: s["_vw_val"])).alias(c))
     if not by:
         return out.select(*sel) if out.columns else out
-    return out.select(*sel)
+    return null_safe(df.select(*by).distinct(), out.select(*sel), by)  # a group without values has none in m
 
 
 def _check(qs):
