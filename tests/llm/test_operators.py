@@ -73,6 +73,34 @@ def test_substring_hot_group(spark, monkeypatch):
     assert got == sorted(brute.substring(docs, 64))
 
 
+def test_copies_of_a_row_are_one_row(spark, monkeypatch):
+    """Rows that agree in id and text meet no other copy: the blocks don't grow with their number."""
+    from voltwatch.llm import repeats
+
+    rng = random.Random(17)
+    parts = [prose(rng, 120) for _ in range(4)]
+    copies = 40
+    pairs = [(None, f"{parts[0]} {parts[1]} {parts[2]}")] * copies + [(1, f"{parts[3]} {parts[1]} end"), (2, prose(rng, 200)), (2, prose(rng, 200))]
+    seen = []
+    plain = repeats.written
+
+    def counted(df, name):
+        out = plain(df, name)
+        if name == "blocks":
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(repeats, "written", counted)
+    docs = frame(spark, pairs)
+    assert sorted((tuple(r) for r in substring_index.dedup(docs).collect()), key=str) == sorted(brute.substring(pairs), key=str)
+    assert sorted((tuple(r) for r in relative_lz.dedup(docs).collect()), key=str) == sorted(brute.passages(pairs), key=str)
+    single = frame(spark, pairs[copies - 2 :])
+    many, seen[:] = list(seen), []
+    substring_index.dedup(single).collect()
+    relative_lz.dedup(single).collect()
+    assert seen == many and 0 < max(many) < copies * copies
+
+
 def test_run_length_index():
     rng = random.Random(2)
     blocks = ["".join(rng.choice("ab") for _ in range(n)).encode() for n in (50, 1, 80, 30)]

@@ -3,6 +3,9 @@
 Shared by the two substring operators, which differ in what a symbol is
 (byte, word) and in the index that settles the doubtful blocks.
 
+0. Rows that agree in id and text are one row with a weight n (``one_each``),
+   so copies of a row never meet each other below; callers join the marks back
+   to all of them.
 1. Each document's windows are dealt into runs by content-defined anchors
    (``hashing.anchors``): equal windows get the same anchor key.  Only runs
    whose key occurs twice go on; that is one aggregate and one join.
@@ -37,7 +40,7 @@ HOT_BLOCKS = 256
 #: Symbols of the blocks put into one index (whole groups, at least one).
 INDEX_SYMBOLS = 1 << 18
 
-RUNS = "kd long, kt long, s1 int, s2 int, at int, key long, c1 long, c2 long"
+RUNS = "kd long, kt long, s1 int, s2 int, at int, key long, c1 long, c2 long, n long"
 BLOCKS = "kd long, kt long, s1 int, s2 int, at int, lo int, hi int, n long, key long, c1 long, c2 long, block binary"
 MARKS = "kd long, kt long, a int, b int"
 
@@ -66,8 +69,8 @@ class Windows:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                cols: list[list] = [[] for _ in range(8)]
-                for kd, kt, text in zip(b.column("kd").to_pylist(), b.column("kt").to_pylist(), b.column("text"), strict=True):
+                cols: list[list] = [[] for _ in range(9)]
+                for kd, kt, n, text in zip(*(b.column(c).to_pylist() for c in ("kd", "kt", "n")), b.column("text"), strict=True):
                     sym, buf, width = symbols(text.as_py())
                     key, at, first, last = anchors(sym, length, k)
                     view = memoryview(buf)
@@ -78,12 +81,13 @@ class Windows:
                         c.append(x)
                     cols[6] += [c for c, _ in found]
                     cols[7] += [c for _, c in found]
+                    cols[8] += [n] * len(found)
                 join = lambda xs, t: np.concatenate(xs).astype(t) if xs else np.zeros(0, t)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
                         *(pa.array(join(cols[i], np.int32), pa.int32()) for i in (2, 3, 4)),
-                        pa.array(join(cols[5], np.int64), pa.int64()), pa.array(cols[6], pa.int64()), pa.array(cols[7], pa.int64()),
+                        pa.array(join(cols[5], np.int64), pa.int64()), *(pa.array(cols[i], pa.int64()) for i in (6, 7, 8)),
                     ],
                     names=[c.split()[0] for c in RUNS.split(", ")],
                 )
@@ -157,6 +161,22 @@ def _sorted_out(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     return shared.where("alike").drop("alike"), shared.where(~F.col("alike")).drop("alike")
 
 
+def one_each(docs: DataFrame) -> DataFrame:
+    """(kd, kt, text, n): one row for all rows that agree in kd and kt, n of them.
+
+    Without copies the texts are not moved.  Copies are written before they are
+    grouped, so that they are combined where they lie and a hot one is spread.
+    """
+    docs = docs.select("kd", "kt", "text")
+    copies = written(docs.groupBy("kd", "kt").agg(F.count("*").alias("n")).where("n > 1"), "copies")
+    if copies.isEmpty():
+        return docs.withColumn("n", F.lit(1).cast("long"))
+    copied = written(docs.join(copies, ["kd", "kt"]), "copied")
+    one = copied.groupBy("kd", "kt").agg(F.any_value("text").alias("text"), F.max("n").alias("n"))
+    rest = docs.join(copies, ["kd", "kt"], "left_anti").withColumn("n", F.lit(1).cast("long"))
+    return written(rest.unionByName(one), "single")
+
+
 def find_repeats(docs: DataFrame, windows: Windows, width: int, settle: Callable) -> DataFrame:
     """Marks (kd, kt, a, b): symbols a..b-1 of the document are covered by repeated windows.
 
@@ -165,7 +185,8 @@ def find_repeats(docs: DataFrame, windows: Windows, width: int, settle: Callable
     """
     length = windows.length
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    runs = written(windows.runs(docs), "runs").withColumn("n", F.lit(1).cast("long"))
+    docs = one_each(docs)
+    runs = written(windows.runs(docs), "runs")
     alike, mixed = _sorted_out(runs, "runs")
     marks = [_marks(alike, length)]
     same, doubt, one = _by_content(mixed, "mixed")
@@ -192,7 +213,7 @@ def find_repeats(docs: DataFrame, windows: Windows, width: int, settle: Callable
 def _by_content(mixed: DataFrame, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Of rows in keys with different contents: (repeated rows, rows that stand alone, one row of each repeated content).
 
-    The representative has n = 2, so it counts as repeated from then on and
+    The representative is one row, as no two rows share (kd, kt, s1).  It has n = 2, so it counts as repeated from then on and
     is never marked itself.
     """
     by = ["key", "c1", "c2"]
