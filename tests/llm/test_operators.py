@@ -314,6 +314,28 @@ def test_classifier(spark):
     assert sum(clean) >= 0.95 * len(clean)
 
 
+def test_classifier_drops_toxic_documents_of_all_languages(spark):
+    """Held out: the labels of odd key hash, which the operator never reads."""
+    sf = "/root/testdata/sf0.1"
+    got = QUERIES["op10_quality_classifier"](spark, sf)
+    truth = spark.read.parquet(f"{sf}/labels.parquet").join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    rows = got.join(truth.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1), "doc_id").collect()
+    toxic = [r for r in rows if r.toxic]
+    dropped = {lang: [not r.kept for r in toxic if r.lang == lang] for lang in ("de", "en", "es", "fr")}
+    assert all(sum(x) >= 0.5 * len(x) > 0 for x in dropped.values()), dropped
+    assert sum(not r.kept for r in toxic) >= 0.9 * len(toxic)
+    clean = [r.kept for r in rows if r.quality and not r.toxic]
+    assert sum(clean) >= 0.95 * len(clean)
+
+
+def test_insult_labeller_abstains(spark):
+    docs = frame(spark, [(1, "what a clown"), (2, "what a day"), (3, "so ein DUMPFX heute"), (4, None)])
+    got = {r.doc_id: r.v_insult for r in weak_labels.votes(docs.withColumn("lang", F.when(F.col("doc_id") == 3, "de").otherwise("en")), {"de": ["dumpfx"]}).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 2}
+    got = {r.doc_id: r.v_insult for r in weak_labels.votes(docs.withColumn("lang", F.lit(None).cast("string")), {"de": ["dumpfx"]}).collect()}
+    assert got == {1: 1, 2: 2, 3: 2, 4: 2}
+
+
 def test_em_recovers_labellers(monkeypatch):
     """Without its prior the estimate is that of the votes alone."""
     monkeypatch.setattr(weak_labels, "STRENGTH", 0.0)
