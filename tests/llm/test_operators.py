@@ -336,6 +336,19 @@ def test_insult_labeller_abstains(spark):
     assert got == {1: 1, 2: 2, 3: 2, 4: 2}
 
 
+def test_training_sample_is_picked_without_texts(spark, monkeypatch):
+    """The same rows as a plain sort and limit, copies included, with no sort or limit over texts."""
+    monkeypatch.setattr(weak_labels, "TRAIN_ROWS", 50)
+    for copies in (1, 30, 300):
+        d = frame(spark, [(i, f"text {i}") for i in range(400)] + [(None, "copy")] * copies)
+        d = d.select("doc_id", "text", *[F.lit(0).alias(v) for v in weak_labels.VOTES], F.lit(0.5).alias("posterior"))
+        want = d.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(50).groupBy("doc_id", "text").count()
+        got = weak_labels.train_sample(d)
+        assert sorted(map(str, ((r.doc_id, r.text, r.m) for r in got.collect()))) == sorted(map(str, map(tuple, want.collect())))
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "Limit" not in plan and "Sort" not in plan
+
+
 def test_em_recovers_labellers(monkeypatch):
     """Without its prior the estimate is that of the votes alone."""
     monkeypatch.setattr(weak_labels, "STRENGTH", 0.0)

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from voltwatch.llm.common import text_of, written
@@ -48,6 +48,28 @@ VOTES = ("v_short", "v_repeat", "v_symbols", "v_lines", "v_caps", "v_insult")
 ONE_SIDED = ("v_insult",)
 
 
+def least(df: DataFrame, by: list[str], n: int) -> list[tuple[Row, int]]:
+    """The n rows of df that come first by ``by`` (a uniform 64-bit hash first), as distinct keys and their number.
+
+    Rows of large hashes are left out beforehand, by the row count, and copies
+    are counted where they lie, so that the last task gets some 4 n keys
+    whatever the input.
+    """
+    total = df.count()
+    keys = df.select(*by)
+    few = keys.where(F.col(by[0]) < int(-(2**63) + min(1.0, 4 * n / max(total, 1)) * (2**64 - 2**12)))
+    found: list[tuple[Row, int]] = []
+    for some in (few, keys):  # all keys only if those below the bound are too few, by chance or as a copy has many rows
+        found, left = [], n
+        for r in some.groupBy(*by).agg(F.count("*").alias("m")).orderBy(*by).limit(n).collect():
+            if left:
+                found.append((r, min(left, r.m)))
+                left -= found[-1][1]
+        if not left:
+            break
+    return found
+
+
 def letters() -> Column:
     """The distinct lower-case words of letters of a text."""
     return F.array_distinct(F.split(F.lower("text"), "[^\\p{L}]+"))
@@ -62,7 +84,8 @@ def label_sample(labels: DataFrame) -> DataFrame:
     """(doc_id, toxic) of at most LABEL_ROWS labels, all of even key hash, so that the others are held out."""
     own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") == 1).alias("toxic")).dropna()
     own = own.withColumn("h", F.xxhash64("doc_id")).where(F.pmod("h", F.lit(2)) == 0)
-    return own.orderBy("h", "doc_id", "toxic").limit(LABEL_ROWS).drop("h")
+    found = [(r.doc_id, r.toxic) for r, _ in least(own, ["h", "doc_id", "toxic"], LABEL_ROWS)]
+    return labels.sparkSession.createDataFrame(found, "doc_id long, toxic boolean")
 
 
 def insults(docs: DataFrame, labels: DataFrame) -> dict[str, list[str]]:
@@ -150,6 +173,20 @@ def posteriors(voted: DataFrame) -> DataFrame:
     return voted.sparkSession.createDataFrame(data, ", ".join(f"{v} int" for v in VOTES) + ", posterior double")
 
 
+def train_sample(labelled: DataFrame) -> DataFrame:
+    """The TRAIN_ROWS documents of the least key hash, one row per document with its number m of equal rows.
+
+    The keys are picked without the texts, which are fetched for them alone.
+    """
+    spark = labelled.sparkSession
+    hashed = labelled.withColumn("h", F.xxhash64("doc_id", "text"))
+    picked = [(r.h, r.doc_id, m) for r, m in least(hashed, ["h", "doc_id"], TRAIN_ROWS)]
+    keys = spark.createDataFrame(picked, "h long, id long, m long")  # at most TRAIN_ROWS rows
+    same = (F.col("k.h") == F.col("d.h")) & F.col("k.id").eqNullSafe(F.col("d.doc_id"))
+    rows = hashed.alias("d").join(F.broadcast(keys).alias("k"), same).select("d.*", "k.m")
+    return rows.groupBy("h", "doc_id").agg(*[F.any_value(c).alias(c) for c in ("text", *VOTES, "posterior", "m")])
+
+
 def features(df: DataFrame) -> DataFrame:
     words = F.array_remove(F.split(F.lower("text"), "[ \\t-\\r]+"), "")
     words = F.concat(words, F.array(*[F.concat(F.lit(f" {v} "), F.col(v).cast("string")) for v in VOTES]))  # no word has a space
@@ -161,9 +198,11 @@ def classify(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     voted = written(votes(docs, insults(docs, labels) if labels is not None else None), "votes")
     post = posteriors(voted.drop("text"))
     labelled = voted.join(F.broadcast(post), list(VOTES), "left")  # at most 3^6 rows
-    sample = labelled.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(TRAIN_ROWS)
-    sample = sample.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    pairs = F.array(F.struct(F.lit(1.0).alias("label"), F.col("posterior").alias("w")), F.struct(F.lit(0.0).alias("label"), (1 - F.col("posterior")).alias("w")))
+    sample = train_sample(labelled)
+    pairs = F.array(
+        F.struct(F.lit(1.0).alias("label"), (F.col("m") * F.col("posterior")).alias("w")),
+        F.struct(F.lit(0.0).alias("label"), (F.col("m") * (1 - F.col("posterior"))).alias("w")),
+    )
     train = features(sample).select("_features", F.explode(pairs).alias("p")).select("_features", "p.label", "p.w").where("w > 0")
     train = train.persist()
     try:
