@@ -294,20 +294,32 @@ def run_aggregate(sdf_agg: DataFrame, out: str, checkpoint: str, name: str, mode
     return run_to_end(sdf_agg, writer, name, checkpoint, mode=mode)
 
 
+def chunk_cuts(df: DataFrame, time: str, chunks: int) -> list:
+    """At most ``chunks`` - 1 rising times that cut the rows into chunks of about equal count."""
+    us = F.timestamp_diff("MICROSECOND", F.expr(NTZ_EPOCH), F.col(time).cast("timestamp_ntz"))
+    qs = [i / chunks for i in range(1, chunks)]
+    found = df.agg(F.percentile_approx(us, qs, 10_000), F.min(us)).first() if qs else (None, None)
+    return sorted({c for c in found[0] or [] if c > found[1]})
+
+
 def stream_folder(spark: SparkSession, df: DataFrame, time: str, chunks: int, key: str, files: int = 8) -> str:
-    """Write ``df`` in time order, one append of ``files`` files per chunk, so
-    that a stream of ``files`` files per trigger replays a chunk per
-    micro-batch.  Rows are dealt to the files by the hash of ``key`` (unique, so
-    that a hot entity is dealt too); rows without a time come first."""
+    """Write ``df`` in time order, one append of exactly ``files`` files per
+    chunk, so that a stream of ``files`` files per trigger replays a chunk per
+    micro-batch.  The times are cut at equal counts, so an outlier makes no
+    chunk of its own; rows of one time stay together.  Rows are dealt to the
+    files by the hash of ``key`` (unique, so that a hot entity is dealt too);
+    rows without a time come first.  A file without rows is written as well,
+    and the number of files is checked: a trigger never spans two chunks."""
     path = scratch_path(spark, "stream-in")
-    lo, hi = df.agg(F.min(time), F.max(time)).first()
-    if lo is None:
-        df.write.parquet(path)
-        return path
-    span = (hi - lo) / chunks
-    at = [F.lit((lo + span * i).isoformat(sep=" ")).cast(df.schema[time].dataType) for i in range(chunks)]
-    for i in range(chunks):
-        part = (F.col(time) < at[i + 1]) if i < chunks - 1 else F.lit(True)
-        part = part & (F.col(time) >= at[i]) if i else F.col(time).isNull() | part
-        df.where(part).repartition(files, key).write.mode("append").parquet(path)
+    cuts = chunk_cuts(df, time, chunks)
+    us = F.timestamp_diff("MICROSECOND", F.expr(NTZ_EPOCH), F.col(time).cast("timestamp_ntz"))
+    # the chunk of a row: the number of cuts at or before its time
+    chunk = F.coalesce(sum([(us >= c).cast("int") for c in cuts], F.lit(0)), F.lit(0))
+    for i in range(len(cuts) + 1):
+        df.where(chunk == i).repartition(files, key).write.mode("append").parquet(path)
+        missing = files * (i + 1) - len(spark.read.schema(df.schema).parquet(path).inputFiles())
+        for _ in range(missing):  # partitions without rows wrote no file
+            df.limit(0).coalesce(1).write.mode("append").parquet(path)
+        if (n := len(spark.read.schema(df.schema).parquet(path).inputFiles())) != files * (i + 1):
+            raise ValueError(f"chunk {i} of the replay ends at file {n}, not {files * (i + 1)}")
     return path
