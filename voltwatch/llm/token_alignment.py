@@ -38,6 +38,8 @@ from voltwatch.llm.common import documents, written
 VOCABULARY, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Longest stretch that one probe compares.
 STRETCH = 4096
+#: Tokens that are compared one by one before a stretch is.
+FIRST = 8
 
 
 @dataclass(frozen=True)
@@ -58,6 +60,8 @@ def byte_level_tokens(path: str) -> tuple[list[bytes], set[int]]:
     """(bytes of every id, ids of added tokens) of a byte-level BPE file."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
+    if spec["normalizer"] is not None or spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["pre_tokenizer"]["add_prefix_space"]:
+        raise ValueError(f"{path} is not a plain byte-level vocabulary")
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     rest = [b for b in range(256) if b not in set(plain)]
     byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
@@ -93,8 +97,8 @@ def tokenizers_of(vocabulary: str, pieces: str) -> Pair:
     ranks = {t: i for i, t in enumerate(bytes_a) if i not in added}
     own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     model = sentencepiece.SentencePieceProcessor(model_file=pieces)
-    n = model.vocab_size()
-    bytes_b = [bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace("▁", " ").encode() for i in range(n)]
+    names_b = [model.id_to_piece(i) for i in range(model.vocab_size())]
+    bytes_b = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names_b)]
     sizes = [np.array([len(t) for t in v], np.int64) for v in (bytes_a, bytes_b)]
     names = np.array([f"{i}{sign}" for v, signs in ((bytes_a, ",|"), (bytes_b, ",;")) for sign in signs for i in range(len(v))], object)
     return Pair(own.encode_to_numpy, lambda t: model.encode(t, num_threads=1), bytes_a, bytes_b, *sizes, possible_pairs(bytes_a, bytes_b), names)
@@ -104,24 +108,26 @@ def skip_runs(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     """Runs (i, j, n): the tokens i..i+n-1 and j..j+n-1 end together one by one.
 
     ``a`` and ``b`` are ascending end offsets with the same last one.  A run
-    starts at the end of an irregular group, or where the shift was found.
+    begins with the link that closes an irregular group.
     """
-    runs, i, j, n, m = [], 0, 0, len(a), len(b)
-    while i < n and j < m:
-        start, step = i, 1
-        while a[i : i + step] == b[j : j + step]:
-            i, j = min(i + step, n), min(j + step, m)
-            if i == n or j == m:
-                break
-            step = min(step * 2, STRETCH)
-        while step > 1 and i < n and j < m:  # the ends part within the last step: halve it
-            step //= 2
-            if a[i : i + step] == b[j : j + step]:
-                i, j = min(i + step, n), min(j + step, m)
+    a, b, n = [*a, -1], [*b, -2], len(a)  # the ends differ behind the last
+    runs, start, i, j = [], 0, 0, 0
+    while True:
+        probe = i + FIRST
+        while i < probe and a[i] == b[j]:
+            i, j = i + 1, j + 1
+        if i == probe:
+            step = FIRST
+            while a[i : i + step] == b[j : j + step]:
+                i, j, step = i + step, j + step, min(2 * step, STRETCH)
+            while step > 1:  # the ends part within the last step: halve it
+                step //= 2
+                if a[i : i + step] == b[j : j + step]:
+                    i, j = i + step, j + step
         if i > start:
             runs.append((start, j - (i - start), i - start))
-        if i == n or j == m:
-            break
+        if i == n:
+            return runs
         x, y = a[i], b[j]
         while x != y:
             if x < y:
@@ -130,9 +136,8 @@ def skip_runs(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
             else:
                 j += 1
                 y = b[j]
-        runs.append((i, j, 1))
+        start = i
         i, j = i + 1, j + 1
-    return runs
 
 
 def links_of(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -170,13 +175,14 @@ def align(pair: Pair, text: str | None) -> Alignment:
         return Alignment()
     whole = " " + text
     data = whole.encode("utf-8", "surrogatepass")
+    pieces = pair.encode_b(text)
     a = pair.encode_a(whole).astype(np.int64)
-    b = np.array(pair.encode_b(text), np.int64)
-    ends_a, ends_b = np.cumsum(pair.size_a[a]), np.cumsum(pair.size_b[b])
-    if not len(a) or not len(b) or ends_a[-1] != len(data) or ends_b[-1] != len(data):
-        return Alignment()
-    if b"".join([pair.bytes_a[x] for x in a.tolist()]) != data or b"".join([pair.bytes_b[x] for x in b.tolist()]) != data:
+    ends_a = np.cumsum(pair.size_a[a])
+    # A plain byte-level vocabulary gives the bytes themselves; pieces may not.
+    if not pieces or ends_a[-1] != len(data) or b"".join([pair.bytes_b[x] for x in pieces]) != data:
         return Alignment()
+    b = np.array(pieces, np.int64)
+    ends_b = np.cumsum(pair.size_b[b])
     i, j = links_of(ends_a.tolist(), ends_b.tolist())
     codes = a[i] * len(pair.bytes_b) + b[j]
     return Alignment(len(a), len(b), group_text(pair, a, b, i, j), np.searchsorted(pair.codes, codes).astype("<i4"))
