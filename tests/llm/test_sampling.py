@@ -199,6 +199,8 @@ def test_skip_runs():
 def test_all_pairs_are_listed():
     pair = token_alignment.tokenizers_of(*(public_tokenizers.path(n) for n in (token_alignment.VOCABULARY, token_alignment.PIECES)))
     assert len(pair.codes) <= sum(map(len, pair.bytes_a)) + 2 * sum(map(len, pair.bytes_b))
+    some = np.random.default_rng(1).permutation(pair.codes)[:5000]
+    assert (pair.codes[pair.numbering.find(some)] == some).all()
     a, b = [b"ab", b"b", b"cab", b"x"], [b"b", b"ab", b"b", b"y"]
     want = {i * 4 + j for i in range(4) for j in range(4) if a[i].endswith(b[j]) or b[j].endswith(a[i])}
     assert set(token_alignment.possible_pairs(a, b).tolist()) == want

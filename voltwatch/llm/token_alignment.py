@@ -42,6 +42,37 @@ STRETCH = 4096
 FIRST = 8
 
 
+class Numbering:
+    """Number of each of a fixed set of codes: open addressing, all queries probed together."""
+
+    FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, codes: np.ndarray):
+        self.bits = max(4, int(2 * len(codes)).bit_length())
+        self.held, self.number = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int32)
+        at, left = self.slot(codes), np.arange(len(codes))
+        while len(left):
+            mine = left[self.held[at[left]] < 0]
+            self.held[at[mine]], self.number[at[mine]] = codes[mine], mine
+            left = left[self.held[at[left]] != codes[left]]
+            at[left] = self.next(at[left])
+
+    def slot(self, codes: np.ndarray) -> np.ndarray:
+        return ((codes.astype(np.uint64) * self.FACTOR) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def next(self, at: np.ndarray) -> np.ndarray:
+        return (at + 1) & ((1 << self.bits) - 1)
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        """Numbers of codes of the set."""
+        at = self.slot(codes)
+        left = np.flatnonzero(self.held[at] != codes)
+        while len(left):
+            at[left] = self.next(at[left])
+            left = left[self.held[at[left]] != codes[left]]
+        return self.number[at]
+
+
 @dataclass(frozen=True)
 class Pair:
     """Both vocabularies inside one Python worker."""
@@ -53,6 +84,7 @@ class Pair:
     size_a: np.ndarray
     size_b: np.ndarray
     codes: np.ndarray  # a * len(bytes_b) + b of every pair that can end together, sorted
+    numbering: Numbering
     names: np.ndarray  # decimal ids with the sign that follows them in the group text
 
 
@@ -100,8 +132,9 @@ def tokenizers_of(vocabulary: str, pieces: str) -> Pair:
     names_b = [model.id_to_piece(i) for i in range(model.vocab_size())]
     bytes_b = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names_b)]
     sizes = [np.array([len(t) for t in v], np.int64) for v in (bytes_a, bytes_b)]
-    names = np.array([f"{i}{sign}" for v, signs in ((bytes_a, ",|"), (bytes_b, ",;")) for sign in signs for i in range(len(v))], object)
-    return Pair(own.encode_to_numpy, lambda t: model.encode(t, num_threads=1), bytes_a, bytes_b, *sizes, possible_pairs(bytes_a, bytes_b), names)
+    names = np.array([f"{i}{sign}" for v, signs in ((bytes_a, ",|"), (bytes_b, ",;")) for sign in signs for i in range(len(v))], "S")
+    codes = possible_pairs(bytes_a, bytes_b)
+    return Pair(own.encode_to_numpy, lambda t: model.encode(t, num_threads=1), bytes_a, bytes_b, *sizes, codes, Numbering(codes), names)
 
 
 def skip_runs(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
@@ -148,7 +181,7 @@ def links_of(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(runs[:, 0], n) + inside, np.repeat(runs[:, 1], n) + inside
 
 
-def group_text(pair: Pair, a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> str:
+def group_text(pair: Pair, a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> bytes:
     """``a1,a2|b1;a3|b2,b3``: the ids of each group, both sides in order."""
     end_a, end_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
     end_a[i] = end_b[j] = 1
@@ -158,14 +191,14 @@ def group_text(pair: Pair, a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.nd
     va, vb = len(pair.bytes_a), len(pair.bytes_b)
     out[np.arange(len(a)) + before_a] = a + va * end_a
     out[np.arange(len(b)) + before_b] = 2 * va + b + vb * end_b
-    return "".join(pair.names[out].tolist())[:-1]
+    return pair.names[out].tobytes().translate(None, b"\0")[:-1]  # without the padding of the fixed width
 
 
 @dataclass(frozen=True)
 class Alignment:
     n_a: int = 0
     n_b: int = 0
-    groups: str = ""
+    groups: bytes = b""
     links: np.ndarray | None = None  # places in Pair.codes
 
 
@@ -185,7 +218,7 @@ def align(pair: Pair, text: str | None) -> Alignment:
     ends_b = np.cumsum(pair.size_b[b])
     i, j = links_of(ends_a.tolist(), ends_b.tolist())
     codes = a[i] * len(pair.bytes_b) + b[j]
-    return Alignment(len(a), len(b), group_text(pair, a, b, i, j), np.searchsorted(pair.codes, codes).astype("<i4"))
+    return Alignment(len(a), len(b), group_text(pair, a, b, i, j), pair.numbering.find(codes).astype("<i4", copy=False))
 
 
 def aligned(docs: DataFrame, vocabulary: str, pieces: str) -> DataFrame:
@@ -195,7 +228,7 @@ def aligned(docs: DataFrame, vocabulary: str, pieces: str) -> DataFrame:
         pair = tokenizers_of(vocabulary, pieces)
         for batch in batches:
             found = [align(pair, t.as_py()) for t in batch.column("text")]
-            digest = [hashlib.sha256(x.groups.encode()).hexdigest() if x.n_a else "" for x in found]
+            digest = [hashlib.sha256(x.groups).hexdigest() if x.n_a else "" for x in found]
             packed = [x.links.tobytes() if x.n_a else b"" for x in found]
             yield pa.RecordBatch.from_arrays(
                 [
