@@ -124,30 +124,3 @@ def test_null_labels_and_predictions_are_kept(spark):
     w = metrics.with_weights(d, "y").groupBy("y").agg(F.max("weight").alias("w")).collect()
     n = {y: sum(1 for r in rows if r[1] == y) for y in (None, 0, 1)}
     assert {r["y"]: round(r["w"], 9) for r in w} == {y: round(100 / (3 * c), 9) for y, c in n.items()}
-
-
-def test_search_query_runs_the_whole_search(spark, monkeypatch):
-    """20 draws x 3 holdouts, each holdout prepared once, scores as of separate fits."""
-    from voltwatch.operators import ml
-    from voltwatch.plans import catalog_models
-
-    rows = [(i, float(i % 7), float(i % 5) if i % 11 else None, int(i % 7 > 4 or i % 13 == 0)) for i in range(200)]
-    d = spark.createDataFrame(rows, "id long, a double, b double, y int").coalesce(1)
-    light = ml.gbt_params(ml.search_space(1, 42)[0]) | {"maxIter": 2}
-    monkeypatch.setattr(ml, "gbt_params", lambda draw: light)
-    got = ml.random_search(d, ["a", "b"], "y", "id", 2, 2)
-    want = [ml.f1_class1(ml.score(te, ml.train(tr, ["a", "b"], "y", "gbt", light), keep=["y"]), "y") for tr, te in ml.repeated_holdout(d, "y", "id", 2)]
-    assert [r["mean_f1"] for r in got] == [sum(want) / 2] * 2
-    asked = []
-
-    def search(df, features, label, id_col, n_draws=ml.SEARCH_DRAWS, splits=ml.SEARCH_SPLITS, **rest):
-        asked.append((n_draws, splits))
-        raise StopIteration
-
-    monkeypatch.setattr(ml, "random_search", search)
-    monkeypatch.setattr(catalog_models, "_features", lambda spark, sf: (d.withColumn("is_test", d.id % 2), ["a", "b"]))
-    try:
-        catalog_models.q_random_search(spark, "")
-    except StopIteration:
-        pass
-    assert asked == [(20, 3)]

@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voltwatch.functions.columns import label_text, prediction_typing
-from voltwatch.operators import drift, metrics, ml
+from voltwatch.operators import boosting, drift, metrics, ml
 from voltwatch.plans.catalog_features import FEATURE_SPEC
 from voltwatch.plans.featureset import feature_pipeline
+from voltwatch.plans.layout import materialize
 from voltwatch.plans.registry import query, rounded
 from voltwatch.sources.tables import EVENTS, EVENTS_SQL, events_telemetry
 
@@ -312,12 +313,11 @@ def q_random_search(spark, sf):
     """Random search (20 draws x 3 holdouts, as the reference), refit
     of the best draw on all train rows, evaluation on test."""
     d, feats = _features(spark, sf)
-    d = d.persist()
+    d = materialize(d)
     tr, te = d.where("is_test = 0"), d.where("is_test = 1")
-    res = ml.random_search(tr, feats, "label", "event_id")
-    best = ml.best_draw(res)
-    m = ml.train(tr, feats, "label", "gbt", ml.gbt_params(best))
-    sc = ml.score(te, m, keep=["label"])
+    best = ml.best_draw(ml.random_search(tr, feats, "label", "event_id"))
+    spec = ml.boosted_spec(best, boosting.positive_weight(tr, "label"))
+    sc = boosting.train(tr, feats, "label", "event_id", spec).score(te, keep=["label"])
     ev = metrics.evaluate(sc, "label", "prediction", "probability")
     return ev.withColumn("best_draw", F.lit(best["draw"])).withColumn("best_cv_f1", F.lit(best["mean_f1"]))
 
