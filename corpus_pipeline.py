@@ -4,6 +4,9 @@ quality_rules drops documents that fail the rules; minmax_dedup leaves one
 document of each near-duplicate group (five words, similarity 0.8);
 substring_dedup cuts byte passages that occur twice; secret_scan replaces
 secrets by their kind; packing gives the pieces of the token sequences.
+
+In every stage a null text counts as empty, an empty table gives an empty one,
+and extra columns go along unchanged (packing has its own columns).
 """
 
 from __future__ import annotations
@@ -18,23 +21,32 @@ from voltwatch.llm.secret_scan import redact
 from voltwatch.llm.substring_index import remove_repeats
 
 
+#: Bytes of a repeated passage; 50 words of `documents` have about 250 to 330.
+PASSAGE = 250
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that fail a base rule (null and empty texts among them) or a soft rule on a bad host; copies share a verdict."""
     return keep_good(docs)
 
 
 def minmax_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the smallest doc_id stays, one row of it; texts without words stay."""
     return keep_one(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return remove_repeats(docs)
+    """Cuts every byte of a PASSAGE-byte string that starts anywhere else; all rows stay, wholly cut texts as empty ones."""
+    return remove_repeats(docs, PASSAGE)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Puts the kind in brackets for every secret; all rows stay."""
     return redact(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 2048 tokens; an empty text is its end token."""
     return pack(docs)
 
 
