@@ -2,6 +2,7 @@
 
 import base64
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -264,6 +265,17 @@ def test_secrets(spark, docs):
         assert got[d].spans == shown(spans_of(t or ""))
 
 
+def test_endpoints_in_long_tokens():
+    """A run without an end is tried once: a megabyte of letters, base64, dots or labels takes seconds at most."""
+    rng = random.Random(4)
+    for token in ("x" * 10**6, "".join(rng.choices("abcXYZ019+/", k=10**6)), "a." * 500_000, "ab-" * 300_000, "." * 10**6, "password" + " " * 10**6):
+        start = time.process_time()
+        secret_scan.find_parts(f"user=alice Zx9Zx9Zx9Zx9Zx9Zx9Zx9 {token} tail.example.org")
+        assert time.process_time() - start < 5
+    found = [m[0] for m in secret_scan.ENDPOINT.finditer("a.b.com x..y.net .z.org -k.io http://h/p https://q a.b.c.local:80 nocom com.x")]
+    assert found == ["a.b.com", "y.net", "z.org", "-k.io", "http://h/p", "https://q", "a.b.c.local:80"]
+
+
 def test_topk_query(spark, docs):
     got = [(r.query_id, r.doc_id, r.score) for r in QUERIES["op8_topk_search"](spark, SF).orderBy("query_id", "rank").collect()]
     want = sorted(brute.bm25(docs), key=lambda r: (r[0], -round(r[2], 6), r[1]))
@@ -398,7 +410,7 @@ def test_pipeline(spark, rows):
     one = {r[0] for r in brute.near(left, 5) if r[3]}
     left = [(d, t) for d, t in left if d in one]
     data = [(t or "").encode() for _, t in left]
-    left = [(d, bytes(brute.without(s, hit)).decode("utf-8", "ignore")) for (d, _), s, hit in zip(left, data, brute.covered(data, 400), strict=True)]
+    left = [(d, bytes(brute.without(s, hit)).decode("utf-8", "ignore")) for (d, _), s, hit in zip(left, data, brute.covered(data, corpus_pipeline.PASSAGE), strict=True)]
     texts = {}
     for d, t in left:
         out, at = [], 0

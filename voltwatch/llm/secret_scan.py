@@ -34,7 +34,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 MIXED = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[a-z+/_=-]*[A-Z0-9])[A-Za-z0-9+/_=-]{20,}")
 LOGIN = re.compile(r"""(?:user(?:name)?|login|client_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}""", re.I | re.A)
-ENDPOINT = re.compile(r"""https?://[^\s"'<>]+|[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.(?:com|net|org|io|local|internal)\b(?::[0-9]+)?""")
+#: A host starts only where no dotted run goes on, so that a run of any length is tried once.
+ENDPOINT = re.compile(r"""https?://[^\s"'<>]+|(?<![A-Za-z0-9-])(?<![A-Za-z0-9-]\.)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.(?:com|net|org|io|local|internal)\b(?::[0-9]+)?""")
 #: Parts a weak candidate of this kind needs nearby: 0 identifier, 1 secret, 2 endpoint.
 NEEDS = {3: (0, 2), 4: (1,)}
 
@@ -92,9 +93,9 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _linked(found: DataFrame) -> DataFrame:
-    """Per document with links: (kd, kt, linked spans)."""
-    both = found.where((F.size("weak") > 0) & (F.size("parts") > 0))
-    weak = both.select("kd", "kt", F.explode("weak").alias("w")).distinct()
+    """Per document with links: (kd, kt, linked spans); copies of a row enter the join once."""
+    both = found.where((F.size("weak") > 0) & (F.size("parts") > 0)).select("kd", "kt", "weak", "parts").dropDuplicates(["kd", "kt"])
+    weak = both.select("kd", "kt", F.explode("weak").alias("w"))
     needs = F.when(F.col("w.k") == 3, F.array(*map(F.lit, NEEDS[3]))).otherwise(F.array(*map(F.lit, NEEDS[4])))
     weak = weak.select("kd", "kt", "w", F.explode(needs).alias("need"), (F.col("w.s") / REACH).cast("int").alias("scope"))
     reach = F.sequence(
