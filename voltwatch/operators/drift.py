@@ -8,15 +8,14 @@ values is not one task).
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltwatch.config import DEFAULT_SCALE, Columns, Scale
+from voltwatch.functions.tails import chi2_tail, ks_tail
 from voltwatch.operators import metrics
 from voltwatch.operators.quantiles import quantiles
-from voltwatch.plans.layout import running
+from voltwatch.plans.layout import null_safe, running
 
 # Fixed values from the monitoring notes.
 PSI_BANDS = (0.1, 0.2)
@@ -24,7 +23,8 @@ KS_ALPHA = 0.05
 MEAN_SHIFT_SIGMAS = 2.0
 RECALL_FLOOR = 0.85
 PSI_EPS = 1e-4
-KS_TERMS = 100
+PR_DROP = 0.1
+FN_RISE = 0.1
 
 
 def _melt(df: DataFrame, cols, side: int | None = None) -> DataFrame:
@@ -46,29 +46,22 @@ def side_summary(df: DataFrame, cols) -> DataFrame:
 
 def drift_summary(ref: DataFrame, cur: DataFrame, cols, sigmas: float = MEAN_SHIFT_SIGMAS) -> DataFrame:
     """Summary of each feature on both sides; ``mean_drift`` when the
-    current mean moved more than ``sigmas`` reference std."""
+    current mean moved more than ``sigmas`` reference std, ``no_data`` when
+    the current side has no value of the feature (or no rows)."""
     stats = ["n", "mean", "median", "min", "max", "std", "null_pct", "distinct"]
     r = side_summary(ref, cols).select("feature", *[F.col(s).alias(f"ref_{s}") for s in stats])
     c = side_summary(cur, cols).select("feature", *[F.col(s).alias(f"cur_{s}") for s in stats])
-    j = r.join(c, "feature")  # one row per feature on both sides
+    j = r.join(c, "feature", "full")  # one row per feature on both sides
+    j = j.fillna(0, ["ref_n", "cur_n", "ref_distinct", "cur_distinct"])
     shift = F.abs(F.col("cur_mean") - F.col("ref_mean"))
-    return j.withColumn("mean_drift", F.coalesce(shift > sigmas * F.col("ref_std"), F.lit(False)))
-
-
-def ks_pvalue(d: Column, n: Column, m: Column, terms: int = KS_TERMS) -> Column:
-    """Asymptotic two-sample KS p-value (Kolmogorov series, Stephens'
-    small-sample correction), clamped to [0, 1]."""
-    ne = F.nullif((n * m / (n + m)).cast("double"), F.lit(0.0))
-    lam = (F.sqrt(ne) + 0.12 + 0.11 / F.sqrt(ne)) * d
-    series = F.aggregate(
-        F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
-        lambda acc, j: acc + 2.0 * F.pow(F.lit(-1.0), j - 1) * F.exp(-2.0 * j * j * lam * lam))
-    return F.when(lam.isNotNull(), F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
+    j = j.withColumn("mean_drift", F.coalesce(shift > sigmas * F.col("ref_std"), F.lit(False)))
+    return j.withColumn("no_data", (F.col("cur_n") == 0) | (F.col("cur_null_pct") == 1))
 
 
 def drift_ks(ref: DataFrame, cur: DataFrame, cols, scale: Scale = DEFAULT_SCALE) -> DataFrame:
-    """Two-sample KS statistic (max CDF gap) and asymptotic p-value per
-    feature; NULLs are ignored, and a side without values gives NULLs."""
+    """Two-sample KS statistic (max CDF gap) and p-value per feature
+    (exact for small samples, else asymptotic); NULLs are ignored, and a side
+    without values gives NULLs."""
     m = _melt(ref, cols, 0).unionByName(_melt(cur, cols, 1)).where(F.col("v").isNotNull())
     g = m.groupBy("feature", "v").agg(F.count_if(F.col("side") == 0).alias("a"),
                                       F.count_if(F.col("side") == 1).alias("b"))
@@ -78,7 +71,7 @@ def drift_ks(ref: DataFrame, cur: DataFrame, cols, scale: Scale = DEFAULT_SCALE)
     gap = F.abs(F.try_divide("ca", "na") - F.try_divide("cb", "nb"))  # NULL when a side has no value
     d = cum.groupBy("feature", "na", "nb").agg(F.max(gap).alias("ks_stat"))
     return d.select("feature", F.col("na").cast("long").alias("n_ref"), F.col("nb").cast("long").alias("n_cur"),
-                    "ks_stat", ks_pvalue(F.col("ks_stat"), F.col("na"), F.col("nb")).alias("ks_p"))
+                    "ks_stat", ks_tail(F.col("ks_stat"), F.col("na"), F.col("nb")).alias("ks_p"))
 
 
 def drift_psi(ref: DataFrame, cur: DataFrame, cols, bins: int = 10, eps: float = PSI_EPS,
@@ -106,8 +99,9 @@ def drift_psi(ref: DataFrame, cur: DataFrame, cols, bins: int = 10, eps: float =
 
 
 def drift_chi2(ref: DataFrame, cur: DataFrame, cols) -> DataFrame:
-    """Chi-square statistic and degrees of freedom of the category x
-    side contingency table, per categorical column; NULL is a category."""
+    """Chi-square statistic, degrees of freedom and p-value of the
+    category x side contingency table, per categorical column; NULL is a
+    category."""
     def melt_s(df, side):
         arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")).alias("cat")) for c in cols])
         return df.select(F.inline(arr)).withColumn("side", F.lit(side))
@@ -124,38 +118,8 @@ def drift_chi2(ref: DataFrame, cur: DataFrame, cols) -> DataFrame:
     agg = cells.groupBy("feature").agg(
         F.sum((F.col("o") - F.col("e")) ** 2 / F.col("e")).alias("chi2"),
         F.count_distinct("cat").alias("r"), F.count_distinct("side").alias("c"))
-    return agg.select("feature", "chi2", ((F.col("r") - 1) * (F.col("c") - 1)).cast("long").alias("dof"))
-
-
-def chi2_pvalue(x: float, dof: int) -> float:
-    """Upper tail of the chi-square distribution (regularised gamma Q)."""
-    if dof <= 0 or x is None:
-        return float("nan")
-    s, z = dof / 2.0, x / 2.0
-    if z < s + 1:  # series for P
-        term = total = 1.0 / s
-        a = s
-        for _ in range(1000):
-            a += 1
-            term *= z / a
-            total += term
-            if abs(term) < abs(total) * 1e-15:
-                break
-        return max(0.0, 1.0 - total * math.exp(-z + s * math.log(z) - math.lgamma(s)))
-    b, c, d = z + 1 - s, 1e300, 1.0 / (z + 1 - s)  # continued fraction for Q
-    h = d
-    for i in range(1, 1000):
-        an = -i * (i - s)
-        b += 2
-        d = an * d + b
-        d = 1e-300 if abs(d) < 1e-300 else d
-        c = b + an / c
-        c = 1e-300 if abs(c) < 1e-300 else c
-        d = 1.0 / d
-        h *= d * c
-        if abs(d * c - 1) < 1e-15:
-            break
-    return math.exp(-z + s * math.log(z) - math.lgamma(s)) * h
+    dof = ((F.col("r") - 1) * (F.col("c") - 1)).cast("long")
+    return agg.select("feature", "chi2", dof.alias("dof"), chi2_tail(F.col("chi2"), dof).alias("p_value"))
 
 
 def adversarial(ref: DataFrame, cur: DataFrame, cols, trees: int = 100, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -178,16 +142,31 @@ def adversarial(ref: DataFrame, cur: DataFrame, cols, trees: int = 100, seed: in
 
 
 def performance_by_period(df: DataFrame, time: str, label: str, pred: str, period: str = "1 day",
-                          recall_floor: float = RECALL_FLOOR) -> DataFrame:
-    """Confusion counts, rows not scored, precision, recall and F1 (class
-    1) per tumbling period; ``recall_alarm`` when recall < floor."""
+                          recall_floor: float = RECALL_FLOOR, score: str | None = None,
+                          pr_baseline: float | None = None, pr_drop: float = PR_DROP,
+                          scale: Scale = DEFAULT_SCALE) -> DataFrame:
+    """Confusion counts, rows not scored, precision, recall, F1 (class 1)
+    and false-negative rate per tumbling period; ``recall_alarm`` when recall
+    < floor.  With a ``score`` column also the ROC and PR areas of each period
+    (NULL with one class), and with a baseline the relative drop of the PR
+    area; ``pr_alarm`` when it exceeds ``pr_drop``."""
     from voltwatch.operators.reshape import _seconds, bucket_start
     start = bucket_start(F.col(time), _seconds(period), df.schema[time].dataType)
-    cm = metrics.confusion(df.withColumn("period_start", start), label, pred, by=["period_start"])
+    d = df.withColumn("period_start", start)
+    cm = metrics.confusion(d, label, pred, by=["period_start"])
     p = metrics._div(F.col("tp"), F.col("tp") + F.col("fp"))
     r = metrics._div(F.col("tp"), F.col("tp") + F.col("fn"))
-    return cm.select("period_start", "tn", "fp", "fn", "tp", "not_scored", p.alias("precision"), r.alias("recall"),
-                     metrics._div(2 * p * r, p + r).alias("f1"), (r < recall_floor).alias("recall_alarm"))
+    out = cm.select("period_start", "tn", "fp", "fn", "tp", "not_scored", p.alias("precision"), r.alias("recall"),
+                    metrics._div(2 * p * r, p + r).alias("f1"), F.try_divide("fn", F.col("fn") + F.col("tp")).alias("fn_rate"),
+                    (r < recall_floor).alias("recall_alarm"))
+    if score is None:
+        return out
+    areas = metrics.ranking_metrics(d.where(F.col(label).isNotNull()), score, label, scale, by="period_start")
+    out = null_safe(out, areas, ["period_start"])  # one row per period on both sides
+    if pr_baseline is not None:
+        drop = (F.lit(pr_baseline) - F.col("pr_auc")) / F.lit(pr_baseline)
+        out = out.withColumn("pr_auc_drop", drop).withColumn("pr_alarm", F.coalesce(drop > pr_drop, F.lit(False)))
+    return out
 
 
 def error_rows(df: DataFrame, label: str, pred: str) -> DataFrame:
@@ -200,21 +179,35 @@ def error_rows(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 def triggers(summary: DataFrame, psi: DataFrame, ks: DataFrame, perf: DataFrame, model_age_days: float | None = None,
              max_age_days: float = 30.0, psi_limit: float = PSI_BANDS[1], alpha: float = KS_ALPHA,
-             recall_floor: float = RECALL_FLOOR) -> DataFrame:
+             recall_floor: float = RECALL_FLOOR, ks_share: float = 0.0, pr_drop: float = PR_DROP,
+             fn_baseline: float = 0.0, fn_rise: float = FN_RISE) -> DataFrame:
     """One row of trigger booleans and a reason list (any trigger ->
-    retrain).  Each input is reduced to one row first."""
-    s = summary.agg(F.count_if("mean_drift").cast("long").alias("mean_drift_features"))
-    p = psi.agg(F.max("psi").alias("max_psi"))
-    k = ks.agg(F.min("ks_p").alias("min_ks_p"))
-    r = perf.agg(F.min("recall").alias("min_recall"))
-    one = s.unionByName(p, allowMissingColumns=True).unionByName(k, allowMissingColumns=True) \
-        .unionByName(r, allowMissingColumns=True)
-    one = one.agg(*[F.max(c).alias(c) for c in ("mean_drift_features", "max_psi", "min_ks_p", "min_recall")])
+    retrain).  Each input is reduced to one row first.
+
+    ``ks`` fires when more than ``ks_share`` of the features fail the test
+    (0: any), ``no_data`` when a feature has no current value, ``fn_rate``
+    when a period's false-negative rate is ``fn_rise`` above its baseline,
+    ``pr_auc`` when a period's PR area (if ``perf`` has ``pr_auc_drop``)
+    dropped by more than ``pr_drop``."""
+    drop = F.col("pr_auc_drop") if "pr_auc_drop" in perf.columns else F.lit(None).cast("double")
+    parts = [
+        summary.agg(F.count_if("mean_drift").cast("long").alias("mean_drift_features"), F.count_if("no_data").cast("long").alias("no_data_features")),
+        psi.agg(F.max("psi").alias("max_psi")),
+        ks.agg(F.min("ks_p").alias("min_ks_p"), F.try_divide(F.count_if(F.col("ks_p") < alpha), F.count(F.lit(1))).alias("ks_failing_share")),
+        perf.agg(F.min("recall").alias("min_recall"), F.max("fn_rate").alias("max_fn_rate"), F.max(drop).alias("max_pr_auc_drop")),
+    ]
+    one = parts[0]
+    for x in parts[1:]:
+        one = one.unionByName(x, allowMissingColumns=True)
+    one = one.agg(*[F.max(c).alias(c) for c in one.columns])
     flags = {
         "mean_shift": F.col("mean_drift_features") > 0,
+        "no_data": F.col("no_data_features") > 0,
         "psi": F.col("max_psi") > psi_limit,
-        "ks": F.col("min_ks_p") < alpha,
+        "ks": F.col("ks_failing_share") > ks_share,
         "recall": F.col("min_recall") < recall_floor,
+        "fn_rate": F.col("max_fn_rate") - fn_baseline > fn_rise,
+        "pr_auc": F.col("max_pr_auc_drop") > pr_drop,
     }
     if model_age_days is not None:
         flags["age"] = F.lit(model_age_days > max_age_days)

@@ -98,31 +98,37 @@ def report(df: DataFrame, label: str, pred: str, by=()) -> DataFrame:
     return report_from_confusion(confusion(df, label, pred, by), by)
 
 
-def _curve(df: DataFrame, score: str, label: str, scale: Scale) -> DataFrame:
-    """Distinct scores, descending, with running tp and fp."""
-    g = df.where(F.col(score).isNotNull()).groupBy(score).agg(
+def _curve(df: DataFrame, score: str, label: str, scale: Scale, by: str | None = None) -> DataFrame:
+    """Distinct scores (of each ``by`` key), descending, with running tp and fp."""
+    keys = [by] if by else []
+    g = df.where(F.col(score).isNotNull()).groupBy(*keys, score).agg(
         F.count_if(F.col(label) == 1).cast("long").alias("pos"),
         F.count_if(F.col(label) != 1).cast("long").alias("neg"),
     ).withColumn("_vw_neg_score", -F.col(score).cast("double"))
-    cfg = Columns(entity=None, time="_vw_neg_score")
+    cfg = Columns(entity=by, time="_vw_neg_score")
     return running(g, cfg, {"tp": F.col("pos"), "fp": F.col("neg")}, scale=scale)
 
 
-def ranking_metrics(df: DataFrame, score: str, label: str, scale: Scale = DEFAULT_SCALE) -> DataFrame:
+def ranking_metrics(df: DataFrame, score: str, label: str, scale: Scale = DEFAULT_SCALE,
+                    by: str | None = None) -> DataFrame:
     """A16 ROC-AUC and A17 PR-AUC (trapezoid, PR curve starting at recall 0,
-    precision 1).  NULL when only one class is present."""
-    c = _curve(df, score, label, scale)
+    precision 1).  NULL when only one class is present.  With ``by`` one row
+    per value of that column; a value with very many scores is cut into
+    segments like a hot entity."""
+    c = _curve(df, score, label, scale, by)
     tp_prev = F.col("tp") - F.col("pos")
     fp_prev = F.col("fp") - F.col("neg")
     prec = F.col("tp") / (F.col("tp") + F.col("fp"))
     prec_prev = F.when(tp_prev + fp_prev == 0, F.lit(1.0)).otherwise(tp_prev / (tp_prev + fp_prev))
-    agg = c.agg(
+    keys = [by] if by else []
+    agg = c.groupBy(*keys).agg(
         F.sum(F.col("neg") * (2 * F.col("tp") - F.col("pos")) / 2.0).alias("_roc"),
         F.sum(F.col("pos") * (prec + prec_prev) / 2.0).alias("_pr"),
         F.sum("pos").alias("_p"), F.sum("neg").alias("_n"),
     )
     ok = (F.col("_p") > 0) & (F.col("_n") > 0)
     return agg.select(
+        *keys,
         F.when(ok, F.col("_roc") / (F.col("_p") * F.col("_n"))).alias("roc_auc"),
         F.when(ok, F.col("_pr") / F.col("_p")).alias("pr_auc"),
     )

@@ -74,7 +74,7 @@ _SUMMARY_SQL = """s AS (
          count(DISTINCT v) AS "distinct" FROM m GROUP BY side, feature),
 sm AS (SELECT r.feature, """ + ", ".join(
     [f'r."{x}" AS ref_{x}' for x in _STATS] + [f'c."{x}" AS cur_{x}' for x in _STATS]) + """,
-       coalesce(abs(c.mean - r.mean) > 2.0 * r.std, false) AS mean_drift
+       coalesce(abs(c.mean - r.mean) > 2.0 * r.std, false) AS mean_drift, c.null_pct = 1 AS no_data
   FROM s r JOIN s c ON r.feature = c.feature AND r.side = 0 AND c.side = 1)"""
 
 
@@ -87,7 +87,7 @@ WITH {EVENTS_SQL}, {_MELT_SQL}, {_SUMMARY_SQL}
 SELECT feature, {', '.join(f'CAST({p}_n AS BIGINT) AS {p}_n' for p in ('ref', 'cur'))},
        {', '.join(_r(f'{p}_{x}') for p in ('ref', 'cur') for x in _STATS if x not in ('n', 'distinct'))},
        {', '.join(f'CAST({p}_distinct AS BIGINT) AS {p}_distinct' for p in ('ref', 'cur'))},
-       CAST(mean_drift AS BIGINT) AS mean_drift
+       CAST(mean_drift AS BIGINT) AS mean_drift, CAST(no_data AS BIGINT) AS no_data
 FROM sm""")
 def q_drift_summary(spark, sf):
     ref, cur = _halves(spark, sf)
@@ -103,8 +103,8 @@ c AS (SELECT feature,
 d AS (SELECT feature, na, nb, max(abs(ca / na - cb / nb)) AS ks_stat FROM c GROUP BY feature, na, nb),
 l AS (SELECT *, (sqrt(na * nb / (na + nb)) + 0.12 + 0.11 / sqrt(na * nb / (na + nb))) * ks_stat AS lam FROM d),
 ks AS (SELECT feature, na, nb, ks_stat,
-              least(greatest(list_sum(list_transform(range(1, 101),
-                    lambda j: 2.0 * pow(-1.0, j - 1) * exp(-2.0 * j * j * lam * lam))), 0.0), 1.0) AS ks_p FROM l)"""
+              CASE WHEN lam = 0 THEN 1.0 ELSE least(greatest(1 - sqrt(2 * pi()) / lam * list_sum(list_transform(range(1, 201),
+                    lambda j: exp(-(2 * j - 1) * (2 * j - 1) * pi() * pi() / (8 * lam * lam)))), 0.0), 1.0) END AS ks_p FROM l)"""
 
 
 @query("drift_ks", f"""
@@ -150,9 +150,11 @@ cells AS (SELECT c.feature, c.cat, s.side, coalesce(o.o, 0) AS o
           LEFT JOIN o ON o.feature = c.feature AND o.cat = c.cat AND o.side = s.side),
 ex AS (SELECT *, sum(o) OVER (PARTITION BY feature, cat) * sum(o) OVER (PARTITION BY feature, side)
                  / sum(o) OVER (PARTITION BY feature) AS e FROM cells)
-SELECT feature, round(sum((o - e) * (o - e) / e), 6) AS chi2,
-       CAST((count(DISTINCT cat) - 1) * (count(DISTINCT side) - 1) AS BIGINT) AS dof
-FROM ex GROUP BY feature""")
+SELECT feature, round(chi2, 6) AS chi2, dof,
+       round(1 - list_sum(list_transform(range(0, 2000),
+             lambda i: exp((dof / 2.0 + i) * ln(chi2 / 2) - chi2 / 2 - lgamma(dof / 2.0 + i + 1)))), 6) AS p_value
+FROM (SELECT feature, sum((o - e) * (o - e) / e) AS chi2, CAST((count(DISTINCT cat) - 1) * (count(DISTINCT side) - 1) AS BIGINT) AS dof
+      FROM ex GROUP BY feature)""")
 def q_drift_chi2(spark, sf):
     ref, cur = _halves(spark, sf)
     cast = {"k": F.col("k").cast("int")}
@@ -176,19 +178,46 @@ _PERF_SQL = f"""pf AS (
   FROM (SELECT ts, CAST(event_type = 'error' AS INTEGER) AS label,
                CAST(value >= {THRESH_PROD} AS INTEGER) AS pred FROM events) x GROUP BY 1),
 perf AS (SELECT *, CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS precision,
-                CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS recall FROM pf)"""
+                CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS recall,
+                CASE WHEN tp + fn > 0 THEN fn / (tp + fn) END AS fn_rate FROM pf)"""
+
+
+def _areas_sql(name: str, key: str, where: str = "true") -> str:
+    """ROC and PR areas of ``value`` per key, for the oracle."""
+    return f"""{name}_g AS (SELECT {key} AS key, value, count(*) FILTER (WHERE event_type = 'error') AS pos,
+                count(*) FILTER (WHERE event_type <> 'error') AS neg FROM events WHERE value IS NOT NULL AND {where} GROUP BY 1, 2),
+{name}_c AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM {name}_g
+         WINDOW w AS (PARTITION BY key ORDER BY value DESC ROWS UNBOUNDED PRECEDING)),
+{name}_s AS (SELECT key, sum(pos) AS p, sum(neg) AS n, sum(neg * (2 * tp - pos) / 2.0) AS roc,
+                sum(pos * (tp / (tp + fp) + CASE WHEN tp - pos + fp - neg = 0 THEN 1.0 ELSE (tp - pos) / (tp - pos + fp - neg) END) / 2.0) AS pr
+         FROM {name}_c GROUP BY key),
+{name} AS (SELECT key, CASE WHEN p > 0 AND n > 0 THEN roc / (p * n) END AS roc_auc, CASE WHEN p > 0 AND n > 0 THEN pr / p END AS pr_auc FROM {name}_s)"""
+
+
+_DAYS_SQL = f"""{_areas_sql('day_area', "date_trunc('day', ts)")},
+{_areas_sql('base_area', '0', f"ts < TIMESTAMP '{CUT}'")},
+days AS (SELECT perf.*, roc_auc, pr_auc, ((SELECT pr_auc FROM base_area) - pr_auc) / (SELECT pr_auc FROM base_area) AS pr_auc_drop
+         FROM perf LEFT JOIN day_area ON day_area.key = perf.period_start)"""
+
+
+def _days(spark, sf):
+    """Performance by day, with the PR area of the first half as baseline."""
+    d = _pred(spark, sf)
+    base = metrics.ranking_metrics(d.where(F.col("ts") < F.lit(CUT).cast("timestamp_ntz")), "value", "label").first()["pr_auc"]
+    return drift.performance_by_period(d, "ts", "label", "pred", "1 day", score="value", pr_baseline=base)
 
 
 @query("performance_by_day", f"""
-WITH {_PERF_SQL}
+WITH {_PERF_SQL}, {_DAYS_SQL}
 SELECT CAST(period_start AS TIMESTAMP) AS period_start, CAST(tn AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp,
        CAST(fn AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp, round(precision, 6) AS precision,
        CAST(not_scored AS BIGINT) AS not_scored, round(recall, 6) AS recall,
        round(CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END, 6) AS f1,
-       CAST(recall < 0.85 AS BIGINT) AS recall_alarm
-FROM perf""")
+       round(fn_rate, 6) AS fn_rate, CAST(recall < 0.85 AS BIGINT) AS recall_alarm, round(roc_auc, 6) AS roc_auc,
+       round(pr_auc, 6) AS pr_auc, round(pr_auc_drop, 6) AS pr_auc_drop, CAST(coalesce(pr_auc_drop > 0.1, false) AS BIGINT) AS pr_alarm
+FROM days""")
 def q_performance_by_day(spark, sf):
-    return rounded(drift.performance_by_period(_pred(spark, sf), "ts", "label", "pred", "1 day"))
+    return rounded(_days(spark, sf))
 
 
 @query("error_rows", f"""
@@ -201,29 +230,35 @@ def q_error_rows(spark, sf):
     return rounded(e.select("event_id", "user_id", "ts", "label", "pred", "error"))
 
 
+#: Trigger name -> its condition in the oracle, in reason order.
+_TRIGGERS = {
+    "mean_shift": "mean_drift_features > 0", "no_data": "no_data_features > 0", "psi": "max_psi > 0.2", "ks": "ks_failing_share > 0",
+    "recall": "min_recall < 0.85", "fn_rate": "max_fn_rate > 0.1", "pr_auc": "max_pr_auc_drop > 0.1",
+}
+
+
 @query("retrain_triggers", f"""
-WITH {EVENTS_SQL}, {_MELT_SQL}, {_SUMMARY_SQL}, {_KS_SQL}, {_PSI_SQL}, {_PERF_SQL},
+WITH {EVENTS_SQL}, {_MELT_SQL}, {_SUMMARY_SQL}, {_KS_SQL}, {_PSI_SQL}, {_PERF_SQL}, {_DAYS_SQL},
 one AS (SELECT (SELECT count(*) FILTER (WHERE mean_drift) FROM sm) AS mean_drift_features,
+               (SELECT count(*) FILTER (WHERE no_data) FROM sm) AS no_data_features,
                (SELECT max(psi) FROM psi) AS max_psi, (SELECT min(ks_p) FROM ks) AS min_ks_p,
-               (SELECT min(recall) FROM perf) AS min_recall),
-fl AS (SELECT *, coalesce(mean_drift_features > 0, false) AS t_mean, coalesce(max_psi > 0.2, false) AS t_psi,
-              coalesce(min_ks_p < 0.05, false) AS t_ks, coalesce(min_recall < 0.85, false) AS t_recall FROM one)
-SELECT CAST(mean_drift_features AS BIGINT) AS mean_drift_features, round(max_psi, 6) AS max_psi,
-       round(min_ks_p, 6) AS min_ks_p, round(min_recall, 6) AS min_recall,
-       CAST(t_mean AS BIGINT) AS trigger_mean_shift, CAST(t_psi AS BIGINT) AS trigger_psi,
-       CAST(t_ks AS BIGINT) AS trigger_ks, CAST(t_recall AS BIGINT) AS trigger_recall,
-       array_to_string(list_filter([CASE WHEN t_mean THEN 'mean_shift' END, CASE WHEN t_psi THEN 'psi' END,
-                                    CASE WHEN t_ks THEN 'ks' END, CASE WHEN t_recall THEN 'recall' END],
+               (SELECT count(*) FILTER (WHERE ks_p < 0.05) / count(*) FROM ks) AS ks_failing_share,
+               (SELECT min(recall) FROM days) AS min_recall, (SELECT max(fn_rate) FROM days) AS max_fn_rate,
+               (SELECT max(pr_auc_drop) FROM days) AS max_pr_auc_drop),
+fl AS (SELECT *, {', '.join(f'coalesce({c}, false) AS t_{k}' for k, c in _TRIGGERS.items())} FROM one)
+SELECT CAST(mean_drift_features AS BIGINT) AS mean_drift_features, CAST(no_data_features AS BIGINT) AS no_data_features,
+       {', '.join(_r(c) for c in ('max_psi', 'min_ks_p', 'ks_failing_share', 'min_recall', 'max_fn_rate', 'max_pr_auc_drop'))},
+       {', '.join(f'CAST(t_{k} AS BIGINT) AS trigger_{k}' for k in _TRIGGERS)},
+       array_to_string(list_filter([{', '.join(f"CASE WHEN t_{k} THEN '{k}' END" for k in _TRIGGERS)}],
                                    lambda x: x IS NOT NULL), ',') AS reasons,
-       CAST(t_mean OR t_psi OR t_ks OR t_recall AS BIGINT) AS retrain
+       CAST({' OR '.join(f't_{k}' for k in _TRIGGERS)} AS BIGINT) AS retrain
 FROM fl""")
 def q_retrain_triggers(spark, sf):
     ref, cur = _halves(spark, sf)
     summ = drift.drift_summary(ref, cur, DRIFT_COLS)
     psi = drift.drift_psi(ref, cur, DRIFT_COLS)
     ks = drift.drift_ks(ref, cur, DRIFT_COLS)
-    perf = drift.performance_by_period(_pred(spark, sf), "ts", "label", "pred", "1 day")
-    return rounded(drift.triggers(summ, psi, ks, perf))
+    return rounded(drift.triggers(summ, psi, ks, _days(spark, sf)))
 
 
 def ledger_from_metrics(spark, sf, run_id: str, thr: float):
