@@ -18,6 +18,7 @@ def test_state_ttl_expires_idle_entity(spark):
         [("A", T0 + dt.timedelta(seconds=10 * j), j, float(j)) for j in range(5)] + [("B", T0, 100, 1.0)],
         [("B", T0 + 40 * day, 101, 2.0)],
         [("A", T0 + 41 * day, 5, 50.0), ("B", T0 + 41 * day, 102, 3.0)],
+        [(None, T0 + 42 * day, None, None)],
     ]
     schema = "e string, t timestamp_ntz, i long, x double"
     folder = scratch_path(spark, "ttl-in")
@@ -31,8 +32,8 @@ def test_state_ttl_expires_idle_entity(spark):
     assert len(res) == 9
     # A's tail (values 0..4) expired after 30 idle days: the new reading starts afresh
     assert res[("A", 5)]["Delta_1_x"] == 0.0 and res[("A", 5)]["Rolling_mean_3_x"] == 50.0
-    # B reported within the TTL each time: its frames continue
-    assert res[("B", 101)]["Delta_1_x"] == 1.0
+    # B was silent for 40 days, then reported within the TTL: its frames start afresh, then continue
+    assert res[("B", 101)]["Delta_1_x"] == 0.0 and res[("B", 102)]["Delta_1_x"] == 1.0
     assert res[("A", 4)]["Rolling_mean_3_x"] == 3.0
 
 
@@ -84,8 +85,8 @@ def test_replay_of_uneven_times_keeps_every_row(spark):
     rows += [("AB"[j % 2], T0 + dt.timedelta(milliseconds=j), j, float(j)) for j in range(1, 121)]
     rows += [("A", T0 + dt.timedelta(days=1), j, float(j)) for j in range(121, 160)]
     d = spark.createDataFrame(rows, "e string, t timestamp_ntz, i long, x double")
-    folder = S.stream_folder(spark, d, "t", 3, "i", 4)
-    assert len(spark.read.parquet(folder).inputFiles()) % 4 == 0
+    folder = S.stream_folder(spark, d, "t", 3, "i", 4, closing="10 minutes")
+    assert len(spark.read.parquet(folder).inputFiles()) % 4 == 1
     few = S.stream_folder(spark, d.where("i < 2 OR i > 158"), "t", 3, "i", 4)
     assert len(spark.read.parquet(few).inputFiles()) % 4 == 0 and spark.read.parquet(few).count() == 3
     sdf = S.read_stream(spark, folder, d.schema, max_files=4)
@@ -93,3 +94,75 @@ def test_replay_of_uneven_times_keeps_every_row(spark):
     S.feature_stream(sdf, CFG, ["x"], (3,), ("mean",), 1, out=f"{out}/o", checkpoint=f"{out}/c", name="uneven_test")
     got = spark.read.parquet(f"{out}/o")
     assert sorted(r.i for r in got.collect()) == list(range(160))
+
+
+def features_of(spark, chunks, tmp, watermark="10 minutes", ttl=None, windows=(3, 5)):
+    """Rows on time with their features, and late rows, of a stream of one file per chunk."""
+    schema = "e string, t timestamp_ntz, i long, x double, note string"
+    folder = scratch_path(spark, f"{tmp}-in")
+    for rows in chunks:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    end = max(t for rows in chunks for _, t, *_ in rows if t) + dt.timedelta(days=2)
+    spark.createDataFrame([(None, end, None, None, None)], schema).coalesce(1).write.mode("append").parquet(folder)
+    sdf = S.read_stream(spark, folder, spark.createDataFrame([], schema).schema, max_files=1)
+    out = scratch_path(spark, f"{tmp}-out")
+    S.feature_stream(sdf, CFG, ["x"], windows, ("mean", "std"), 2, out=f"{out}/o", checkpoint=f"{out}/c", name=tmp, state_ttl_s=ttl, watermark=watermark)
+    return spark.read.parquet(f"{out}/o").drop("epoch"), spark.read.parquet(f"{out}/o-late").drop("epoch")
+
+
+def batch_features(spark, rows, windows=(3, 5)):
+    from voltwatch.operators.features import delta, rolling
+
+    d = spark.createDataFrame(rows, "e string, t timestamp_ntz, i long, x double, note string")
+    return rolling(delta(d, CFG, ["x"], 2), CFG, ["x"], windows, ("mean", "std"))
+
+
+def test_shuffled_stream_equals_batch(spark):
+    """Any arrival order within the watermark, ties, NULL values and a NULL entity: the rows of the batch operators."""
+    import random
+
+    rng = random.Random(5)
+    rows = [(rng.choice(["A", "B", None]), T0 + dt.timedelta(seconds=20 * (j // 2)), j, None if j % 17 == 0 else float(rng.randrange(50)), f"n{j}") for j in range(240)]
+    order = sorted(rows, key=lambda r: (r[1] - T0).total_seconds() + rng.random() * 500)  # up to 500 s late, 600 allowed
+    got, late = features_of(spark, [order[k : k + 48] for k in range(0, 240, 48)], "shuffled")
+    want = batch_features(spark, rows)
+    assert late.count() == 0
+    names = sorted(got.columns)
+    key = lambda r: (r.i,)
+    a = sorted(got.select(*names).collect(), key=key)
+    b = sorted(want.select(*names).collect(), key=key)
+    assert [tuple(None if v is None else round(v, 9) if isinstance(v, float) else v for v in r) for r in a] == [
+        tuple(None if v is None else round(v, 9) if isinstance(v, float) else v for v in r) for r in b]
+
+
+def test_late_rows_are_counted_not_lost(spark):
+    """Emitted + late = input; late rows keep their columns and leave the others' frames alone."""
+    minute = dt.timedelta(minutes=1)
+    chunks = [
+        [("A", T0 + m * minute, m, float(m), "on time") for m in range(0, 60, 5)],
+        [("A", T0 + 61 * minute, 100, 61.0, "on time"), ("A", T0 + 12 * minute, 101, 12.0, "late"), ("A", T0 + 49 * minute, 102, 49.0, "on time")],
+        [("A", T0 + 50 * minute, 103, 50.0, "late"), ("B", T0 + 3 * minute, 104, 3.0, "late"), ("A", T0 + 58 * minute, 105, 58.0, "on time")],
+        [("A", None, 106, 7.0, "late")],
+    ]
+    got, late = features_of(spark, chunks, "late_features")
+    assert {(r.i, r.note) for r in late.collect()} == {(101, "late"), (103, "late"), (104, "late"), (106, "late")}
+    rows = [r for c in chunks for r in c if r[4] == "on time"]
+    assert got.count() + late.count() == sum(map(len, chunks))
+    want = {r.i: r.Rolling_mean_3_x for r in batch_features(spark, rows).collect()}
+    assert {r.i: r.Rolling_mean_3_x for r in got.collect()} == want
+
+
+def test_ttl_does_not_depend_on_batches(spark):
+    """A silence beyond the time to live restarts the frames, within one emission as between two."""
+    rows = [("A", T0 + dt.timedelta(hours=h), i, float(i * i), "") for i, h in enumerate([0, 1, 2, 30, 31, 32, 60, 61])]
+    whole, _ = features_of(spark, [rows], "ttl_whole", ttl=86400)
+    cut, _ = features_of(spark, [[r] for r in rows], "ttl_cut", ttl=86400)
+    value = lambda d: {r.i: (r.Delta_2_x, r.Rolling_mean_5_x) for r in d.collect()}
+    assert value(whole) == value(cut)
+    assert {i: v[0] for i, v in value(whole).items()} == {0: 0, 1: 0, 2: 4, 3: 0, 4: 0, 5: 16, 6: 0, 7: 0}
+
+
+def test_rows_without_time_come_first(spark):
+    chunks = [[("A", T0, 1, 1.0, ""), ("A", None, 2, 5.0, "")], [("A", T0 + dt.timedelta(hours=1), 3, 2.0, "")]]
+    got, late = features_of(spark, chunks, "no_time")
+    assert late.count() == 0 and {r.i: r.Rolling_mean_3_x for r in got.collect()} == {2: 5.0, 1: 3.0, 3: 8 / 3}

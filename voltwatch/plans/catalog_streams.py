@@ -14,9 +14,9 @@ from voltwatch.streaming import streams as S
 CHUNKS, FILES = 6, 8  # micro-batches of the replay, files of each
 
 
-def _events_stream(spark, sf):
+def _events_stream(spark, sf, closing=None):
     ev = table(spark, sf, "events")
-    folder = S.stream_folder(spark, ev, "ts", CHUNKS, "event_id", FILES)
+    folder = S.stream_folder(spark, ev, "ts", CHUNKS, "event_id", FILES, closing)
     sdf = S.read_stream(spark, folder, ev.schema, max_files=FILES)
     return sdf.withColumn("label", (F.col("event_type") == "error").cast("int")).withColumn(
         "k", F.get_json_object("props", "$.k").cast("double"))
@@ -93,7 +93,7 @@ SELECT event_id, user_id, ts, {_delta('value')}, {_delta('k')},
        {', '.join(_roll(s, n, c) for c in ('value', 'k') for n in STREAM_WINDOWS for s in ('mean', 'std'))}
 FROM e""")
 def q_stream_features(spark, sf):
-    sdf = _events_stream(spark, sf).select("event_id", "ts", "user_id", "value", "k")
+    sdf = _events_stream(spark, sf, S.WATERMARK).select("event_id", "ts", "user_id", "value", "k")
     out = scratch_path(spark, "features")
     S.feature_stream(sdf, EVENTS, ["value", "k"], STREAM_WINDOWS, ("mean", "std"), 1,
                      out=f"{out}/out", checkpoint=f"{out}/chk", name=f"features_{out[-12:]}",

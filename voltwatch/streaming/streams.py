@@ -13,21 +13,15 @@ session time zone.
 
 from __future__ import annotations
 
-import io
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from voltwatch.config import Columns
 from voltwatch.functions.stats import ROLLING
 from voltwatch.operators import ml, validate as V
-from voltwatch.operators.features import delta_name, rolling_name
 from voltwatch.sources.io import scratch_path
+from voltwatch.streaming import ordered
 
 NTZ_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 WATERMARK = "10 minutes"
@@ -115,95 +109,48 @@ def feature_stream(sdf: DataFrame, cfg: Columns, cols, windows=(6, 30, 60), stat
                    out: str | None = None, checkpoint: str | None = None, name: str = "feature_stream",
                    state_ttl_s: int | None = None, watermark: str = WATERMARK):
     """Per-entity delta and rolling features on a stream, equal to the
-    batch operators.  State per entity = the last max(window)-1 rows (a
-    bounded JSON record); each micro-batch sorts the entity's new rows by
-    (time, tie), computes frames over state + new rows with pandas, emits
-    the new rows and keeps the tail.  Rows older than the state are ignored
-    (dropped), as late data.
+    batch operators for any arrival order within the watermark (see
+    ``ordered``).  Rows come out once the watermark has passed them; rows
+    that arrive later than that have ``late`` set and no features.
 
     ``state_ttl_s`` bounds the state: an entity whose newest reading is
-    that much older than the event-time watermark loses its tail (an
-    event-time timeout, so it also fires in ``availableNow`` runs).
+    that much older than the event-time watermark loses its tail.
 
-    Returns the streaming DataFrame when ``out`` is None, else runs it to
-    the end into ``out``.
+    Returns the streaming DataFrame when ``out`` is None (its query needs the
+    RocksDB state store, ``ordered.PROVIDER``), else runs it to the end into
+    ``out``, late rows into ``<out>-late``.  Rows the watermark has not
+    passed at the end stay in the checkpoint's state for the next run;
+    ``stream_folder(closing=...)`` ends a replay with a row that releases them.
     """
     for s in stats:
         if s not in ROLLING:
             raise ValueError(f"Unsupported rolling statistic: {s}")
     cols = list(cols)
-    h = max(max(windows) - 1, k)
-    tcol, tie = cfg.time, cfg.tie
-    order = cfg.order()
-    new_cols = [delta_name(k, c) for c in cols] + [rolling_name(s, n, c) for c in cols for n in windows for s in stats]
-    out_schema = T.StructType(sdf.schema.fields + [T.StructField(c, T.DoubleType()) for c in new_cols])
-    # state: the last h rows as typed arrays (time in microseconds, tie, values)
-    state_schema = T.StructType([
-        T.StructField("t", T.ArrayType(T.LongType())),
-        T.StructField("i", T.ArrayType(T.LongType())),
-        T.StructField("v", T.ArrayType(T.ArrayType(T.DoubleType()))),
-    ])
-    out_names = [f.name for f in out_schema.fields]
-
-    def keep_until(state, last_us) -> None:
-        # wall-clock micros read as UTC, the same mapping as the watermark column
-        state.setTimeoutTimestamp(max(int(last_us) // 1000 + state_ttl_s * 1000, state.getCurrentWatermarkMs() + 1))
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        parts = list(pdfs)
-        new = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        new = new.sort_values(order, kind="mergesort", na_position="first").reset_index(drop=True)
-        t_new = new[tcol].to_numpy("datetime64[us]").astype("int64")
-        i_new = new[tie].to_numpy("int64") if tie else np.zeros(len(new), "int64")
-        if state.exists and state_ttl_s:
-            # a group with new data gets its old state even when the timeout
-            # has passed; apply the TTL against the watermark here as well
-            last_ms = int(state.get[0][-1]) // 1000
-            if last_ms + state_ttl_s * 1000 < state.getCurrentWatermarkMs():
-                state.remove()
-        if state.exists:
-            t_old, i_old, v_old = state.get
-            t_old, i_old = np.asarray(t_old, "int64"), np.asarray(i_old, "int64")
-            lt, li = t_old[-1], i_old[-1]
-            keep = (t_new > lt) | ((t_new == lt) & (i_new > li))  # older rows are late: dropped
-            if not keep.all():
-                new, t_new, i_new = new[keep].reset_index(drop=True), t_new[keep], i_new[keep]
-        else:
-            t_old = i_old = np.zeros(0, "int64")
-            v_old = [[] for _ in cols]
-        if len(new) == 0:
-            if state_ttl_s and state.exists:  # a call without a timeout would lose the old one
-                keep_until(state, t_old[-1])
-            return
-        m = len(new)
-        tails = []
-        for j, c in enumerate(cols):
-            x = np.concatenate([np.asarray(v_old[j], "float64"), new[c].to_numpy("float64", na_value=np.nan)])
-            sx = pd.Series(x)
-            new[delta_name(k, c)] = (sx - sx.shift(k)).fillna(0.0).to_numpy()[-m:]
-            for n in windows:
-                r = sx.rolling(window=n, min_periods=1)
-                for st in stats:
-                    new[rolling_name(st, n, c)] = r.agg(st).fillna(0.0).to_numpy()[-m:]
-            tails.append(x[-h:].tolist())
-        t_all = np.concatenate([t_old, t_new])
-        state.update((t_all[-h:].tolist(), np.concatenate([i_old, i_new])[-h:].tolist(), tails))
-        if state_ttl_s:
-            keep_until(state, t_all[-1])
-        yield new[out_names]
-
-    timeout = GroupStateTimeout.NoTimeout
-    src = sdf
-    if state_ttl_s:
-        timeout = GroupStateTimeout.EventTimeTimeout
-        src = sdf.withColumn("_vw_et", ntz_to_instant(F.col(tcol))).withWatermark("_vw_et", watermark)
-    res = src.groupBy(cfg.entity).applyInPandasWithState(fn, out_schema, state_schema, "append", timeout)
+    names = ordered.feature_names(cols, windows, stats, k)
+    own = sdf.schema
+    # the processor decides itself what is late, so the operator's input has no watermark column
+    src = sdf.withColumn("_vw_et", ntz_to_instant(F.col(cfg.time))).withWatermark("_vw_et", watermark).select(*own.names)
+    proc = ordered.OrderedFeatures(cfg.time, cfg.tie, cols, windows, stats, k, names, state_ttl_s)
+    res = src.groupBy(cfg.entity).transformWithStateInPandas(
+        proc, ordered.out_schema(own, names), "Append", "EventTime")
     if out is None:
         return res
-    run_to_end(res, append_epoch(out), name, checkpoint)
+
+    def write(batch: DataFrame, epoch: int):
+        batch = batch.persist()
+        try:
+            batch.where(~F.col("late")).drop("late").write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+            batch.where("late").select(*own.names).write.mode("overwrite").parquet(f"{out}-late/epoch={epoch}")
+        finally:
+            batch.unpersist()
+
+    conf = sdf.sparkSession.conf
+    before = conf.get(ordered.PROVIDER)
+    conf.set(ordered.PROVIDER, ordered.ROCKSDB)
+    try:
+        run_to_end(res, write, name, checkpoint)
+    finally:
+        conf.set(ordered.PROVIDER, before)
     return out
 
 
@@ -302,14 +249,17 @@ def chunk_cuts(df: DataFrame, time: str, chunks: int) -> list:
     return sorted({c for c in found[0] or [] if c > found[1]})
 
 
-def stream_folder(spark: SparkSession, df: DataFrame, time: str, chunks: int, key: str, files: int = 8) -> str:
+def stream_folder(spark: SparkSession, df: DataFrame, time: str, chunks: int, key: str, files: int = 8,
+                  closing: str | None = None) -> str:
     """Write ``df`` in time order, one append of exactly ``files`` files per
     chunk, so that a stream of ``files`` files per trigger replays a chunk per
     micro-batch.  The times are cut at equal counts, so an outlier makes no
     chunk of its own; rows of one time stay together.  Rows are dealt to the
     files by the hash of ``key`` (unique, so that a hot entity is dealt too);
     rows without a time come first.  A file without rows is written as well,
-    and the number of files is checked: a trigger never spans two chunks."""
+    and the number of files is checked: a trigger never spans two chunks.
+    ``closing`` is a watermark delay: the replay then ends with a row of NULLs
+    whose time lies beyond it, so that the watermark passes every real row."""
     path = scratch_path(spark, "stream-in")
     cuts = chunk_cuts(df, time, chunks)
     us = F.timestamp_diff("MICROSECOND", F.expr(NTZ_EPOCH), F.col(time).cast("timestamp_ntz"))
@@ -322,4 +272,10 @@ def stream_folder(spark: SparkSession, df: DataFrame, time: str, chunks: int, ke
             df.limit(0).coalesce(1).write.mode("append").parquet(path)
         if (n := len(spark.read.schema(df.schema).parquet(path).inputFiles())) != files * (i + 1):
             raise ValueError(f"chunk {i} of the replay ends at file {n}, not {files * (i + 1)}")
+    if closing:
+        after = F.col("_vw_end") + F.expr(f"INTERVAL {closing}") + F.expr("INTERVAL 1 SECOND")
+        last = df.agg(F.max(F.col(time).cast("timestamp_ntz")).alias("_vw_end"))
+        types = {f.name: f.dataType for f in df.schema.fields}
+        last.select(*[(after if c == time else F.lit(None)).cast(types[c]).alias(c) for c in df.columns]) \
+            .coalesce(1).write.mode("append").parquet(path)
     return path
