@@ -287,13 +287,49 @@ def test_topk_query(spark, docs):
 
 
 def test_topk_shards(spark, monkeypatch):
+    """Small shards and query blocks: the lists of the plain version, ties to the smaller doc_id."""
     rng = random.Random(10)
     docs = [(i, prose(rng, rng.randrange(5, 200), 300)) for i in range(400)]
-    monkeypatch.setattr(topk_search, "SHARD", 90)
-    monkeypatch.setattr(topk_search, "QUERIES", 3)
+    docs += [(1000 + i, docs[i % 3 * 50][1]) for i in range(60)]  # copies of queries: more equal scores than k
+    docs += [(None, docs[7][1]), (2000, ""), (2001, None)]
+    monkeypatch.setattr(topk_search, "SHARD_BYTES", 60_000)
+    monkeypatch.setattr(topk_search, "QUERY_BYTES", 5_000)
     monkeypatch.setattr(topk_search, "BLOCK", 8)
-    got = sorted((r.query_id, r.doc_id, round(r.score, 6)) for r in topk_search.search(frame(spark, docs)).collect())
-    assert got == sorted((q, d, round(s, 6)) for q, d, s in brute.bm25(docs))
+    monkeypatch.setattr(topk_search, "FIRST", 2)
+    found = topk_search.search(frame(spark, docs)).collect()
+    got = sorted((r.query_id, r.doc_id, round(r.score, 6)) for r in found)
+    want = [(q, d, round(s, 6)) for q, d, s in brute.bm25([x for x in docs if x[0] is not None] + [(-1, docs[7][1])]) if q >= 0]
+    assert [(q, -1 if d is None else d, s) for q, d, s in sorted(got, key=lambda r: (r[0], -1 if r[1] is None else r[1], r[2]))] == sorted(want)
+    for q in (0, 50, 100):  # twenty copies and itself score the same: the ten smallest ids, in order
+        own = sorted(((r.rank, r.doc_id) for r in found if r.query_id == q))
+        assert [d for _, d in own] == [q] + [1000 + q // 50 + 3 * i for i in range(9)]
+
+
+def test_topk_prunes():
+    """Postings behind the pivot are looked up in few blocks; the list is that of all documents."""
+    rng = np.random.default_rng(3)
+    docs = [np.unique(np.concatenate((rng.integers(0, 30, 25), 30 + i // 300 * 397 + rng.integers(0, 397, 20)))).astype(np.uint64) for i in range(3000)]
+    doc = np.repeat(np.arange(3000), [len(d) for d in docs])
+    term = np.concatenate(docs)
+    order = np.argsort(term, kind="stable")
+    index = topk_search.ShardIndex(doc[order], term[order], np.ones(len(doc), int), np.full(3000, 45), 45.0)
+    scored = []
+    plain = index.scores
+    index.scores = lambda at, w, blocks: (scored.append(len(blocks)), plain(at, w, blocks))[1]
+    crowded = topk_search.ShardIndex(doc[order], term[order], np.ones(len(doc), int), np.full(3000, 45), 45.0)
+    crowded.crowded, crowded.skipped = 1, -10**9
+    for q in range(0, 3000, 300):
+        w = np.where(docs[q] < 30, 0.1, 7.0)
+        want = np.zeros(3000)
+        weight = np.zeros(4000)
+        weight[docs[q].astype(int)] = w
+        for i, d in enumerate(docs):
+            want[i] = weight[d.astype(int)].sum()
+        scored.clear()
+        got = index.top(docs[q], w, np.arange(3000), 10)
+        best = sorted(range(3000), key=lambda i: (-round(want[i], 9), i))[:10]
+        assert [i for i, _ in got] == best and sum(scored) < index.blocks / 2
+        assert [(i, round(x, 6)) for i, x in crowded.top(docs[q], w, np.arange(3000), 10)] == [(i, round(x, 6)) for i, x in got]
 
 
 def test_host_query(spark, rows):

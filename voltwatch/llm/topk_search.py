@@ -1,11 +1,21 @@
-"""Operator 8: exact top-k search by BM25 with block-max pruning.
+"""Operator 8: exact top-k search by BM25 with block-max WAND pruning.
 
-Documents are hashed into shards, queries into blocks; each (shard, query
-block) is one cogroup, which builds an inverted index of its shard with the
-largest impact of every (term, block of documents).  Per query, document
-blocks are visited in order of their upper bound until the bound falls below
-the k-th best score.  Term statistics are counted over the whole corpus, so
-the shards' lists merge exactly; ties go to the smaller doc_id.
+Every text is packed once into its distinct terms and counts, and dealt to
+shards of about ``SHARD_BYTES``; a shard's inverted index (postings in
+document order, with the largest impact of every term and of every block of
+documents) is built once and written.  Queries are taken in blocks of about
+``QUERY_BYTES``: a block is sent to every shard's task, so neither documents
+nor queries are multiplied in a shuffle.  Term statistics are counted over
+the whole corpus, so the shards' lists merge exactly; ties go to the smaller
+doc_id.
+
+Per query and shard, the terms are ordered by their largest possible share.
+The pivot is the first term from which on all remaining shares together stay
+below the k-th best score: a document without a term in front of the pivot
+cannot enter the list, so postings behind the pivot, the longest ones, are
+never walked, only looked up in blocks that can still hold a result.  Where
+over a quarter of the blocks can, looking up costs more than adding up whole
+lists, which is then done; the result is the same.
 
 Queries are the documents whose doc_id is divisible by ``EVERY``, by their
 whole text, against all rows (themselves included).
@@ -22,15 +32,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltwatch.llm.common import NO_ID, doc_key, text_of, written
+from voltwatch.llm.common import NO_ID, text_of, written
 from voltwatch.llm.hashing import word_hashes
 
 K, EVERY = 10, 50
 K1, B = 1.2, 0.75
-#: Documents of a shard and queries of a block, about.
-SHARD, QUERIES = 8192, 2048
-#: Documents of an index block.
-BLOCK = 64
+#: Bytes of packed terms of a shard, and of packed queries of a block, about.
+SHARD_BYTES, QUERY_BYTES = 32 << 20, 32 << 20
+#: Documents of an index block, and blocks that are scored first.
+BLOCK, FIRST = 64, 4
+#: Share of blocks beyond which all postings are added up instead, every how many queries
+#: pruning is tried again after that, and the length from which a list is added on its own.
+MANY, RETRY, LONG = 0.25, 16, 512
+#: Scores agree if they agree to this many digits behind the point.
+DIGITS = 9
 
 
 def terms_of(text: str) -> tuple[np.ndarray, np.ndarray, int]:
@@ -41,119 +56,228 @@ def terms_of(text: str) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 class ShardIndex:
-    """Postings by term with impacts, and the largest impact per (term, document block)."""
-
-    def __init__(self, texts: list[str], mean_words: float):
-        parts = [terms_of(t) for t in texts]
-        doc = np.repeat(np.arange(len(texts)), [len(t) for t, _, _ in parts])
-        term = np.concatenate([t for t, _, _ in parts]) if parts else np.zeros(0, np.uint64)
-        tf = np.concatenate([n for _, n, _ in parts]).astype(float) if parts else np.zeros(0)
-        words = np.array([n for _, _, n in parts], float)
-        impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * words[doc] / max(mean_words, 1e-9))) if len(doc) else tf
-        order = np.lexsort((doc, term))
-        self.doc, self.impact, term = doc[order], impact[order], term[order]
-        block = self.doc // BLOCK
-        head = np.flatnonzero(np.concatenate(([True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])))) if len(term) else np.zeros(0, np.int64)
+    """Postings by term in document order, and the largest impacts per term and per (term, block)."""
+
+    def __init__(self, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, words: np.ndarray, mean_words: float):
+        """Postings sorted by term, then document; ``words`` is the length of each document."""
+        self.doc, self.docs = doc, len(words)
+        self.blocks = max(1, -(-self.docs // BLOCK))
+        self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * words[doc] / max(mean_words, 1e-9))) if len(doc) else np.zeros(0)
+        block = doc // BLOCK
+        new = np.concatenate(([True], term[1:] != term[:-1])) if len(term) else np.zeros(0, bool)
+        head = np.flatnonzero(new | np.concatenate(([True], block[1:] != block[:-1]))) if len(term) else np.zeros(0, np.int64)
         self.begin, self.end = head, np.append(head[1:], len(term))
         self.block = block[head]
         self.most = np.maximum.reduceat(self.impact, head) if len(head) else np.zeros(0)
         self.terms, self.first = np.unique(term[head], return_index=True)
         self.last = np.append(self.first[1:], len(head))
-        self.docs, self.blocks = len(texts), -(-len(texts) // BLOCK)
+        self.key = np.repeat(np.arange(len(self.terms)), self.last - self.first) * self.blocks + self.block
+        self.best = np.maximum.reduceat(self.most, self.first) if len(self.first) else np.zeros(0)
+        self.from_, self.to = self.begin[self.first], self.end[self.last - 1] if len(head) else head
+        self.skipped = self.crowded = 0
+
+    def walk(self, at: np.ndarray, weights: np.ndarray, bound: np.ndarray) -> None:
+        """Add the block maxima of whole terms to the blocks' bounds."""
+        n = self.last[at] - self.first[at]
+        entry = np.repeat(self.first[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        bound += np.bincount(self.block[entry], np.repeat(weights, n) * self.most[entry], self.blocks)
+
+    def look(self, at: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(term place, block place, entry) of the entries of terms in some blocks, by term."""
+        want = (at[:, None] * self.blocks + blocks).ravel()
+        place = np.searchsorted(self.key, want)
+        place[place == len(self.key)] = 0
+        hit = np.flatnonzero(self.key[place] == want)
+        return hit // len(blocks), hit % len(blocks), place[hit]
+
+    def scores(self, at: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(document place, score) of all hits in some blocks."""
+        t, b, entry = self.look(at, blocks)
+        size = self.end[entry] - self.begin[entry]
+        place = np.repeat(self.begin[entry] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        slot = np.repeat(b * BLOCK, size) + self.doc[place] % BLOCK
+        score = np.bincount(slot, np.repeat(weights[t], size) * self.impact[place], len(blocks) * BLOCK)
+        hit = np.flatnonzero(score)
+        return blocks[hit // BLOCK] * BLOCK + hit % BLOCK, np.round(score[hit], DIGITS)
+
+    def all_scores(self, at: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for every block, by whole posting lists: long ones on their own, short ones together."""
+        begin, size = self.from_[at], self.to[at] - self.from_[at]
+        short = size < LONG
+        n = size[short]
+        place = np.repeat(begin[short] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        score = np.bincount(self.doc[place], np.repeat(weights[short], n) * self.impact[place], self.docs)
+        for b, e, w in zip(begin[~short].tolist(), self.to[at[~short]].tolist(), weights[~short].tolist(), strict=True):
+            score[self.doc[b:e]] += w * self.impact[b:e]
+        hit = np.flatnonzero(score)
+        return hit, np.round(score[hit], DIGITS)
 
     def top(self, terms: np.ndarray, weights: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, float]]:
-        """(document place, score) of the k best, by score and then by ids."""
+        """(document place, score) of the k best, by score and then by ids; ``terms`` ascend."""
         at = np.searchsorted(self.terms, terms)
-        known = at < len(self.terms)
-        known[known] = self.terms[at[known]] == terms[known]
+        at[at == len(self.terms)] = 0
+        known = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
         at, weights = at[known], weights[known]
         if not len(at):
             return []
-        n = self.last[at] - self.first[at]
-        entry = np.repeat(self.first[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        weight = np.repeat(weights, n)
-        block = self.block[entry]
-        bound = np.bincount(block, weight * self.most[entry], self.blocks)
-        visit = np.argsort(-bound, kind="stable")
+        share = weights * self.best[at]
+        order = np.argsort(-share, kind="stable")
+        rest = np.append(np.cumsum(share[order][::-1])[::-1], 0.0)  # shares from a term on
         best: list[tuple[float, int, int]] = []
-        done, step = 0, 4
-        while done < len(visit):
-            some = visit[done : done + step]
-            floor = best[-1][0] if len(best) == k else 0.0
-            some = some[bound[some] * (1 + 1e-12) >= -floor] if len(best) == k else some[bound[some] > 0]
+
+        def take(doc: np.ndarray, score: np.ndarray) -> None:
+            nonlocal best
+            if len(doc) > k:
+                least = np.partition(score, len(score) - k)[len(score) - k]
+                doc, score = doc[score >= least], score[score >= least]
+            best = sorted(best + [(-s, int(ids[i]), i) for i, s in zip(doc.tolist(), score.tolist(), strict=True)])[:k]
+
+        def floor() -> float:
+            """What a document must reach; slightly less, for the rounding of the bounds."""
+            return -best[-1][0] * (1 - 1e-9) - 10.0**-DIGITS if len(best) == k else 0.0
+
+        def listed() -> list[tuple[int, float]]:
+            return [(i, -s) for s, _, i in best]
+
+        if self.crowded and self.skipped < RETRY:
+            self.skipped += 1
+            take(*self.all_scores(at, weights))
+            return listed()
+        bound = np.zeros(self.blocks)
+        walked = max(1, int(np.searchsorted(-rest, -rest[0] / 2)))
+        self.walk(at[order[:walked]], weights[order[:walked]], bound)
+        seen = np.argsort(-bound, kind="stable")[:FIRST]
+        take(*self.scores(at, weights, np.sort(seen)))
+        pivot = max(walked, int(np.searchsorted(-rest, -floor(), side="right"))) if len(best) == k else len(order)
+        pivot = min(pivot, len(order))
+        if pivot > walked:
+            self.walk(at[order[walked:pivot]], weights[order[walked:pivot]], bound)
+        bound[seen] = -1.0
+        slack, tail = rest[pivot], order[pivot:]
+        left = np.flatnonzero((bound > 0) & (bound + slack >= floor()))
+        self.crowded, self.skipped = len(left) > MANY * self.blocks, 0
+        if self.crowded:
+            best = []
+            take(*self.all_scores(at, weights))
+            return listed()
+        left = left[np.argsort(-bound[left], kind="stable")]
+        step = 2 * FIRST
+        while len(left):
+            some, left = left[:step], left[step:]
+            some = some[bound[some] + slack >= floor()]
             if not len(some):
                 break
-            chosen = np.zeros(self.blocks, bool)
-            chosen[some] = True
-            take = chosen[block]
-            b, e = self.begin[entry[take]], self.end[entry[take]]
-            size = e - b
-            place = np.repeat(b - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            score = np.bincount(self.doc[place], np.repeat(weight[take], size) * self.impact[place], self.docs)
-            hit = np.flatnonzero(score)
-            if len(hit) > k:
-                least = np.partition(score[hit], len(hit) - k)[len(hit) - k]
-                hit = hit[score[hit] >= least]
-            best = sorted(best + [(-float(score[i]), int(ids[i]), int(i)) for i in hit])[:k]
-            done, step = done + step, step * 2
-        return [(i, -s) for s, _, i in best]
-
-
-def term_counts(docs: DataFrame) -> DataFrame:
+            if len(tail) and len(best) == k:
+                t, b, entry = self.look(at[tail], some)
+                exact = bound[some] + np.bincount(b, weights[tail][t] * self.most[entry], len(some))
+                some = some[exact >= floor()]
+            if len(some):
+                take(*self.scores(at, weights, np.sort(some)))
+            step = min(2 * step, 256)
+        return listed()
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """(doc_id, words, terms, tf): the distinct terms of each text as packed arrays."""
+
+    def run(batches):
+        for b in batches:
+            found = [terms_of(t) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column("doc_id"), pa.array([n for _, _, n in found], pa.int64()),
+                    pa.array([t.tobytes() for t, _, _ in found], pa.binary()), pa.array([n.astype("<i4").tobytes() for _, n, _ in found], pa.binary()),
+                ],
+                names=["doc_id", "words", "terms", "tf"],
+            )
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    return rows.mapInArrow(run, "doc_id long, words long, terms binary, tf binary")
+
+
+def _flat(column, dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype)
+
+
+def term_counts(rows: DataFrame) -> DataFrame:
     """(h, df): in how many rows each term occurs; counted per batch before the shuffle."""
 
     def run(batches):
         for b in batches:
-            found = [terms_of(t.as_py())[0] for t in b.column("text")]
-            terms, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(n, pa.int64())], names=["h", "df"])
+            terms, n = np.unique(_flat(b.column("terms"), np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(n, pa.int64())], names=["h", "df"])
 
-    return docs.select(text_of().alias("text")).mapInArrow(run, "h long, df long").groupBy("h").agg(F.sum("df").alias("df"))
+    return rows.select("terms").mapInArrow(run, "h long, df long").groupBy("h").agg(F.sum("df").alias("df"))
 
 
-def query_terms(docs: DataFrame) -> DataFrame:
+def query_terms(rows: DataFrame) -> DataFrame:
     """(q, h, n) of the query documents."""
 
     def run(batches):
         for b in batches:
-            rows = [(q, *terms_of(t)[:2]) for q, t in zip(b.column("q").to_pylist(), b.column("text").to_pylist(), strict=True)]
-            q = np.repeat(np.array([r[0] for r in rows], np.int64), [len(r[1]) for r in rows])
-            h = np.concatenate([r[1] for r in rows]).view(np.int64) if rows else np.zeros(0, np.int64)
-            n = np.concatenate([r[2] for r in rows]) if rows else np.zeros(0, np.int64)
+            h, n = _flat(b.column("terms"), np.int64), _flat(b.column("tf"), "<i4")
+            size = [len(t) // 8 for t in b.column("terms").to_pylist()]
+            q = np.repeat(b.column("doc_id").to_numpy(), size)
             yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(h, pa.int64()), pa.array(n, pa.int64())], names=["q", "h", "n"])
 
-    asked = docs.where(F.col("doc_id") % EVERY == 0).select(F.col("doc_id").cast("long").alias("q"), text_of().alias("text"))
-    return asked.mapInArrow(run, "q long, h long, n long")
+    return rows.where(F.col("doc_id") % EVERY == 0).mapInArrow(run, "q long, h long, n long")
+
+
+def _index(group: pa.Table) -> pa.Table:
+    """One shard: ids, lengths and postings sorted by term and document."""
+    terms = group.column("terms").to_pylist()
+    term, tf = np.frombuffer(b"".join(terms), np.uint64), _flat(group.column("tf"), "<i4")
+    doc = np.repeat(np.arange(len(terms), dtype=np.int32), [len(t) // 8 for t in terms])
+    order = np.argsort(term, kind="stable")  # documents ascend inside a term
+    ids = group.column("doc_id").combine_chunks()
+    parts = [np.asarray(ids.fill_null(NO_ID)), np.asarray(ids.is_null()), group.column("words").to_numpy(), doc[order], term[order], tf[order]]
+    return pa.table([group.column("shard").slice(0, 1), *(pa.array([x.tobytes()], pa.binary()) for x in parts)], names=["shard", *INDEX])
+
+
+INDEX = {"ids": np.int64, "no_id": bool, "words": np.int64, "doc": np.int32, "term": np.uint64, "tf": np.int32}
 
 
 def search(docs: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, doc_id, score)."""
-    sizes = docs.agg(F.count("*"), F.avg(F.size(F.array_remove(F.split(F.lower(text_of()), "[ \\t-\\r]+"), "")))).first()
-    total, mean = sizes[0], float(sizes[1] or 0.0)
-    asked = written(query_terms(docs), "queries")
+    rows = written(packed(docs).withColumn("place", F.monotonically_increasing_id()), "packed")
+    size = F.octet_length("terms") + F.octet_length("tf") + 16
+    total, mean, data = rows.agg(F.count("*"), F.avg("words"), F.sum(size)).first()
+    mean, shards = float(mean or 0.0), max(1, -(-(data or 0) // SHARD_BYTES))
+    shard = F.pmod(F.xxhash64("place"), F.lit(shards)).cast("int").alias("shard")
+    index_schema = "shard int, " + ", ".join(f"{c} binary" for c in INDEX)
+    index = written(rows.select(shard, "doc_id", "words", "terms", "tf").groupBy("shard").applyInArrow(_index, index_schema), "index")
+
     idf = F.log(1 + (total - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = asked.join(term_counts(docs), "h").groupBy("q", "h").agg((F.max("n") * F.max(idf)).alias("w"))
-    queries = written(weighted.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("h", "w"))).alias("terms")), "weighted")
-    shards, blocks = max(1, -(-total // SHARD)), max(1, -(-queries.count() // QUERIES))
-    left = queries.withColumn("part", F.pmod(F.xxhash64("q"), F.lit(blocks))).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *doc_key(), text_of().alias("text"))
-    rows = rows.select("doc_id", "text", F.pmod(F.xxhash64("kd", "kt"), F.lit(shards)).cast("int").alias("shard"))
-    right = rows.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-
-    def run(q: pa.Table, d: pa.Table) -> pa.Table:
-        texts = d.column("text").to_pylist()
-        names = d.column("doc_id").to_pylist()
-        ids = np.array([NO_ID if x is None else x for x in names], np.int64)
-        index = ShardIndex(texts, mean)
-        out = []
-        for name, terms in zip(q.column("q").to_pylist(), q.column("terms"), strict=True):
-            t = pa.array(terms.values) if hasattr(terms, "values") else terms
-            h = np.asarray(t.field("h")).view(np.uint64)
-            out += [(name, names[i], s) for i, s in index.top(h, np.asarray(t.field("w")), ids, k)]
-        cols = list(zip(*out, strict=True)) or [()] * 3
-        return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())], names=["q", "doc_id", "score"])
-
-    found = left.groupBy("shard", "part").cogroup(right.groupBy("shard", "part")).applyInArrow(run, "q long, doc_id long, score double")
+    weighted = query_terms(rows).join(term_counts(rows), "h").groupBy("q", "h").agg((F.max("n") * F.max(idf)).alias("w"))
+    listed = F.sort_array(F.collect_list(F.struct("h", "w")))  # the distinct terms of one text
+    queries = written(weighted.groupBy("q").agg(listed.alias("t")).select("q", F.col("t.h").alias("h"), F.col("t.w").alias("w")), "weighted")
+    asked = queries.agg(F.sum(F.size("h").cast("long") * 16 + 16)).first()[0] or 0
+    blocks = -(-asked // QUERY_BYTES)
+
+    out = []
+    for i in range(blocks):
+        part = queries.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == i).toArrow()  # about QUERY_BYTES, by the count above
+        asks = []
+        for q, h, w in zip(part.column("q").to_pylist(), part.column("h"), part.column("w"), strict=True):
+            terms = np.asarray(h.values).view(np.uint64)
+            order = np.argsort(terms)  # unsigned order, as in the index
+            asks.append((q, terms[order], np.asarray(w.values)[order]))
+        shared = docs.sparkSession.sparkContext.broadcast(asks)
+
+        def run(batches, shared=shared):
+            for b in batches:
+                for row in range(b.num_rows):
+                    ids, no_id, words, doc, term, tf = (np.frombuffer(b.column(c)[row].as_buffer(), t) for c, t in INDEX.items())
+                    held = ShardIndex(doc, term, tf, words, mean)
+                    found = [(q, None if no_id[d] else int(ids[d]), s) for q, h, w in shared.value for d, s in held.top(h, w, ids, k)]
+                    cols = list(zip(*found, strict=True)) or [()] * 3
+                    yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())], names=["q", "doc_id", "score"])
+
+        out.append(written(index.mapInArrow(run, "q long, doc_id long, score double"), "found"))
+        shared.unpersist()
+    found = docs.sparkSession.createDataFrame([], "q long, doc_id long, score double")
+    for x in out:
+        found = found.unionByName(x)
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), F.asc_nulls_first("doc_id")))  # shards * k rows per query
     ranked = found.withColumn("rank", rank).where(F.col("rank") <= k)
     return ranked.select(F.col("q").alias("query_id"), F.col("rank").cast("long").alias("rank"), "doc_id", "score")
