@@ -38,7 +38,7 @@ from voltwatch.llm.hashing import word_hashes
 K, EVERY = 10, 50
 K1, B = 1.2, 0.75
 #: Bytes of packed terms of a shard, and of packed queries of a block, about.
-SHARD_BYTES, QUERY_BYTES = 32 << 20, 32 << 20
+SHARD_BYTES, QUERY_BYTES = 16 << 20, 32 << 20
 #: Documents of an index block, and blocks that are scored first.
 BLOCK, FIRST = 64, 4
 #: Share of blocks beyond which all postings are added up instead, every how many queries
@@ -245,7 +245,8 @@ def search(docs: DataFrame, k: int = K) -> DataFrame:
     mean, shards = float(mean or 0.0), max(1, -(-(data or 0) // SHARD_BYTES))
     shard = F.pmod(F.xxhash64("place"), F.lit(shards)).cast("int").alias("shard")
     index_schema = "shard int, " + ", ".join(f"{c} binary" for c in INDEX)
-    index = written(rows.select(shard, "doc_id", "words", "terms", "tf").groupBy("shard").applyInArrow(_index, index_schema), "index")
+    dealt = rows.select(shard, "doc_id", "words", "terms", "tf").repartition(int(shards), "shard")  # files of about one shard
+    index = written(dealt.groupBy("shard").applyInArrow(_index, index_schema), "index")
 
     idf = F.log(1 + (total - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = query_terms(rows).join(term_counts(rows), "h").groupBy("q", "h").agg((F.max("n") * F.max(idf)).alias("w"))
