@@ -27,9 +27,11 @@ results; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import contextlib
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voltwatch.llm.common import NO_ID, text_of, written
@@ -237,6 +239,23 @@ def _index(group: pa.Table) -> pa.Table:
 INDEX = {"ids": np.int64, "no_id": bool, "words": np.int64, "doc": np.int32, "term": np.uint64, "tf": np.int32}
 
 
+#: While the index is searched: one shard per Arrow batch, and input splits of about a shard.
+ONE_SHARD = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1", "spark.sql.files.maxPartitionBytes": str(SHARD_BYTES), "spark.sql.files.openCostInBytes": "0"}
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the jobs inside the block."""
+    before = {c: spark.conf.get(c, None) for c in values}
+    try:
+        for c, v in values.items():
+            spark.conf.set(c, v)
+        yield
+    finally:
+        for c, v in before.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
+
+
 def search(docs: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, doc_id, score)."""
     rows = written(packed(docs).withColumn("place", F.monotonically_increasing_id()), "packed")
@@ -274,7 +293,8 @@ def search(docs: DataFrame, k: int = K) -> DataFrame:
                     cols = list(zip(*found, strict=True)) or [()] * 3
                     yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())], names=["q", "doc_id", "score"])
 
-        out.append(written(index.mapInArrow(run, "q long, doc_id long, score double"), "found"))
+        with settings(docs.sparkSession, ONE_SHARD):
+            out.append(written(index.select("*").mapInArrow(run, "q long, doc_id long, score double"), "found"))
         shared.unpersist()
     found = docs.sparkSession.createDataFrame([], "q long, doc_id long, score double")
     for x in out:
