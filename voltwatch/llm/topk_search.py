@@ -40,7 +40,7 @@ from voltwatch.llm.hashing import word_hashes
 K, EVERY = 10, 50
 K1, B = 1.2, 0.75
 #: Bytes of packed terms of a shard, and of packed queries of a block, about.
-SHARD_BYTES, QUERY_BYTES = 16 << 20, 32 << 20
+SHARD_BYTES, QUERY_BYTES = 8 << 20, 16 << 20
 #: Documents of an index block, and blocks that are scored first.
 BLOCK, FIRST = 64, 4
 #: Share of blocks beyond which all postings are added up instead, every how many queries
