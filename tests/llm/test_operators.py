@@ -332,6 +332,17 @@ def test_topk_prunes():
         assert [(i, round(x, 6)) for i, x in crowded.top(docs[q], w, np.arange(3000), 10)] == [(i, round(x, 6)) for i, x in got]
 
 
+def test_topk_long_lists_only():
+    """Texts of words that all documents share: no list is short."""
+    docs, terms = 600, np.array([3, 9], np.uint64)
+    doc, term = np.tile(np.arange(docs), 2), np.repeat(terms, docs)
+    index = topk_search.ShardIndex(doc, term, np.arange(2 * docs) % 7 + 1, np.full(docs, 8), 8.0)
+    index.crowded, index.skipped = 1, 0
+    got = index.top(terms, np.array([1.0, 2.0]), np.arange(docs), 10)
+    index.crowded = 0
+    assert got == index.top(terms, np.array([1.0, 2.0]), np.arange(docs), 10) and len(got) == 10
+
+
 def test_host_query(spark, rows):
     got = sorted(tuple(r)[:8] for r in QUERIES["op9_host_rules"](spark, SF).collect())
     assert got == sorted(brute.hosts(rows))

@@ -108,7 +108,7 @@ class ShardIndex:
         short = size < LONG
         n = size[short]
         place = np.repeat(begin[short] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        score = np.bincount(self.doc[place], np.repeat(weights[short], n) * self.impact[place], self.docs)
+        score = np.bincount(self.doc[place], np.repeat(weights[short], n) * self.impact[place], self.docs).astype(float)  # whole numbers if empty
         for b, e, w in zip(begin[~short].tolist(), self.to[at[~short]].tolist(), weights[~short].tolist(), strict=True):
             score[self.doc[b:e]] += w * self.impact[b:e]
         hit = np.flatnonzero(score)
