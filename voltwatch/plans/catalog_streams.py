@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from voltwatch.operators import ml, validate
+from voltwatch.operators import ml, sketches, validate
 from voltwatch.plans.registry import query, rolling_digits, rounded
 from voltwatch.sources.io import scratch_path
 from voltwatch.sources.tables import EVENTS, table
@@ -73,6 +73,55 @@ def q_stream_daily_stats(spark, sf):
     return rounded(_run_agg(spark, S.daily_stats(_events_stream(spark, sf), "ts", "value"), "daily"))
 
 
+_WEEKS = """v AS (SELECT date_trunc('week', ts) AS week, 'value' AS feature, value AS v FROM events
+      UNION ALL SELECT date_trunc('week', ts), 'k', CAST(json_extract_string(props, '$.k') AS DOUBLE) FROM events)"""
+
+
+def _weekly(spark, sf):
+    """Days sketched on the stream, stored, and merged into weeks without the events."""
+    days = _run_agg(spark, S.sketch_stream(_events_stream(spark, sf), "ts", ["value", "k"]), "sketches")
+    return sketches.merge(days.withColumn("week", F.date_trunc("week", "window_start").cast("timestamp_ntz")), ["week"])
+
+
+@query("stream_weekly_sketches", f"""
+WITH {_WEEKS}
+SELECT week, feature, CAST(count(v) AS BIGINT) AS n, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std, round(min(v), 6) AS min,
+       round(max(v), 6) AS max, round(quantile_disc(v, 0.5), 6) AS median, round(quantile_disc(v, 0.95), 6) AS p95
+FROM v GROUP BY week, feature""")
+def q_stream_weekly_sketches(spark, sf):
+    """Equal to the exact values while a week has at most about ``sketches.K`` readings (sf0.01)."""
+    w = _weekly(spark, sf)
+    return rounded(w.select("week", "feature", "n", "mean", sketches.std().alias("std"), "min", "max",
+                            sketches.quantile(0.5).alias("median"), sketches.quantile(0.95).alias("p95")))
+
+
+@query("weekly_sketch_drift", f"""
+WITH {_WEEKS},
+r AS (SELECT * FROM v WHERE week = (SELECT min(week) FROM v)),
+e AS (SELECT feature, count(v) AS ref_n, avg(v) AS ref_mean, stddev_samp(v) AS ref_std, quantile_disc(v, 0.5) AS ref_median,
+             [{', '.join(f'quantile_disc(v, 0.{i})' for i in range(1, 10))}] AS edges FROM r GROUP BY feature),
+p AS (SELECT r.feature, [{', '.join(f'count(*) FILTER (WHERE r.v <= edges[{i}]) / count(r.v)' for i in range(1, 10))}] AS up
+      FROM r JOIN e ON r.feature = e.feature GROUP BY r.feature),
+c AS (SELECT v.week, v.feature, count(v.v) AS cur_n, avg(v.v) AS cur_mean, stddev_samp(v.v) AS cur_std, quantile_disc(v.v, 0.5) AS cur_median,
+             [{', '.join(f'count(*) FILTER (WHERE v.v <= edges[{i}]) / count(v.v)' for i in range(1, 10))}] AS up
+      FROM v JOIN e ON v.feature = e.feature GROUP BY v.week, v.feature),
+b AS (SELECT c.week, c.feature, sum((q - t) * ln(q / t)) AS psi FROM (
+        SELECT c.week, c.feature,
+               greatest(list_extract(list_append(c.up, 1.0), i) - CASE WHEN i > 1 THEN list_extract(c.up, i - 1) ELSE 0 END, 0.0001) AS q,
+               greatest(list_extract(list_append(p.up, 1.0), i) - CASE WHEN i > 1 THEN list_extract(p.up, i - 1) ELSE 0 END, 0.0001) AS t
+        FROM c JOIN p ON c.feature = p.feature, (SELECT unnest(range(1, 11)) AS i)) c GROUP BY c.week, c.feature)
+SELECT c.week, c.feature, CAST(ref_n AS BIGINT) AS ref_n, CAST(cur_n AS BIGINT) AS cur_n, round(ref_mean, 6) AS ref_mean, round(cur_mean, 6) AS cur_mean,
+       round(ref_std, 6) AS ref_std, round(cur_std, 6) AS cur_std, round(ref_median, 6) AS ref_median, round(cur_median, 6) AS cur_median,
+       CAST(abs(cur_mean - ref_mean) > 2 * ref_std AS BIGINT) AS mean_drift, CAST(cur_n = 0 AS BIGINT) AS no_data, round(psi, 6) AS psi
+FROM c JOIN e ON c.feature = e.feature JOIN b ON b.week = c.week AND b.feature = c.feature""")
+def q_weekly_sketch_drift(spark, sf):
+    """D1, D3 on stored sketches: every week against the first, no event read twice."""
+    w = _weekly(spark, sf)
+    first = w.agg(F.min("week")).first()[0]
+    d = sketches.compare(w.where(F.col("week") == F.lit(first).cast("timestamp_ntz")).drop("week"), w, ["week"])
+    return rounded(d.drop("ks_gap", "ks_p"))
+
+
 STREAM_WINDOWS = (6, 30, 60)
 STATE_TTL_S = 30 * 86400  # an entity silent for 30 days of event time loses its tail
 

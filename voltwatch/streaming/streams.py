@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from voltwatch.config import Columns
 from voltwatch.functions.stats import ROLLING
-from voltwatch.operators import ml, validate as V
+from voltwatch.operators import ml, sketches, validate as V
 from voltwatch.sources.io import scratch_path
 from voltwatch.streaming import ordered
 
@@ -180,9 +180,18 @@ def outcome_rate(sdf: DataFrame, time: str, label: str, length="5 minutes", slid
 
 def value_quantile(sdf: DataFrame, time: str, value: str, q: float = 0.95, length="5 minutes", slide="1 minute",
                    exact: bool = True) -> DataFrame:
-    """T4: a quantile of a value (e.g. p95 latency) per sliding window."""
-    agg = (F.percentile(value, q) if exact else F.percentile_approx(value, q, 10_000)).alias(f"p{int(q * 100)}")
-    return windowed(sdf, time, length, slide, [agg, F.count(F.lit(1)).alias("events")])
+    """T4: a quantile of a value (e.g. p95 latency) per sliding window.
+
+    ``exact`` keeps every distinct value of an open window as state; else the
+    state is one bounded KLL sketch per window and the quantile a value of the
+    data (rank error about 1.6 / ``sketches.K``)."""
+    out = f"p{int(q * 100)}"
+    if exact:
+        return windowed(sdf, time, length, slide, [F.percentile(value, q).alias(out), F.count(F.lit(1)).alias("events")])
+    v = F.col(value).cast("double")
+    aggs = [F.kll_sketch_agg_double(v, F.lit(sketches.K)).alias("sketch"), F.count(v).alias("n"), F.count(F.lit(1)).alias("events")]
+    d = windowed(sdf, time, length, slide, aggs)
+    return d.select("window_start", "window_end", sketches.quantile(q).alias(out), "events")
 
 
 def alerts(windows: DataFrame, metric: str, threshold: float, span: int, slide_s: int = 60) -> DataFrame:
@@ -220,6 +229,14 @@ def daily_stats(sdf: DataFrame, time: str, value: str, length="1 day") -> DataFr
         F.min(value).alias("min"), F.max(value).alias("max")])
 
 
+def sketch_stream(sdf: DataFrame, time: str, cols, length="1 day", watermark: str = WATERMARK) -> DataFrame:
+    """Mergeable statistics (``sketches``) per tumbling window and feature,
+    to be stored and compared later without the rows.  State is bounded: one
+    sketch per open window and feature."""
+    d = sketches.melted(sdf, cols, [time])
+    return windowed(d, time, length, None, sketches.statistics(), ["feature"], watermark)
+
+
 def _minutes(length: str) -> float:
     n, unit = length.split()
     return float(n) * {"second": 1 / 60, "seconds": 1 / 60, "minute": 1, "minutes": 1, "hour": 60,
