@@ -166,3 +166,35 @@ def test_rows_without_time_come_first(spark):
     chunks = [[("A", T0, 1, 1.0, ""), ("A", None, 2, 5.0, "")], [("A", T0 + dt.timedelta(hours=1), 3, 2.0, "")]]
     got, late = features_of(spark, chunks, "no_time")
     assert late.count() == 0 and {r.i: r.Rolling_mean_3_x for r in got.collect()} == {2: 5.0, 1: 3.0, 3: 8 / 3}
+
+
+def test_chained_alerts_equal_alerts(spark):
+    """Spans with gaps, NULL quantiles and single windows: the second operator flags the rows that the table version flags."""
+    import random
+
+    rng = random.Random(11)
+    rows = [(T0 + dt.timedelta(minutes=m, seconds=rng.randrange(60)), None if m % 23 == 0 else rng.choice([1.0, 9.0, 9.0, 9.0])) for m in range(150) if m % 11 or m > 60]
+    d = spark.createDataFrame(rows, "ts timestamp_ntz, v double")
+    w = S.windowed(d, "ts", "1 minute", None, [F.max("v").alias("p"), F.count("v").alias("n")], window_col="_vw_w")
+    for span in (1, 3, 5):
+        want = S.alerts(w.drop("_vw_w"), "p", 5.0, span)
+        got = S.chained_alerts(w, "p", 5.0, span)
+        key = lambda r: (r.window_start, r.p, r.n, r.over, r.alert or False)
+        assert sorted(map(key, got.collect()), key=str) == sorted(map(key, want.collect()), key=str)
+        assert got.where("alert").count() > 0
+
+
+def test_alert_stream_appends_each_window_once(spark):
+    """Closed windows come out once, late rows change nothing, and the last windows wait for the watermark."""
+    minute = dt.timedelta(minutes=1)
+    chunks = [[(T0 + m * minute, 9.0 if m % 10 < 6 else 1.0) for m in range(60)], [(T0 + 90 * minute, 1.0)], [(T0 + 5 * minute, 1.0), (T0 + 91 * minute, 1.0)]]
+    folder = scratch_path(spark, "alert-in")
+    for rows in chunks:
+        spark.createDataFrame(rows, "ts timestamp_ntz, v double").coalesce(1).write.mode("append").parquet(folder)
+    sdf = S.read_stream(spark, folder, spark.createDataFrame([], "ts timestamp_ntz, v double").schema, max_files=1)
+    w = S.windowed(sdf, "ts", "1 minute", None, [F.max("v").alias("p")], window_col="_vw_w")
+    out = scratch_path(spark, "alert-out")
+    S.run_aggregate(S.chained_alerts(w, "p", 5.0, 3), f"{out}/o", f"{out}/c", "alert_append_test", "append")
+    got = spark.read.parquet(f"{out}/o").collect()
+    at = {int((r.window_start - T0) / minute): (r.p, r.alert) for r in got}
+    assert len(at) == len(got) == 60 and all(at[m] == ((9.0, m % 10 >= 2) if m % 10 < 6 else (1.0, False)) for m in range(60))

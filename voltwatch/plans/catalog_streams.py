@@ -46,7 +46,7 @@ def q_stream_outcome_rate(spark, sf):
 P95_THRESHOLD, ALERT_SPAN = 150.0, 5
 
 
-@query("stream_p95_alert", f"""
+_P95_SQL = f"""
 WITH {_SLIDING},
 p AS (SELECT ws, quantile_cont(value, 0.95) AS p95, count(*) AS events FROM w GROUP BY ws),
 o AS (SELECT *, p95 > {P95_THRESHOLD} AS over FROM p),
@@ -56,7 +56,10 @@ l AS (SELECT *, {' AND '.join(
     for i in range(1, ALERT_SPAN))} AS prev_ok FROM o)
 SELECT ws AS window_start, ws + INTERVAL 5 MINUTE AS window_end, round(p95, 6) AS p95,
        CAST(events AS BIGINT) AS events, CAST(over AS BIGINT) AS over, CAST(over AND prev_ok AS BIGINT) AS alert
-FROM l""")
+FROM l"""
+
+
+@query("stream_p95_alert", _P95_SQL)
 def q_stream_p95_alert(spark, sf):
     out = scratch_path(spark, "p95")
     S.alert_stream(S.value_quantile(_events_stream(spark, sf), "ts", "value", 0.95), "p95", P95_THRESHOLD,
@@ -73,6 +76,17 @@ def q_stream_daily_stats(spark, sf):
     return rounded(_run_agg(spark, S.daily_stats(_events_stream(spark, sf), "ts", "value"), "daily"))
 
 
+@query("stream_alert_append", _P95_SQL)
+def q_stream_alert_append(spark, sf):
+    """T4, T5 in append mode: closed windows feed a second stateful operator; nothing is rewritten.  The replay
+    ends with a row that closes the last windows and the spans behind them."""
+    sdf = _events_stream(spark, sf, "25 minutes")
+    w = S.value_quantile(sdf, "ts", "value", 0.95, window_col="_vw_w")
+    out = scratch_path(spark, "alerts")
+    S.run_aggregate(S.chained_alerts(w, "p95", P95_THRESHOLD, ALERT_SPAN), f"{out}/out", f"{out}/chk", f"alerts_{out[-12:]}", "append")
+    return rounded(spark.read.parquet(f"{out}/out").drop("epoch"))
+
+
 _WEEKS = """v AS (SELECT date_trunc('week', ts) AS week, 'value' AS feature, value AS v FROM events
       UNION ALL SELECT date_trunc('week', ts), 'k', CAST(json_extract_string(props, '$.k') AS DOUBLE) FROM events)"""
 

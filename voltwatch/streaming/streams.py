@@ -156,16 +156,18 @@ def feature_stream(sdf: DataFrame, cfg: Columns, cols, windows=(6, 30, 60), stat
 
 # ---------------------------------------------------------------- T3-T7 windowed rates and statistics
 def windowed(sdf: DataFrame, time: str, length: str, slide: str | None, aggs: list[Column], by=(),
-             watermark: str = WATERMARK) -> DataFrame:
+             watermark: str = WATERMARK, window_col: str | None = None) -> DataFrame:
     """Event-time windows with a watermark: late rows (older than the
     watermark) are dropped from append-mode results; the window start/end
-    come back as wall-clock timestamp_ntz."""
+    come back as wall-clock timestamp_ntz.  ``window_col`` also keeps the
+    event-time window itself, for a stateful operator behind this one."""
     t = ntz_to_instant(F.col(time)) if isinstance(sdf.schema[time].dataType, T.TimestampNTZType) else F.col(time)
     d = sdf.withColumn("_vw_t", t).withWatermark("_vw_t", watermark)
     w = F.window("_vw_t", length, slide) if slide else F.window("_vw_t", length)
     g = d.groupBy(w.alias("_w"), *by).agg(*aggs)
     return g.select(instant_to_ntz(F.col("_w.start")).alias("window_start"),
-                    instant_to_ntz(F.col("_w.end")).alias("window_end"), *[c for c in g.columns if c != "_w"])
+                    instant_to_ntz(F.col("_w.end")).alias("window_end"), *[c for c in g.columns if c != "_w"],
+                    *([F.col("_w").alias(window_col)] if window_col else []))
 
 
 def outcome_rate(sdf: DataFrame, time: str, label: str, length="5 minutes", slide="1 minute") -> DataFrame:
@@ -179,7 +181,7 @@ def outcome_rate(sdf: DataFrame, time: str, label: str, length="5 minutes", slid
 
 
 def value_quantile(sdf: DataFrame, time: str, value: str, q: float = 0.95, length="5 minutes", slide="1 minute",
-                   exact: bool = True) -> DataFrame:
+                   exact: bool = True, window_col: str | None = None) -> DataFrame:
     """T4: a quantile of a value (e.g. p95 latency) per sliding window.
 
     ``exact`` keeps every distinct value of an open window as state; else the
@@ -187,11 +189,11 @@ def value_quantile(sdf: DataFrame, time: str, value: str, q: float = 0.95, lengt
     data (rank error about 1.6 / ``sketches.K``)."""
     out = f"p{int(q * 100)}"
     if exact:
-        return windowed(sdf, time, length, slide, [F.percentile(value, q).alias(out), F.count(F.lit(1)).alias("events")])
+        return windowed(sdf, time, length, slide, [F.percentile(value, q).alias(out), F.count(F.lit(1)).alias("events")], window_col=window_col)
     v = F.col(value).cast("double")
     aggs = [F.kll_sketch_agg_double(v, F.lit(sketches.K)).alias("sketch"), F.count(v).alias("n"), F.count(F.lit(1)).alias("events")]
-    d = windowed(sdf, time, length, slide, aggs)
-    return d.select("window_start", "window_end", sketches.quantile(q).alias(out), "events")
+    d = windowed(sdf, time, length, slide, aggs, window_col=window_col)
+    return d.select("window_start", "window_end", sketches.quantile(q).alias(out), "events", *([window_col] if window_col else []))
 
 
 def alerts(windows: DataFrame, metric: str, threshold: float, span: int, slide_s: int = 60) -> DataFrame:
@@ -222,6 +224,24 @@ def alert_stream(sdf_windows: DataFrame, metric: str, threshold: float, span: in
     return run_to_end(sdf_windows, write, name, checkpoint, mode="complete")
 
 
+def chained_alerts(windows: DataFrame, metric: str, threshold: float, span: int, slide_s: int = 60) -> DataFrame:
+    """T5 as a second stateful operator behind the windows, in append mode.
+
+    ``windows`` is a windowed aggregate with its window in ``_vw_w``.  A
+    sliding window over the windows' own times holds the last ``span`` of them;
+    it is emitted once, when the watermark has passed it, and its state is
+    those few rows.  A window alerts if it is over the threshold with the
+    ``span - 1`` before it, as in ``alerts``."""
+    d = windows.withColumn("over", F.col(metric) > threshold).withColumn("_vw_t", F.window_time("_vw_w"))
+    own = [c for c in windows.columns if c != "_vw_w"]
+    last = F.max_by(F.struct(*own, "over", "_vw_w"), F.col("_vw_w.end"))
+    g = d.groupBy(F.window("_vw_t", f"{span * slide_s} seconds", f"{slide_s} seconds").alias("_s")).agg(
+        last.alias("r"), F.count_if("over").alias("_n"))
+    # sliding windows whose newest member is an older window end in a gap
+    g = g.where(F.col("r._vw_w.end") == F.col("_s.end"))
+    return g.select(*[F.col(f"r.{c}").alias(c) for c in own], F.col("r.over").alias("over"), (F.col("r.over") & (F.col("_n") == span)).alias("alert"))
+
+
 def daily_stats(sdf: DataFrame, time: str, value: str, length="1 day") -> DataFrame:
     """Tumbling-window statistics of a value."""
     return windowed(sdf, time, length, None, [
