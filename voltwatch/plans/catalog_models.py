@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voltwatch.functions.columns import label_text, prediction_typing
-from voltwatch.operators import boosting, drift, metrics, ml
+from voltwatch.operators import boosting, drift, logistic, metrics, ml
 from voltwatch.plans.catalog_features import FEATURE_SPEC
 from voltwatch.plans.featureset import feature_pipeline
 from voltwatch.plans.layout import materialize
@@ -305,14 +305,16 @@ def q_train_compare(spark, sf):
     """Three weighted models, evaluated on the
     stratified test rows, tabulated and ranked by PR-AUC."""
     d, feats = _features(spark, sf)
-    d = d.persist()
+    d = materialize(d)
     tr, te = d.where("is_test = 0"), d.where("is_test = 1")
-    parts = []
-    for kind, name in (("lr", "Logistic Regression"), ("rf", "Random Forest"), ("gbt", "Gradient Boosting")):
-        m = ml.train(tr, feats, "label", kind)
-        sc = ml.score(te, m, keep=["label"])
-        ev = metrics.evaluate(sc, "label", "prediction", "probability")
-        parts.append(ev.withColumn("model", F.lit(name)))
+    forest = ml.train(tr, feats, "label", "rf")
+    boosted = boosting.train(tr, feats, "label", "event_id", boosting.Spec(positive=boosting.positive_weight(tr, "label")))
+    scored = {
+        "Logistic Regression": logistic.train(tr, feats, "label").score(te, keep=["label"]),
+        "Random Forest": ml.score(te, forest, keep=["label"]),
+        "Gradient Boosting": boosted.score(te, keep=["label"]),
+    }
+    parts = [metrics.evaluate(sc, "label", "prediction", "probability").withColumn("model", F.lit(name)) for name, sc in scored.items()]
     led = parts[0]
     for p in parts[1:]:
         led = led.unionByName(p)
