@@ -25,6 +25,11 @@ def validate(df: DataFrame, rules: dict[str, Column], reasons: str = "reasons"):
     return valid, quarantine
 
 
+def well_formed(corrupt: str) -> dict[str, Column]:
+    """Rule of a read with a corrupt-record column: the record could be parsed."""
+    return {"malformed": F.col(corrupt).isNull()}
+
+
 def required_doubles(cols, ranges: dict | None = None) -> dict[str, Column]:
     """Rules of the scoring request: every feature present and finite,
     plus closed ranges (e.g. 0 <= SoC <= 100)."""

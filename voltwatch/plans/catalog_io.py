@@ -90,3 +90,26 @@ def q_history_plus_new(spark, sf):
     hist = ev.where(F.col("ts") < cut).select("event_id", "ts", "user_id", "value")
     new = ev.where(F.col("ts") >= cut).select("event_id", "ts", "user_id", "value", "k")
     return rounded(reshape.combine(hist, new))
+
+
+@query("rescue_requests", """
+WITH t AS (SELECT CASE WHEN event_id % 13 = 0 OR event_id % 17 = 0 THEN 'malformed' WHEN value > 150 THEN 'value_range' ELSE 'valid' END AS reason,
+                  value, event_id % 13 = 0 OR event_id % 17 = 0 AS broken FROM events)
+SELECT reason, CAST(count(*) AS BIGINT) AS rows, CAST(count(*) FILTER (WHERE broken) AS BIGINT) AS texts,
+       round(sum(CASE WHEN broken THEN 0 ELSE value END), 4) AS total
+FROM t GROUP BY reason""")
+def q_rescue_requests(spark, sf):
+    """Events as JSON lines, every 13th cut off and every 17th with a word for a number, read back with rescue."""
+    ev = table(spark, sf, "events")
+    line = F.to_json(F.struct("event_id", "user_id", "value"))
+    words = F.regexp_replace(line, '"value":[^,}]*', '"value":"many"')
+    line = F.when(F.col("event_id") % 13 == 0, F.substring(line, 1, 17)).when(F.col("event_id") % 17 == 0, words).otherwise(line)
+    path = io.scratch_path(spark, "rescue")
+    ev.select(line.alias("value")).write.text(path)
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()), T.StructField("value", T.DoubleType())])
+    valid, bad = io.read_rescued(spark, path, schema, "json", {"value_range": F.col("value") <= 150})
+    both = valid.select(F.lit("valid").alias("reason"), F.lit(None).cast("string").alias("text"), "value").unionByName(
+        bad.select(F.array_join("reasons", ",").alias("reason"), F.col(io.CORRUPT).alias("text"), "value"))
+    total = F.sum(F.when(F.col("text").isNull(), F.col("value")).otherwise(0.0))
+    out = both.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"), F.count("text").alias("texts"), F.round(total, 4).alias("total"))
+    return out

@@ -104,6 +104,50 @@ def read_requests(spark: SparkSession, path: str, schema: T.StructType = REQUEST
     return df.select(*keep, F.inline(F.col(array_col)))
 
 
+#: Holds the text of a record that could not be parsed.
+CORRUPT = "_vw_corrupt"
+
+
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    """The schema of a permissive read, also of a stream (with ``CORRUPT_OPTIONS``)."""
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+CORRUPT_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+
+def read_rescued(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json",
+                 rules: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """(valid, quarantine) of JSON lines or of CSV with a header.
+
+    A line that does not parse under the schema (cut off, wrong type, wrong
+    number of fields) goes to quarantine with the reason ``malformed`` and its
+    text in ``CORRUPT``, a parsed row that breaks a rule with the rule's name.
+    The files are read once, into a checkpoint, so valid + quarantine are all
+    lines whatever happens to the files in between.  A CSV header must name
+    the schema's columns, in its order.
+    """
+    from voltwatch.operators import validate as V
+    from voltwatch.plans.layout import materialize
+
+    if fmt == "csv":
+        df = (spark.read.schema(with_corrupt(schema)).options(**CORRUPT_OPTIONS).option("header", True)
+              .option("timestampNTZFormat", CSV_NTZ_FORMAT).option("timestampFormat", CSV_TS_FORMAT).csv(path))
+    elif fmt == "json":  # by line, because the JSON reader drops a line that holds an empty array
+        lines = spark.read.text(path).where(F.trim("value") != "")
+        parsed = lines.select("value", F.from_json("value", with_corrupt(schema), CORRUPT_OPTIONS).alias("r"))
+        bad = F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull() | ~F.col("value").rlike(r"^\s*\{")
+        df = parsed.select(*[F.when(~bad, F.col(f"r.{c}")).alias(c) for c in schema.names], F.when(bad, F.col("value")).alias(CORRUPT))
+    else:
+        raise ValueError(f"no rescue for {fmt}")
+    df = materialize(df)
+    every = {**V.well_formed(CORRUPT), **(rules or {})}
+    # a malformed row breaks rules by its missing fields; only the cause is named
+    reasons = V.failed_rules(every)
+    tagged = df.withColumn("reasons", F.when(F.col(CORRUPT).isNotNull(), F.array(F.lit("malformed"))).otherwise(reasons))
+    return tagged.where(F.size("reasons") == 0).drop("reasons", CORRUPT), tagged.where(F.size("reasons") > 0)
+
+
 def empty_like(df: DataFrame) -> DataFrame:
     """An empty frame with the same schema."""
     return df.limit(0)
