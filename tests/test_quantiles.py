@@ -44,3 +44,31 @@ def test_half_of_the_rows_share_one_value(spark):
         got = {r.g: r.v for r in exact_quantiles(df, ["g"], ["v"], qs, accuracy).collect()}
         assert got.keys() == want.keys() and None in got
         assert all(abs(x - y) < 1e-9 for g in want for x, y in zip(got[g], want[g]))
+
+
+def test_missed_bands_are_narrowed(spark, monkeypatch):
+    """Coarse sketches without a margin miss ranks; narrowing finds them by bins, ties and infinities included."""
+    from voltwatch.operators import quantiles as Q
+
+    monkeypatch.setattr(Q, "MARGIN", 0.0)
+    monkeypatch.setattr(Q, "CUTS", 8)
+    asked = []
+    plain = Q.narrowed
+
+    def small(values, targets, keys):
+        asked.append(targets.count())
+        return plain(values, targets, keys, few=5)
+
+    monkeypatch.setattr(Q, "narrowed", small)
+    v = F.when(F.col("id") % 3 == 0, F.lit(7.0)).when(F.col("id") % 50 == 1, F.lit(float("inf"))).when(F.col("id") % 50 == 2, F.lit(float("-inf")))
+    df = spark.range(3000).select((F.col("id") % 2).alias("g"), v.otherwise(F.exp(F.col("id") % 701 / 10)).alias("v"), (F.col("id") * 7919 % 3001).cast("double").alias("x"))
+    qs = [0.0, 0.3, 0.5, 0.9, 1.0]
+    for by in ([], ["g"]):
+        aggs = [F.percentile(c, F.array(*map(F.lit, qs))).alias(c) for c in ("v", "x")]
+        want = {r["g"] if by else 0: (r["v"], r["x"]) for r in df.groupBy(*by).agg(*aggs).collect()}
+        got = {r["g"] if by else 0: (r["v"], r["x"]) for r in Q.exact_quantiles(df, by, ["v", "x"], qs, accuracy=4).collect()}
+        assert got.keys() == want.keys()
+        for k in want:
+            assert got[k][1] == pytest.approx(want[k][1])
+            assert got[k][0] == pytest.approx(want[k][0])
+    assert sum(asked) > 10

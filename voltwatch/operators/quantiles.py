@@ -14,8 +14,10 @@ global column or a hot group of continuous readings.  Here:
    floor(q (n-1)) and ceil(q (n-1)) are interpolated linearly, as pandas.
 
 If a band misses its target rank (it cannot, by the sketch's guarantee, but
-the check is cheap) the group is recomputed with the full range as band.
-Results equal ``percentile`` exactly.
+the check is cheap) the value at that rank is found by narrowing: the range
+is cut into ``CUTS`` bins, one aggregate adds up the weights of each, and the
+bin with the rank becomes the range, until few values are left.  So no task
+ever holds all values of a group.  Results equal ``percentile`` exactly.
 """
 
 from __future__ import annotations
@@ -26,9 +28,42 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltwatch.config import DEFAULT_SCALE
-from voltwatch.plans.layout import null_safe
+from voltwatch.plans.layout import materialize, null_safe
 
 ACCURACY = 1_000_000
+#: Half width of a band, in sketch errors.
+MARGIN = 3.0
+#: Bins of a narrowing step, and distinct values that one window may rank.
+CUTS, FEW = 1024, 100_000
+
+
+def narrowed(values: DataFrame, targets: DataFrame, keys: list[str], few: int = FEW) -> DataFrame:
+    """targets (keys and ``_vw_rank``, from 0) with the value at that rank, ``_vw_at``.
+
+    ``values`` are the weighted distinct values (keys, _vw_v, _vw_w).  Every
+    round keeps, per target, the bin of its rank: its least and largest value
+    and the weight in front of it.  The first and last bin hold only the least
+    and largest value themselves, so each round leaves values out.
+    """
+    a, b = F.col("_vw_a"), F.col("_vw_b")
+    own = [*keys, "_vw_rank"]
+    ends = null_safe(targets, values.groupBy(*keys).agg(F.min("_vw_v").alias("_vw_a"), F.max("_vw_v").alias("_vw_b"), F.count(F.lit(1)).alias("_vw_c")), keys, "inner")
+    ends = materialize(ends.withColumn("_vw_below", F.lit(0).cast("long")))
+    while (ends.agg(F.max("_vw_c")).first()[0] or 0) > few:
+        inside = null_safe(values, ends, keys, "inner").where((F.col("_vw_v") >= a) & (F.col("_vw_v") <= b))
+        share = F.nanvl((F.col("_vw_v") - a) / (b - a), F.lit(0.5))
+        cut = F.when(F.col("_vw_v") <= a, 0).when(F.col("_vw_v") >= b, CUTS - 1).otherwise(1 + F.least(F.floor(share * (CUTS - 2)), F.lit(CUTS - 3)))
+        bins = inside.groupBy(*own, "_vw_below", cut.alias("_vw_cut")).agg(
+            F.sum("_vw_w").alias("_vw_w"), F.count(F.lit(1)).alias("_vw_c"), F.min("_vw_v").alias("_vw_a"), F.max("_vw_v").alias("_vw_b"))
+        w = Window.partitionBy(*own).orderBy("_vw_cut")  # at most CUTS rows a target
+        bins = bins.withColumn("_vw_end", F.col("_vw_below") + F.sum("_vw_w").over(w))
+        held = bins.where((F.col("_vw_rank") < F.col("_vw_end")) & (F.col("_vw_rank") >= F.col("_vw_end") - F.col("_vw_w")))
+        ends = materialize(held.withColumn("_vw_below", F.col("_vw_end") - F.col("_vw_w")).select(*own, "_vw_a", "_vw_b", "_vw_c", "_vw_below"))
+    rest = null_safe(values, ends, keys, "inner").where((F.col("_vw_v") >= a) & (F.col("_vw_v") <= b))
+    end = F.col("_vw_below") + F.sum("_vw_w").over(Window.partitionBy(*own).orderBy("_vw_v"))  # at most ``few`` rows
+    rest = rest.withColumn("_vw_end", end)
+    at = (F.col("_vw_rank") < F.col("_vw_end")) & (F.col("_vw_rank") >= F.col("_vw_end") - F.col("_vw_w"))
+    return rest.where(at).select(*own, F.col("_vw_v").alias("_vw_at"))
 
 
 def exact_quantiles(df: DataFrame, by, cols, qs, accuracy: int = ACCURACY,
@@ -42,7 +77,7 @@ def exact_quantiles(df: DataFrame, by, cols, qs, accuracy: int = ACCURACY,
     keys = by + ["_vw_f"]
     # a value that many rows share is one weighted row from here on
     values = m.groupBy(*keys, "_vw_v").agg(F.count(F.lit(1)).alias("_vw_w"))
-    margin = 3.0 / accuracy
+    margin = MARGIN / accuracy
     fr = sorted({min(1.0, max(0.0, q + s * margin)) for q in qs for s in (-1, 1)})
     sk = m.groupBy(*keys).agg(F.count(F.lit(1)).alias("_vw_n"),
                               F.percentile_approx("_vw_v", fr, accuracy).alias("_vw_ap"))
@@ -59,34 +94,31 @@ def exact_quantiles(df: DataFrame, by, cols, qs, accuracy: int = ACCURACY,
     n_bands = bands.count()
     bj = F.broadcast(bands) if n_bands <= broadcast_rows else bands
 
-    def pick(bands_df, full: bool):
-        j = null_safe(values, bj if not full else bands_df, keys, "inner")
-        inside = (F.col("_vw_v") >= F.col("_vw_a")) & (F.col("_vw_v") <= F.col("_vw_b"))
-        if full:
-            inside = F.lit(True)
-        below = j.where(~inside & (F.col("_vw_v") < F.col("_vw_a"))).groupBy(*keys, "_vw_q").agg(
-            F.sum("_vw_w").alias("_vw_below"))
-        w = Window.partitionBy(*keys, "_vw_q").orderBy("_vw_v").rowsBetween(Window.unboundedPreceding, 0)
-        band = j.where(inside).withColumn("_vw_end", F.sum("_vw_w").over(w))
-        band = null_safe(band, below, keys + ["_vw_q"])
-        band = band.withColumn("_vw_end", F.col("_vw_end") + F.coalesce("_vw_below", F.lit(0)) - 1)  # last rank
-        first = F.col("_vw_end") - F.col("_vw_w") + 1
-        holds = lambda r: (F.col(r) >= first) & (F.col(r) <= F.col("_vw_end"))
-        got = band.where(holds("_vw_lo") | holds("_vw_hi"))
-        agg = got.groupBy(*keys, "_vw_q", "_vw_qv", "_vw_n", "_vw_lo", "_vw_hi").agg(
-            F.max(F.when(holds("_vw_lo"), F.col("_vw_v"))).alias("_vw_vlo"),
-            F.max(F.when(holds("_vw_hi"), F.col("_vw_v"))).alias("_vw_vhi"))
-        frac = F.col("_vw_qv") * (F.col("_vw_n") - 1) - F.col("_vw_lo")
-        return agg.withColumn("_vw_val", F.col("_vw_vlo") + (F.col("_vw_vhi") - F.col("_vw_vlo")) * frac)
-
-    res = pick(bands, full=False).persist()
-    # a band that missed its rank (no value found) is redone with the full range
-    missed = res.where(F.col("_vw_vlo").isNull() | F.col("_vw_vhi").isNull()).select(*keys, "_vw_q")
-    nb = null_safe(bands, res.select(*keys, "_vw_q"), keys + ["_vw_q"], "left_anti").unionByName(
-        null_safe(bands, missed, keys + ["_vw_q"], "left_semi"))
-    if not nb.isEmpty():
-        good = res.where(F.col("_vw_vlo").isNotNull() & F.col("_vw_vhi").isNotNull())
-        res = good.unionByName(pick(F.broadcast(nb) if nb.count() <= broadcast_rows else nb, full=True))
+    j = null_safe(values, bj, keys, "inner")
+    inside = (F.col("_vw_v") >= F.col("_vw_a")) & (F.col("_vw_v") <= F.col("_vw_b"))
+    below = j.where(~inside & (F.col("_vw_v") < F.col("_vw_a"))).groupBy(*keys, "_vw_q").agg(
+        F.sum("_vw_w").alias("_vw_below"))
+    w = Window.partitionBy(*keys, "_vw_q").orderBy("_vw_v").rowsBetween(Window.unboundedPreceding, 0)
+    band = j.where(inside).withColumn("_vw_end", F.sum("_vw_w").over(w))
+    band = null_safe(band, below, keys + ["_vw_q"])
+    band = band.withColumn("_vw_end", F.col("_vw_end") + F.coalesce("_vw_below", F.lit(0)) - 1)  # last rank
+    first = F.col("_vw_end") - F.col("_vw_w") + 1
+    holds = lambda r: (F.col(r) >= first) & (F.col(r) <= F.col("_vw_end"))
+    got = band.where(holds("_vw_lo") | holds("_vw_hi"))
+    found = got.groupBy(*keys, "_vw_q").agg(
+        F.max(F.when(holds("_vw_lo"), F.col("_vw_v"))).alias("_vw_vlo"),
+        F.max(F.when(holds("_vw_hi"), F.col("_vw_v"))).alias("_vw_vhi"))
+    ranks = ["_vw_q", "_vw_qv", "_vw_n", "_vw_lo", "_vw_hi"]
+    res = null_safe(bands.select(*keys, *ranks), found, keys + ["_vw_q"]).persist()
+    missed = res.where(F.col("_vw_vlo").isNull() | F.col("_vw_vhi").isNull())
+    if not missed.isEmpty():
+        targets = missed.select(*keys, F.explode(F.array("_vw_lo", "_vw_hi")).alias("_vw_rank")).distinct()
+        at = materialize(narrowed(values, targets, keys))
+        for r, v in (("_vw_lo", "_vw_vlo"), ("_vw_hi", "_vw_vhi")):
+            res = null_safe(res, at.withColumnRenamed("_vw_rank", r), [*keys, r]).withColumn(v, F.coalesce(v, "_vw_at")).drop("_vw_at")
+    frac = F.col("_vw_qv") * (F.col("_vw_n") - 1) - F.col("_vw_lo")
+    between = F.col("_vw_vlo") + (F.col("_vw_vhi") - F.col("_vw_vlo")) * frac
+    res = res.withColumn("_vw_val", F.when((frac == 0) | (F.col("_vw_vlo") == F.col("_vw_vhi")), F.col("_vw_vlo")).otherwise(between))
     out = res.groupBy(*by).pivot("_vw_f", cols).agg(
         F.sort_array(F.collect_list(F.struct("_vw_q", "_vw_val"))).alias("a"))
     sel = [F.col(c) for c in by]
