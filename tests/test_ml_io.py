@@ -124,3 +124,13 @@ def test_null_labels_and_predictions_are_kept(spark):
     w = metrics.with_weights(d, "y").groupBy("y").agg(F.max("weight").alias("w")).collect()
     n = {y: sum(1 for r in rows if r[1] == y) for y in (None, 0, 1)}
     assert {r["y"]: round(r["w"], 9) for r in w} == {y: round(100 / (3 * c), 9) for y, c in n.items()}
+
+
+def test_kept_features_are_not_scaled(spark):
+    from voltwatch.operators import ml
+
+    d = spark.createDataFrame([(i, float(i), None if i == 3 else float(i % 4), int(i > 20)) for i in range(40)], "id long, a double, b double, y int")
+    model = ml.train(d, ["a", "b"], "y", "lr")
+    got = ml.score(d, model, keep=["id", "b", "a"]).orderBy("id").collect()
+    assert [(r.id, r.a, r.b) for r in got] == [(i, float(i), None if i == 3 else float(i % 4)) for i in range(40)]
+    assert [r.probability for r in got] == [r.probability for r in ml.score(d, model, keep=["id"]).orderBy("id").collect()]
