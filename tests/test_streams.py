@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from voltwatch.config import Columns
@@ -198,3 +199,26 @@ def test_alert_stream_appends_each_window_once(spark):
     got = spark.read.parquet(f"{out}/o").collect()
     at = {int((r.window_start - T0) / minute): (r.p, r.alert) for r in got}
     assert len(at) == len(got) == 60 and all(at[m] == ((9.0, m % 10 >= 2) if m % 10 < 6 else (1.0, False)) for m in range(60))
+
+
+def test_entities_share_buckets(spark):
+    """One state and one call serve many entities: the rows of the batch operators, for every statistic."""
+    from voltwatch.operators.features import delta, rolling
+
+    stats = ("mean", "std", "var", "min", "max", "sum", "count", "median")
+    rows = [(f"E{j % 7}", T0 + dt.timedelta(seconds=20 * j), j, None if j % 13 == 0 else float(j * j % 31)) for j in range(300)]
+    schema = "e string, t timestamp_ntz, i long, x double"
+    folder = scratch_path(spark, "bucket-in")
+    for part in (rows[:100], rows[100:220], rows[220:], [(None, T0 + dt.timedelta(days=2), None, None)]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
+    sdf = S.read_stream(spark, folder, spark.createDataFrame([], schema).schema, max_files=1)
+    out = scratch_path(spark, "bucket-out")
+    S.feature_stream(sdf, CFG, ["x"], (3, 6), stats, 2, out=f"{out}/o", checkpoint=f"{out}/c", name="bucket_test", buckets=2)
+    got = spark.read.parquet(f"{out}/o").drop("epoch")
+    want = rolling(delta(spark.createDataFrame(rows, schema), CFG, ["x"], 2), CFG, ["x"], (3, 6), stats)
+    names = sorted(want.columns)
+    key = lambda r: r.i
+    pairs = list(zip(sorted(got.select(names).collect(), key=key), sorted(want.select(names).collect(), key=key), strict=True))
+    assert len(pairs) == 300
+    for a, b in pairs:
+        assert all(x == pytest.approx(y, abs=1e-9) if isinstance(y, float) else x == y for x, y in zip(a, b, strict=True)), (a, b)

@@ -25,6 +25,8 @@ from voltwatch.streaming import ordered
 
 NTZ_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 WATERMARK = "10 minutes"
+#: Groups of entities that share the states of the feature stream.
+BUCKETS = 1024
 
 
 def ntz_to_instant(c: Column) -> Column:
@@ -107,7 +109,7 @@ def score_stream(sdf: DataFrame, model: ml.ScoringModel, rules: dict[str, Column
 # ---------------------------------------------------------------- T2 online delta and rolling
 def feature_stream(sdf: DataFrame, cfg: Columns, cols, windows=(6, 30, 60), stats=("mean", "std"), k: int = 1,
                    out: str | None = None, checkpoint: str | None = None, name: str = "feature_stream",
-                   state_ttl_s: int | None = None, watermark: str = WATERMARK):
+                   state_ttl_s: int | None = None, watermark: str = WATERMARK, buckets: int = BUCKETS):
     """Per-entity delta and rolling features on a stream, equal to the
     batch operators for any arrival order within the watermark (see
     ``ordered``).  Rows come out once the watermark has passed them; rows
@@ -116,6 +118,10 @@ def feature_stream(sdf: DataFrame, cfg: Columns, cols, windows=(6, 30, 60), stat
     ``state_ttl_s`` bounds the state: an entity whose newest reading is
     that much older than the event-time watermark loses its tail.
 
+    ``buckets`` groups of entities share their states and calls; a checkpoint
+    keeps the number it was made with.  More entities want more buckets: one
+    holds about 60 short rows of each.
+
     Returns the streaming DataFrame when ``out`` is None (its query needs the
     RocksDB state store, ``ordered.PROVIDER``), else runs it to the end into
     ``out``, late rows into ``<out>-late``.  Rows the watermark has not
@@ -129,9 +135,10 @@ def feature_stream(sdf: DataFrame, cfg: Columns, cols, windows=(6, 30, 60), stat
     names = ordered.feature_names(cols, windows, stats, k)
     own = sdf.schema
     # the processor decides itself what is late, so the operator's input has no watermark column
-    src = sdf.withColumn("_vw_et", ntz_to_instant(F.col(cfg.time))).withWatermark("_vw_et", watermark).select(*own.names)
-    proc = ordered.OrderedFeatures(cfg.time, cfg.tie, cols, windows, stats, k, names, state_ttl_s)
-    res = src.groupBy(cfg.entity).transformWithStateInPandas(
+    src = sdf.withColumn("_vw_et", ntz_to_instant(F.col(cfg.time))).withWatermark("_vw_et", watermark).select(
+        *own.names, F.when(F.col(cfg.entity).isNull(), -1).otherwise(F.pmod(F.xxhash64(cfg.entity), F.lit(buckets))).cast("int").alias("_vw_bucket"))
+    proc = ordered.OrderedFeatures(cfg.entity, cfg.time, cfg.tie, cols, windows, stats, k, names, own.names, state_ttl_s)
+    res = src.groupBy("_vw_bucket").transformWithStateInPandas(
         proc, ordered.out_schema(own, names), "Append", "EventTime")
     if out is None:
         return res
