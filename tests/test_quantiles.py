@@ -72,3 +72,20 @@ def test_missed_bands_are_narrowed(spark, monkeypatch):
             assert got[k][1] == pytest.approx(want[k][1])
             assert got[k][0] == pytest.approx(want[k][0])
     assert sum(asked) > 10
+
+
+def test_wide_bands_are_not_ranked_whole(spark, monkeypatch):
+    """A band of a coarse sketch holds a share of the rows: it is narrowed by bins too, before a window ranks it."""
+    from voltwatch.operators import quantiles as Q
+
+    most, plain = [], Q.narrowed
+
+    def small(values, targets, keys):
+        most.append(values.groupBy(*keys).count().agg(F.max("count")).first()[0])
+        return plain(values, targets, keys, few=20)
+
+    monkeypatch.setattr(Q, "narrowed", small)
+    df = spark.range(20_000).select((F.col("id") * 7919 % 20_011).cast("double").alias("x"))
+    want = df.agg(F.percentile("x", F.array(*map(F.lit, QS)))).first()[0]
+    assert Q.exact_quantiles(df, [], ["x"], QS, accuracy=100).first()["x"] == pytest.approx(want)
+    assert len(most) == 1 and 20 < most[0] < 4_000

@@ -5,19 +5,21 @@ Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, which is fine for an ordinary entity but not for a
 global column or a hot group of continuous readings.  Here:
 
-1. one aggregate per (group, column): count n and a bounded-memory sketch
-   (``percentile_approx``, rank error <= n / accuracy) at q -/+ a margin;
+1. one aggregate per group: count n and a bounded-memory sketch
+   (``percentile_approx``, rank error <= n / accuracy) of every column at q -/+
+   a margin.  The sketch is coarse: fine ones cost more than all other steps;
 2. the sketch values bound a narrow band of ranks around each target rank;
-   one pass counts the rows below the band and keeps only the band rows;
-3. the band rows (about 2 * margin * n per quantile) are ranked with a
-   window per (group, column, quantile), and the values at ranks
-   floor(q (n-1)) and ceil(q (n-1)) are interpolated linearly, as pandas.
+   one pass counts the rows below the bands, another keeps only the band rows
+   (about 2 * margin * n per quantile), a value that many share as one;
+3. a band is cut into ``CUTS`` bins, one aggregate adds up the weights of each,
+   and the bin with the target rank becomes the range, until few values are
+   left, which a window ranks.  The values at ranks floor(q (n-1)) and
+   ceil(q (n-1)) are interpolated linearly, as pandas.
 
 If a band misses its target rank (it cannot, by the sketch's guarantee, but
-the check is cheap) the value at that rank is found by narrowing: the range
-is cut into ``CUTS`` bins, one aggregate adds up the weights of each, and the
-bin with the rank becomes the range, until few values are left.  So no task
-ever holds all values of a group.  Results equal ``percentile`` exactly.
+the check is cheap) all values are narrowed in the same way.  So no task
+ever holds all values of a group, or of a band.  Results equal ``percentile``
+exactly.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from voltwatch.config import DEFAULT_SCALE
 from voltwatch.plans.layout import materialize, null_safe
 
-ACCURACY = 1_000_000
+ACCURACY = 10_000
 #: Half width of a band, in sketch errors.
 MARGIN = 3.0
 #: Bins of a narrowing step, and distinct values that one window may rank.
@@ -79,37 +81,38 @@ def exact_quantiles(df: DataFrame, by, cols, qs, accuracy: int = ACCURACY,
     values = m.groupBy(*keys, "_vw_v").agg(F.count(F.lit(1)).alias("_vw_w"))
     margin = MARGIN / accuracy
     fr = sorted({min(1.0, max(0.0, q + s * margin)) for q in qs for s in (-1, 1)})
-    sk = m.groupBy(*keys).agg(F.count(F.lit(1)).alias("_vw_n"),
-                              F.percentile_approx("_vw_v", fr, accuracy).alias("_vw_ap"))
     pos = {f: i for i, f in enumerate(fr)}
-    bands = sk.select(*keys, "_vw_n", F.inline(F.array(*[
-        F.struct(F.lit(j).alias("_vw_q"), F.lit(q).alias("_vw_qv"),
-                 F.col("_vw_ap")[pos[min(1.0, max(0.0, q - margin))]].alias("_vw_a"),
-                 F.col("_vw_ap")[pos[min(1.0, max(0.0, q + margin))]].alias("_vw_b"))
-        for j, q in enumerate(qs)])))
+    xs = df.select(*by, *[F.col(c).cast("double").alias(f"_vw_x{i}") for i, c in enumerate(cols)])
+    sk = xs.groupBy(*by).agg(*[x for i in range(len(cols)) for x in (
+        F.count(f"_vw_x{i}").alias(f"_vw_n{i}"), F.percentile_approx(f"_vw_x{i}", fr, accuracy).alias(f"_vw_ap{i}"))])
+    sk = materialize(sk)
+    limits = sk
+    if by and sk.count() <= broadcast_rows:
+        limits = F.broadcast(sk)
+    # one row per group beside its rows: which bands hold a value, and how many values lie below each band
+    j = null_safe(xs, limits, by, "inner") if by else xs.crossJoin(F.broadcast(sk))
+    spots = [(i, k, F.col(f"_vw_x{i}"), *(F.col(f"_vw_ap{i}")[pos[min(1.0, max(0.0, q + s * margin))]] for s in (-1, 1)))
+             for i in range(len(cols)) for k, q in enumerate(qs)]
+    below = j.groupBy(*by).agg(*[F.count_if(x < a).alias(f"_vw_b{i}_{k}") for i, k, x, a, _ in spots])
+    named = lambda i, k, *more: F.struct(F.lit(cols[i]).alias("_vw_f"), F.lit(k).alias("_vw_q"), *more)
+    below = below.select(*by, F.inline(F.array(*[named(i, k, F.col(f"_vw_b{i}_{k}").alias("_vw_below")) for i, k, *_ in spots])))
+    hits = F.array_compact(F.array(*[F.when((x >= a) & (x <= b), named(i, k, x.alias("_vw_v"))) for i, k, x, a, b in spots]))
+    own = [*keys, "_vw_q"]
+    band = materialize(j.select(*by, F.inline(hits)).groupBy(*own, "_vw_v").agg(F.count(F.lit(1)).alias("_vw_w")))
+
+    ranks = sk.select(*by, F.inline(F.array(*[
+        named(i, k, F.lit(q).alias("_vw_qv"), F.col(f"_vw_n{i}").alias("_vw_n")) for i in range(len(cols)) for k, q in enumerate(qs)])))
     pos_expr = F.col("_vw_qv") * (F.col("_vw_n") - 1)
-    bands = bands.withColumn("_vw_lo", F.floor(pos_expr).cast("long")).withColumn(
-        "_vw_hi", F.ceil(pos_expr).cast("long"))
-    bands = bands.persist()
-    n_bands = bands.count()
-    bj = F.broadcast(bands) if n_bands <= broadcast_rows else bands
-
-    j = null_safe(values, bj, keys, "inner")
-    inside = (F.col("_vw_v") >= F.col("_vw_a")) & (F.col("_vw_v") <= F.col("_vw_b"))
-    below = j.where(~inside & (F.col("_vw_v") < F.col("_vw_a"))).groupBy(*keys, "_vw_q").agg(
-        F.sum("_vw_w").alias("_vw_below"))
-    w = Window.partitionBy(*keys, "_vw_q").orderBy("_vw_v").rowsBetween(Window.unboundedPreceding, 0)
-    band = j.where(inside).withColumn("_vw_end", F.sum("_vw_w").over(w))
-    band = null_safe(band, below, keys + ["_vw_q"])
-    band = band.withColumn("_vw_end", F.col("_vw_end") + F.coalesce("_vw_below", F.lit(0)) - 1)  # last rank
-    first = F.col("_vw_end") - F.col("_vw_w") + 1
-    holds = lambda r: (F.col(r) >= first) & (F.col(r) <= F.col("_vw_end"))
-    got = band.where(holds("_vw_lo") | holds("_vw_hi"))
-    found = got.groupBy(*keys, "_vw_q").agg(
-        F.max(F.when(holds("_vw_lo"), F.col("_vw_v"))).alias("_vw_vlo"),
-        F.max(F.when(holds("_vw_hi"), F.col("_vw_v"))).alias("_vw_vhi"))
-    ranks = ["_vw_q", "_vw_qv", "_vw_n", "_vw_lo", "_vw_hi"]
-    res = null_safe(bands.select(*keys, *ranks), found, keys + ["_vw_q"]).persist()
+    ranks = ranks.where("_vw_n > 0").withColumn("_vw_lo", F.floor(pos_expr).cast("long")).withColumn("_vw_hi", F.ceil(pos_expr).cast("long"))
+    ranks = materialize(null_safe(ranks, below, own))
+    # a band is ranked like a whole column, from the rank it begins with
+    inner = ranks.select(*own, F.explode(F.array_distinct(F.array(*[F.col(r) - F.col("_vw_below") for r in ("_vw_lo", "_vw_hi")]))).alias("_vw_rank"))
+    at = materialize(narrowed(band, inner, own))
+    res = ranks
+    for r, v in (("_vw_lo", "_vw_vlo"), ("_vw_hi", "_vw_vhi")):
+        here = at.withColumnRenamed("_vw_at", v)
+        res = null_safe(res.withColumn("_vw_rank", F.col(r) - F.col("_vw_below")), here, [*own, "_vw_rank"]).drop("_vw_rank")
+    res = res.persist()
     missed = res.where(F.col("_vw_vlo").isNull() | F.col("_vw_vhi").isNull())
     if not missed.isEmpty():
         targets = missed.select(*keys, F.explode(F.array("_vw_lo", "_vw_hi")).alias("_vw_rank")).distinct()
