@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from conftest import SF001
 from voltwatch.operators import drift, ml, validate
@@ -134,3 +134,26 @@ def test_kept_features_are_not_scaled(spark):
     got = ml.score(d, model, keep=["id", "b", "a"]).orderBy("id").collect()
     assert [(r.id, r.a, r.b) for r in got] == [(i, float(i), None if i == 3 else float(i % 4)) for i in range(40)]
     assert [r.probability for r in got] == [r.probability for r in ml.score(d, model, keep=["id"]).orderBy("id").collect()]
+
+
+def test_split_keeps_rows_where_they_are(spark):
+    """A class is never put into one task, and its cut is exact also among rows that share the cut's draw."""
+    d = spark.range(0, 5000, 1, 16).select("id", F.when(F.col("id") % 7 > 0, F.col("id") % 7 % 2).alias("y"))
+    s = ml.stratified_split(d, "y", "id")
+    sizes = s.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 16 and max(r["count"] for r in sizes) <= 320
+    w = Window.partitionBy("y").orderBy(F.substring(F.md5(F.concat_ws(":", F.lit("42"), "id")), 1, 8), "id")
+    n = F.count(F.lit(1)).over(Window.partitionBy("y"))
+    want = d.where(F.lit(True)).withColumn("is_test", (F.row_number().over(w) <= F.floor(n * 0.2 + 0.5)).cast("int"))
+    assert sorted(map(tuple, s.select("id", "is_test").collect())) == sorted(map(tuple, want.select("id", "is_test").collect()))
+    few = spark.createDataFrame([(i % 3 or None, "a" if i < 90 else "b") for i in range(92)], "id long, y string")  # repeated and NULL ids
+    got = {(r.y, r.is_test): r["count"] for r in ml.stratified_split(few, "y", "id").groupBy("y", "is_test").count().collect()}
+    assert got == {("a", 1): 18, ("a", 0): 72, ("b", 0): 2}
+
+
+def test_learners_read_even_partitions(spark, monkeypatch):
+    """Rows that came in one large partition are dealt anew before a learner scans them again and again."""
+    monkeypatch.setattr(ml, "PART_ROWS", 100)
+    d, n = ml._even(spark.range(0, 1000, 1, 1).persist())
+    assert n == 1000 and max(r["count"] for r in d.groupBy(F.spark_partition_id()).count().collect()) <= 100
+    d.unpersist()
