@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import pytest
 
 from conftest import SF001
-from voltwatch.config import Scale
+from voltwatch.config import Columns, Scale
 from voltwatch.operators import clean, features
 from voltwatch.plans.featureset import FeatureSpec, feature_pipeline
 from voltwatch.plans.layout import plan_layout
@@ -125,3 +125,12 @@ def test_curve_and_ks_segmented(spark, ev):
     x = {r["feature"]: r["ks_stat"] for r in drift.drift_ks(d.where(half), d.where(~half), ["value", "k"]).collect()}
     y = {r["feature"]: r["ks_stat"] for r in drift.drift_ks(d.where(half), d.where(~half), ["value", "k"], tiny).collect()}
     assert x == pytest.approx(y)
+
+
+def test_segments_are_small_once_a_series_is_cut(spark):
+    """A segment has about ``segment_rows`` rows, however many a series may have before it is cut."""
+    d = spark.range(4000).select((F.col("id") * 7919 % 4001).alias("t"), F.col("id").alias("i"), F.lit("A").alias("e"))
+    for entity in (None, "e"):
+        lay = plan_layout(d, Columns(entity=entity, time="t", tie="i"), Scale(hot_entity_rows=2000, segment_rows=200))
+        sizes = [r["count"] for r in lay.assign(d).groupBy("_vw_seg").count().collect()]
+        assert len(sizes) >= 15 and max(sizes) <= 500

@@ -37,12 +37,14 @@ class Scale:
 
     hot_entity_rows   an entity with more rows is split into time segments so
                       that no single task holds it; windows get carries/halos.
+    segment_rows      rows of such a segment, about (at most hot_entity_rows).
     broadcast_rows    a per-entity statistics table is broadcast only when the
                       number of entities is known to be at most this.
     approx_accuracy   accuracy of the percentile sketch used for segment cuts.
     """
 
     hot_entity_rows: int = 4_000_000
+    segment_rows: int = 500_000
     broadcast_rows: int = 2_000_000
     approx_accuracy: int = 10_000
 

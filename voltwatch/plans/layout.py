@@ -194,16 +194,17 @@ def plan_layout(df: DataFrame, cfg: Columns, scale: Scale = DEFAULT_SCALE) -> La
     """Decide the layout from row counts per entity (one aggregate job).
 
     Only the list of hot entities and their cut points reach the driver; it
-    is bounded by total_rows / hot_entity_rows entries.
+    is bounded by total_rows / segment_rows entries.
     """
     hot_rows = scale.hot_entity_rows
+    seg_rows = min(hot_rows, scale.segment_rows)  # what a task sorts stays the same at any size
     acc = scale.approx_accuracy
     t = cfg.time
     if cfg.entity is None:
         n = df.count()
         if n <= hot_rows:
             return Layout(cfg, scale, 1, False)
-        k = math.ceil(n / hot_rows)
+        k = math.ceil(n / seg_rows)
         acc = max(acc, 4 * k)  # a cut is off by a quarter segment at most
         fr = [i / k for i in range(1, k)]
         cuts = df.agg(F.percentile_approx(t, fr, acc)).first()[0]
@@ -221,7 +222,7 @@ def plan_layout(df: DataFrame, cfg: Columns, scale: Scale = DEFAULT_SCALE) -> La
     if not hot_list:
         return Layout(cfg, scale, n_entities, False)
     spark = df.sparkSession
-    ks = {r[e]: math.ceil(r["_vw_n"] / hot_rows) for r in hot_list}
+    ks = {r[e]: math.ceil(r["_vw_n"] / seg_rows) for r in hot_list}
     big_k = max(ks.values())
     acc = max(acc, 4 * big_k)  # a cut is off by a quarter segment at most
     fr = [i / big_k for i in range(1, big_k)]
