@@ -157,3 +157,38 @@ def test_learners_read_even_partitions(spark, monkeypatch):
     d, n = ml._even(spark.range(0, 1000, 1, 1).persist())
     assert n == 1000 and max(r["count"] for r in d.groupBy(F.spark_partition_id()).count().collect()) <= 100
     d.unpersist()
+
+
+def test_neighbours_without_ranking_a_block(spark, monkeypatch):
+    """The k nearest by distance, ties to the least ids, from candidates: no whole row of distances is partitioned."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.integers(0, 6, (600, 3)).astype(float), np.zeros((40, 3))])  # many ties and copies
+    pts = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "i long, v array<double>")
+    got = {}
+    for r in ml.knn_exact(pts, "i", "v", 5, block_rows=200).orderBy("i", "_vw_rank").collect():
+        got.setdefault(r.i, []).append(r._vw_nn)
+    for i in range(len(x)):
+        d = ((x - x[i]) ** 2).sum(1)
+        want = sorted((d[j], j) for j in range(len(x)) if j != i)[:5]
+        assert got[i] == [j for _, j in want]
+    widths, plain = [], np.partition
+    monkeypatch.setattr(np, "partition", lambda a, *r, **k: (widths.append(a.shape[1]), plain(a, *r, **k))[1])
+    row, col, _ = ml._nearest(x[:9], np.arange(9), np.arange(640), x, (x * x).sum(1), 5)
+    assert widths == [20] and [col[row == i].tolist() for i in range(9)] == [got[i] for i in range(9)]
+
+
+def test_small_children_are_summed(monkeypatch):
+    """Of two children only the smaller one's rows are read again."""
+    import numpy as np
+    from voltwatch.operators import boosting
+
+    rng = np.random.default_rng(4)
+    bins = rng.integers(0, 64, (4000, 5)).astype(np.uint8)
+    y = (rng.random(4000) < 0.2 + 0.6 * (bins[:, 0] > 30)).astype(int)
+    read, plain = [], boosting.node_sums
+    monkeypatch.setattr(boosting, "node_sums", lambda b, rows, g, h: (read.append(len(rows)), plain(b, rows, g, h))[1])
+    trees, margin = boosting.fit_rows(bins, y, np.arange(4000), np.ones(4000, bool), boosting.Spec(trees=1, depth=4))
+    assert read[0] == 4000 and sum(read[1:]) <= 3 * 2000
+    assert np.array_equal(margin, trees[0].value[trees[0].nodes(bins)])
