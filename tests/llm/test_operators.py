@@ -3,6 +3,7 @@
 import base64
 import random
 import time
+import weakref
 import zlib
 from collections import defaultdict
 
@@ -10,10 +11,11 @@ import brute
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from voltwatch.llm import byte_bpe, host_rules, license_scan, minmax_dedup, packing, relative_lz, secret_scan, substring_index, topk_search, weak_labels
+from voltwatch.llm import byte_bpe, common, host_rules, license_scan, minmax_dedup, packing, relative_lz, secret_scan, substring_index, topk_search, weak_labels
 from voltwatch.llm.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -305,6 +307,32 @@ def test_topk_shards(spark, monkeypatch):
         assert [d for _, d in own] == [q] + [1000 + q // 50 + 3 * i for i in range(9)]
 
 
+def test_topk_holds_one_shard(spark, docs, monkeypatch):
+    """A task drops a shard's index before it makes the next one, and packs texts by small batches."""
+    alive, most, sizes = weakref.WeakSet(), [], {}
+
+    class Counted(topk_search.ShardIndex):
+        def __init__(self, *args):
+            most.append(len(alive))
+            super().__init__(*args)
+            alive.add(self)
+
+    def written(df, name):
+        sizes[name] = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
+        return common.written(df, name)
+
+    monkeypatch.setattr(topk_search, "written", written)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None)
+    topk_search.search(frame(spark, docs)).collect()
+    assert sizes["packed"] <= 512 and sizes["weighted"] <= 512 and sizes["found"] == 1
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) == before
+    monkeypatch.setattr(topk_search, "ShardIndex", Counted)
+    cells = {"ids": [4, 7], "no_id": [False, True], "words": [2, 2], "doc": [0, 1], "term": [9, 9], "tf": [1, 2]}
+    shard = pa.table({c: pa.array([np.array(v, topk_search.INDEX[c]).tobytes()] * 3, pa.binary()) for c, v in cells.items()}).to_batches()[0]
+    got = list(topk_search.answers([shard, shard], [(50, np.array([9], np.uint64), np.array([1.0]))], 2.0, 5))
+    assert most == [0] * 6 and all(b.column("doc_id").to_pylist() == [None, 4] for b in got)
+
+
 def test_topk_prunes():
     """Postings behind the pivot are looked up in few blocks; the list is that of all documents."""
     rng = np.random.default_rng(3)
