@@ -360,6 +360,56 @@ def test_topk_prunes():
         assert [(i, round(x, 6)) for i, x in crowded.top(docs[q], w, np.arange(3000), 10)] == [(i, round(x, 6)) for i, x in got]
 
 
+def test_topk_rows_follow_tasks(spark, monkeypatch):
+    """Shards of a task share one list per query: rows are bounded by the tasks, not by the shards; the lists stay exact."""
+    rng = random.Random(12)
+    docs = [(i, prose(rng, rng.randrange(20, 120), 300)) for i in range(400)] + [(None, prose(rng, 60, 300)), (500, "")]
+    shards, rows = [], []
+
+    def written(df, name):
+        out = common.written(df, name)
+        if name in ("index", "found"):
+            (shards if name == "index" else rows).append(out.count())
+        return out
+
+    monkeypatch.setattr(topk_search, "written", written)
+    monkeypatch.setattr(topk_search, "SHARD_BYTES", 2_000)
+    found = topk_search.search(frame(spark, docs)).collect()
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    assert sum(shards) > 4 * tasks and 8 * 10 <= sum(rows) <= 2 * tasks * 8 * 10
+    want = [(q, d, round(s, 6)) for q, d, s in brute.bm25([(-1 if d is None else d, t) for d, t in docs]) if q >= 0]
+    assert sorted((r.query_id, -1 if r.doc_id is None else r.doc_id, round(r.score, 6)) for r in found) == sorted(want)
+
+
+def test_topk_together():
+    """Many queries at once, over shards whose scores bound the next ones: the lists of all documents."""
+    rng = np.random.default_rng(5)
+    docs = [np.unique(rng.zipf(1.3, 60) % 2000).astype(np.uint64) for _ in range(1500)]
+    docs[700:720] = [docs[3]] * 20  # copies of a query
+    words = np.full(500, 60)
+
+    def shard(n):
+        own = docs[500 * n : 500 * n + 500]
+        doc, term = np.repeat(np.arange(500, dtype=np.int32), [len(d) for d in own]), np.concatenate(own)
+        order = np.argsort(term, kind="stable")
+        cells = [500 * n + np.arange(500), np.zeros(500, bool), words, doc[order], term[order], np.ones(len(doc), np.int32)]
+        return pa.RecordBatch.from_arrays([pa.array([np.asarray(c, t).tobytes()], pa.binary()) for c, t in zip(cells, topk_search.INDEX.values())], names=list(topk_search.INDEX))
+
+    weight = rng.random(2000) + 0.1
+    asks = [(q, docs[q], weight[docs[q].astype(int)]) for q in range(0, 1500, 3)]
+    (got,) = topk_search.merged([shard(n) for n in range(3)], asks, 60.0, 10)
+    impact = 1 * (topk_search.K1 + 1) / (1 + topk_search.K1)
+    matrix = np.zeros((1500, 2000))
+    for i, d in enumerate(docs):
+        matrix[i, d.astype(int)] = 1
+    want = []
+    for q, h, w in asks:
+        score = np.round(matrix[:, h.astype(int)] @ w * impact, 9)
+        want += [(q, i, score[i]) for i in sorted(np.flatnonzero(score).tolist(), key=lambda i: (-round(score[i], 7), i))[:10]]
+    assert [(q, i) for q, i, _ in want] == list(zip(got.column("q").to_pylist(), got.column("doc_id").to_pylist()))
+    assert np.allclose([s for _, _, s in want], got.column("score").to_numpy())
+
+
 def test_topk_long_lists_only():
     """Texts of words that all documents share: no list is short."""
     docs, terms = 600, np.array([3, 9], np.uint64)
