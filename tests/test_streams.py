@@ -222,3 +222,19 @@ def test_entities_share_buckets(spark):
     assert len(pairs) == 300
     for a, b in pairs:
         assert all(x == pytest.approx(y, abs=1e-9) if isinstance(y, float) else x == y for x, y in zip(a, b, strict=True)), (a, b)
+
+
+def test_replay_has_a_file_per_core(spark, tmp_path, monkeypatch):
+    """A micro-batch is read by as many tasks as the session has cores, and no trigger spans two chunks."""
+    from voltwatch.plans import catalog_streams as C
+    rows = [(i, T0 + dt.timedelta(minutes=i), i % 7, "ok", 1.0, "{}") for i in range(60)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
+        .write.parquet(str(tmp_path / "events.parquet"))
+    read, seen = S.read_stream, []
+    monkeypatch.setattr(S, "read_stream", lambda sp, folder, schema, max_files: (seen.append((folder, max_files)), read(sp, folder, schema, max_files=max_files))[1])
+    monkeypatch.setattr(C, "FILES", 1)
+    C._events_stream(spark, str(tmp_path))
+    (folder, files), = seen
+    assert files == spark.sparkContext.defaultParallelism > 1
+    back = spark.read.parquet(folder)
+    assert len(back.inputFiles()) == C.CHUNKS * files and back.count() == 60

@@ -11,13 +11,14 @@ from voltwatch.sources.io import scratch_path
 from voltwatch.sources.tables import EVENTS, table
 from voltwatch.streaming import streams as S
 
-CHUNKS, FILES = 6, 8  # micro-batches of the replay, files of each
+CHUNKS, FILES = 6, 8  # micro-batches of the replay, least files of each
 
 
 def _events_stream(spark, sf, closing=None):
     ev = table(spark, sf, "events")
-    folder = S.stream_folder(spark, ev, "ts", CHUNKS, "event_id", FILES, closing)
-    sdf = S.read_stream(spark, folder, ev.schema, max_files=FILES)
+    files = max(FILES, spark.sparkContext.defaultParallelism)  # a micro-batch has a task per file: one for every core
+    folder = S.stream_folder(spark, ev, "ts", CHUNKS, "event_id", files, closing)
+    sdf = S.read_stream(spark, folder, ev.schema, max_files=files)
     return sdf.withColumn("label", (F.col("event_type") == "error").cast("int")).withColumn(
         "k", F.get_json_object("props", "$.k").cast("double"))
 
